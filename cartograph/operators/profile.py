@@ -33,6 +33,15 @@ def _display(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
+def _norm_zero(c: Column, dt: T.DataType) -> Column:
+    """-0.0 and 0.0 tie in min/max; report 0.0 whichever was met first."""
+    if isinstance(dt, T.FloatType):
+        return c + F.lit(0.0).cast("float")
+    if isinstance(dt, T.DoubleType):
+        return c + F.lit(0.0)
+    return c
+
+
 def dataset_stats(estate, ds) -> DataFrame | None:
     fields = ds.schema.fields
     if not fields:
@@ -52,8 +61,8 @@ def dataset_stats(estate, ds) -> DataFrame | None:
     for i, f in enumerate(fields):
         numeric = type_class(f.dataType) == "numeric"
         has_mm = orderable(f.dataType)
-        mn = F.col(f"mn{i}") if has_mm else None
-        mx = F.col(f"mx{i}") if has_mm else None
+        mn = _norm_zero(F.col(f"mn{i}"), f.dataType) if has_mm else None
+        mx = _norm_zero(F.col(f"mx{i}"), f.dataType) if has_mm else None
         items.append(F.struct(
             F.lit(i).alias("ordinal"),
             F.col(f"nn{i}").alias("non_null"),
