@@ -32,6 +32,7 @@ def py_round(c: Column, digits: int) -> Column:
           .when(F.abs(k % 2) == 1, F.lit(1)).otherwise(F.lit(0)))
     return (F.when(x.isNull(), F.lit(None).cast("double"))
             .when(~(F.abs(x) * F.lit(s) < F.lit(_EXACT_LIMIT)), x)
+            .when(k + up == 0, x * F.lit(0.0))   # keeps the sign of zero, as Python
             .otherwise((k + up) / F.lit(s)))
 
 
@@ -48,6 +49,7 @@ def py_round_sql(x: str, digits: int) -> str:
           f"WHEN abs({k} % 2) = 1 THEN 1 ELSE 0 END)")
     return (f"(CASE WHEN {xd} IS NULL THEN CAST(NULL AS DOUBLE) "
             f"WHEN NOT (abs({xd}) * {s} < CAST({_EXACT_LIMIT!r} AS DOUBLE)) THEN {xd} "
+            f"WHEN ({k} + {up}) = 0 THEN {xd} * CAST(0.0 AS DOUBLE) "
             f"ELSE ({k} + {up}) / {s} END)")
 
 

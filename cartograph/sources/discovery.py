@@ -77,7 +77,8 @@ class Estate:
         and a ``COUNT(*)`` pushed to each JDBC database."""
         if self._counts is None:
             frames = [f for f in (file_row_counts(self.spark, self.datasets),
-                                  jdbc_row_counts(self.spark, self.datasets)) if f is not None]
+                                  jdbc_row_counts(self.spark, self.datasets),
+                                  _frame_row_counts(self.datasets)) if f is not None]
             self._counts = reduce(DataFrame.unionByName, frames)
         return self._counts
 
@@ -92,7 +93,12 @@ class Estate:
     def load(self, ds: Dataset) -> DataFrame:
         """The dataset as a frame; a Bernoulli sample (seed 42) of about
         ``sample_rows`` rows when that option is set and the table is larger."""
-        df = read_jdbc(self.spark, ds) if ds.source_type == "jdbc" else read_dataset(self.spark, ds)
+        if ds.source_type == "frame":
+            df = ds.reader["frame"]
+        elif ds.source_type == "jdbc":
+            df = read_jdbc(self.spark, ds)
+        else:
+            df = read_dataset(self.spark, ds)
         limit = self.options.sample_rows
         if limit:
             total = self._row_count(ds)
@@ -104,6 +110,23 @@ class Estate:
         return next(ds for ds in self.datasets if ds.dataset_id == dataset_id)
 
 
+def _frame_row_counts(datasets: list[Dataset]) -> DataFrame | None:
+    frames = [ds.reader["frame"].agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+              .select(F.lit(ds.dataset_id).alias("dataset_id"), "row_count")
+              for ds in datasets if ds.source_type == "frame"]
+    return reduce(DataFrame.unionByName, frames) if frames else None
+
+
+def discover_frames(spark: SparkSession, frames: dict[str, DataFrame],
+                    options: Options | None = None, source_name: str = "frames") -> Estate:
+    """An estate of DataFrames the caller already has (one dataset each)."""
+    datasets = [Dataset(dataset_id=i, source_type="frame", source_name=source_name,
+                        table_name=name, location=name, format="frame", schema=df.schema,
+                        reader={"frame": df})
+                for i, (name, df) in enumerate(frames.items())]
+    return Estate(spark, datasets, [], options or Options())
+
+
 def discover(spark: SparkSession, paths=(), jdbc_sources=(), options: Options | None = None) -> Estate:
     """All volumes first, then all JDBC sources."""
     options = options or Options()
