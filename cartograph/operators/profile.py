@@ -1,13 +1,11 @@
 """Column profiles: one statistics row per column of every dataset.
 
-Two passes per dataset, each a single job over all of its columns:
-
-* a wide aggregate (row count, non-null count, typed min/max, mean) that
-  returns one row per dataset, turned long with ``inline``;
-* the frequency table of :mod:`.values`, which gives distinct counts and
-  the top-N values.
-
-No per-column action and no data on the driver.
+Everything derives from one pass over the data, the frequency table of
+:mod:`.values`: row and null counts, distinct counts, min/max/mean (numbers
+ordered by the value their key spells) and the top-N values. Two narrow
+extras read only what the frequency table cannot give: the long values of
+text columns (their full text and order) and the typed min/max of nested
+columns. No per-column action and no data on the driver.
 """
 
 from __future__ import annotations
@@ -21,69 +19,70 @@ from pyspark.sql import types as T
 from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.semantic_type import semantic_type
-from ..sources.base import orderable, quoted, type_class
+from ..sources.base import quoted, value_kind
 from . import values as V
 
-STATS_FIELDS = ("ordinal", "non_null", "min_value", "max_value", "min_num", "max_num", "mean_raw")
-
-
-def _display(c: Column, dt: T.DataType) -> Column:
-    if isinstance(dt, T.BinaryType):
-        return F.hex(c)
-    return c.cast("string")
-
-
-def _norm_zero(c: Column, dt: T.DataType) -> Column:
-    """-0.0 and 0.0 tie in min/max; report 0.0 whichever was met first."""
-    if isinstance(dt, T.FloatType):
-        return c + F.lit(0.0).cast("float")
-    if isinstance(dt, T.DoubleType):
-        return c + F.lit(0.0)
-    return c
-
-
-def dataset_stats(estate, ds) -> DataFrame | None:
-    fields = ds.schema.fields
-    if not fields:
-        return None
-    df = estate.load(ds)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, f in enumerate(fields):
-        c = F.col(quoted(f.name))
-        aggs.append(F.count(c).alias(f"nn{i}"))
-        if orderable(f.dataType):
-            aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
-        if type_class(f.dataType) == "numeric":
-            aggs.append(F.avg(c).cast("double").alias(f"av{i}"))
-    row = df.agg(*aggs)
-    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
-    items = []
-    for i, f in enumerate(fields):
-        numeric = type_class(f.dataType) == "numeric"
-        has_mm = orderable(f.dataType)
-        mn = _norm_zero(F.col(f"mn{i}"), f.dataType) if has_mm else None
-        mx = _norm_zero(F.col(f"mx{i}"), f.dataType) if has_mm else None
-        items.append(F.struct(
-            F.lit(i).alias("ordinal"),
-            F.col(f"nn{i}").alias("non_null"),
-            (_display(mn, f.dataType) if has_mm else null_s).alias("min_value"),
-            (_display(mx, f.dataType) if has_mm else null_s).alias("max_value"),
-            (mn.cast("double") if numeric else null_d).alias("min_num"),
-            (mx.cast("double") if numeric else null_d).alias("max_num"),
-            (F.col(f"av{i}") if numeric else null_d).alias("mean_raw")))
-    return row.select(F.lit(ds.dataset_id).alias("dataset_id"),
-                      F.col("__rows").alias("total_rows"), F.inline(F.array(*items)))
-
-
-def column_stats(estate, datasets=None) -> DataFrame:
-    frames = [f for f in (dataset_stats(estate, ds)
-                          for ds in (datasets if datasets is not None else estate.datasets))
-              if f is not None]
-    if not frames:
-        return estate.spark.createDataFrame(
-            [], "dataset_id int, total_rows long, ordinal int, non_null long, min_value string,"
-                " max_value string, min_num double, max_num double, mean_raw double")
-    return reduce(DataFrame.unionAll, frames)
+def typed_stats(estate) -> DataFrame | None:
+    """min/max of the columns whose order is not their string's (arrays,
+    structs, intervals): a narrow aggregate reading only those columns."""
+    frames = []
+    for ds in estate.datasets:
+        fields = [(i, f) for i, f in enumerate(ds.schema.fields)
+                  if value_kind(f.dataType) == "typed"]
+        if not fields:
+            continue
+        aggs = []
+        for i, f in fields:
+            c = F.col(quoted(f.name))
+            aggs += [F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}")]
+        row = estate.load(ds).agg(*aggs)
+        items = [F.struct(F.lit(i).alias("ordinal"), F.col(f"mn{i}").alias("typed_min"),
+                          F.col(f"mx{i}").alias("typed_max")) for i, _ in fields]
+        frames.append(row.select(F.lit(ds.dataset_id).alias("dataset_id"),
+                                 F.inline(F.array(*items))))
+    return reduce(DataFrame.unionAll, frames) if frames else None
+
+
+def value_stats(freq: DataFrame, cols: DataFrame, max_chars: int | None) -> DataFrame:
+    """Counts, min/max and mean of every column from the frequency table
+    alone: one grouped aggregate over (dataset, column). Numbers order by the
+    value their key spells (exact decimals for integers), ISO dates and
+    strings by the key. Digest keys stand for long values and are skipped
+    here; their min/max come from :func:`values.long_values`."""
+    f = freq.join(cols.select("dataset_id", "ordinal", "value_kind", "type_class"),
+                  ["dataset_id", "ordinal"])
+    key, kind, n = F.col("key"), F.col("value_kind"), F.col("n")
+    digest = (F.col("type_class").isin("string", "binary", "nested", "other")
+              & (F.length(key) > F.lit(max_chars))) if max_chars else F.lit(False)
+    real = F.when(~digest, key)
+    whole = F.when(kind == "integral", real.try_cast("long"))        # exact order
+    dec = F.when(kind == "decimal", real.try_cast("decimal(38,10)"))
+    dbl = F.when(kind == "float", real.try_cast("double"))
+    num = F.when(kind.isin("integral", "decimal", "float"), real.try_cast("double"))
+    lex = F.when(kind == "lexical", real)
+    g = f.groupBy("dataset_id", "ordinal").agg(
+        F.sum(n).alias("total_rows"),
+        F.coalesce(F.sum(F.when(key.isNotNull(), n)), F.lit(0)).cast("long").alias("non_null"),
+        F.count(F.lit(1)).alias("distinct_count"),
+        F.min_by(real, whole).alias("__imin"), F.max_by(real, whole).alias("__imax"),
+        F.min_by(real, dec).alias("__dmin"), F.max_by(real, dec).alias("__dmax"),
+        F.min_by(real, dbl).alias("__fmin"), F.max_by(real, dbl).alias("__fmax"),
+        F.min(lex).alias("__lmin"), F.max(lex).alias("__lmax"),
+        F.sum(num * n).alias("__sum"),   # a double sum, as Spark's avg
+        F.first("value_kind").alias("value_kind"))
+    k = F.col("value_kind")
+    mn = (F.when(k == "integral", F.col("__imin")).when(k == "decimal", F.col("__dmin"))
+           .when(k == "float", F.col("__fmin")).when(k == "lexical", F.col("__lmin")))
+    mx = (F.when(k == "integral", F.col("__imax")).when(k == "decimal", F.col("__dmax"))
+           .when(k == "float", F.col("__fmax")).when(k == "lexical", F.col("__lmax")))
+    numeric = k.isin("integral", "decimal", "float")
+    total = F.col("__sum")
+    return g.select(
+        "dataset_id", "ordinal", "total_rows", "non_null", "distinct_count",
+        mn.alias("min_value"), mx.alias("max_value"),
+        F.when(numeric, mn.try_cast("double")).alias("min_num"),
+        F.when(numeric, mx.try_cast("double")).alias("max_num"),
+        (total / F.nullif(F.col("non_null"), F.lit(0))).alias("mean_raw"))
 
 
 def cardinality(freq: DataFrame) -> DataFrame:
@@ -106,11 +105,6 @@ def ranked_values(freq: DataFrame, n: int) -> DataFrame:
             .filter(F.col("key").isNotNull()))
 
 
-def top_values(estate, freq: DataFrame, n: int) -> DataFrame:
-    """(dataset_id, ordinal, rank, key, value, n) with full texts."""
-    return V.resolve_keys(estate, ranked_values(freq, n), estate.options.max_value_chars)
-
-
 def sample_lists(top: DataFrame) -> DataFrame:
     """Top values as an array ordered by rank (at most N per column)."""
     return (top.groupBy("dataset_id", "ordinal")
@@ -119,35 +113,52 @@ def sample_lists(top: DataFrame) -> DataFrame:
                     F.transform("__s", lambda s: s["value"]).alias("sample_values")))
 
 
-def profiles(estate, freq: DataFrame | None = None, stats: DataFrame | None = None,
-             top: DataFrame | None = None) -> DataFrame:
+def profiles(estate, freq: DataFrame | None = None, top: DataFrame | None = None,
+             longs: DataFrame | None = None, typed: DataFrame | None = None) -> DataFrame:
     """The ``column_profiles`` frame (one row per column)."""
     opts = estate.options
     if freq is None:
         freq = V.column_values(estate, opts.max_value_chars)
-    if stats is None:
-        stats = column_stats(estate)
     if top is None:
-        top = top_values(estate, freq, opts.sample_values)
+        ranked = ranked_values(freq, opts.sample_values)
+        longs = V.long_values(estate, ranked, opts.max_value_chars)
+        top = V.with_full_values(ranked, longs)
+        typed = typed_stats(estate)
     cols = pu.small(estate.columns(), estate.column_count)
-    samples = sample_lists(top)
-    p = (cols.join(stats, ["dataset_id", "ordinal"])
-         .join(cardinality(freq), ["dataset_id", "ordinal"], "left")
-         .join(samples, ["dataset_id", "ordinal"], "left"))
-    total = F.col("total_rows")
-    null_count = total - F.col("non_null")
+    stats = value_stats(freq, cols, opts.max_value_chars)
+    p = (cols.join(stats, ["dataset_id", "ordinal"], "left")
+         .join(sample_lists(top), ["dataset_id", "ordinal"], "left"))
+    lmm = V.long_min_max(longs)
+    if lmm is not None:
+        p = p.join(lmm, ["dataset_id", "ordinal"], "left")
+    else:
+        p = p.withColumn("long_min", F.lit(None).cast("string")).withColumn(
+            "long_max", F.lit(None).cast("string"))
+    if typed is not None:
+        p = p.join(typed, ["dataset_id", "ordinal"], "left")
+    else:
+        p = p.withColumn("typed_min", F.lit(None).cast("string")).withColumn(
+            "typed_max", F.lit(None).cast("string"))
+    lexical = F.col("value_kind") == "lexical"
+    min_value = (F.when(F.col("value_kind") == "typed", F.col("typed_min"))
+                  .when(lexical, F.least("min_value", "long_min")).otherwise(F.col("min_value")))
+    max_value = (F.when(F.col("value_kind") == "typed", F.col("typed_max"))
+                  .when(lexical, F.greatest("max_value", "long_max")).otherwise(F.col("max_value")))
+    # an empty dataset has no values at all
+    p = p.withColumn("total_rows", F.coalesce(F.col("total_rows"), F.lit(0)).cast("long"))
+    null_count = F.col("total_rows") - F.coalesce(F.col("non_null"), F.lit(0))
     distinct = F.coalesce(F.col("distinct_count"), F.lit(0)).cast("long")
     samples_col = F.coalesce(F.col("sample_values"), F.array().cast("array<string>"))
-    is_unique = (distinct == total) & (total > 0)
+    is_unique = (distinct == F.col("total_rows")) & (F.col("total_rows") > 0)
     p = p.select(
         "dataset_id", "source_type", "source_name", "table_name", "ordinal", "column_name",
-        "dtype", "type_class",
-        total.alias("total_rows"),
+        "dtype", "type_class", "total_rows",
         null_count.alias("null_count"),
-        F.coalesce(py_round(null_count / F.nullif(total, F.lit(0)), 4), F.lit(0.0)).alias("null_rate"),
+        F.coalesce(py_round(null_count / F.nullif(F.col("total_rows"), F.lit(0)), 4),
+                   F.lit(0.0)).alias("null_rate"),
         distinct.alias("distinct_count"),
         is_unique.alias("is_unique"),
-        "min_value", "max_value", "min_num", "max_num",
+        min_value.alias("min_value"), max_value.alias("max_value"), "min_num", "max_num",
         py_round(F.col("mean_raw"), 4).alias("mean_value"),
         samples_col.alias("sample_values"))
     return p.select(

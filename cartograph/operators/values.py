@@ -25,6 +25,7 @@ from .. import plan_utils as pu
 from ..sources.base import quoted, type_class
 
 DIGEST_SEPARATOR = "#"
+SPREAD_MIN_ROWS = 200_000
 
 
 def value_string(field: T.StructField) -> Column:
@@ -68,6 +69,20 @@ def _long_pairs(df: DataFrame, ds_id: int, fields, expr) -> DataFrame:
                        "value")
 
 
+def spread(estate, ds, df: DataFrame) -> DataFrame:
+    """Parallelism guard: a dataset that is read as far fewer splits than
+    the cluster has cores (one unsplittable file, a single-connection JDBC
+    read) yet holds many rows is spread round-robin before the per-value
+    work, which multiplies its rows by its column count. Well-split data
+    (the normal case at scale) is left as read."""
+    cores = estate.spark.sparkContext.defaultParallelism
+    if cores < 2 or estate.row_count(ds) < SPREAD_MIN_ROWS:
+        return df
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)
+
+
 def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFrame:
     """(dataset_id, ordinal, key, n) for every column of every dataset."""
     frames = []
@@ -75,7 +90,7 @@ def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFra
         fields = list(enumerate(ds.schema.fields))
         if not fields:
             continue
-        df = estate.load(ds)
+        df = spread(estate, ds, estate.load(ds))
         frames.append(_long_pairs(df, ds.dataset_id, fields,
                                   lambda i, f: value_key(value_string(f),
                                                          max_chars if may_be_long(f) else None)))
@@ -85,29 +100,47 @@ def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFra
     return allv.groupBy("dataset_id", "ordinal", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def resolve_keys(estate, keyed: DataFrame, max_chars: int | None) -> DataFrame:
-    """Add ``value`` (the full text) to rows of ``keyed`` (dataset_id,
-    ordinal, key, ...). Short keys are their own value; digest keys are
-    looked up by re-reading only long values of text-like columns, semi-
-    joined to the wanted keys (bounded: top-N x columns rows)."""
+def long_values(estate, wanted: DataFrame, max_chars: int | None) -> DataFrame | None:
+    """One re-read of the text-like columns, long values only (no shuffle of
+    the texts themselves): (dataset_id, ordinal, key, lo, hi) where ``key`` is
+    a wanted digest key and lo = hi = its full text, or ``key`` is null and
+    lo/hi are the least/greatest of the column's other long values. The
+    wanted keys (top-N survivors) are bounded by N x columns and broadcast
+    only below the size limit."""
     if not max_chars:
-        return keyed.withColumn("value", F.col("key"))
-    wanted = (keyed.filter(F.length("key") > F.lit(max_chars))
-              .select("dataset_id", "ordinal", "key").distinct())
+        return None
     frames = []
     for ds in estate.datasets:
         fields = [(i, f) for i, f in enumerate(ds.schema.fields) if may_be_long(f)]
-        if not fields:
-            continue
-        frames.append(_long_pairs(estate.load(ds), ds.dataset_id, fields,
-                                  lambda i, f: value_string(f)))
+        if fields:
+            frames.append(_long_pairs(estate.load(ds), ds.dataset_id, fields,
+                                      lambda i, f: value_string(f)))
     if not frames:
-        return keyed.withColumn("value", F.col("key"))
+        return None
     longs = (reduce(DataFrame.unionAll, frames)
              .filter(F.length("value") > F.lit(max_chars))
              .withColumn("key", value_key(F.col("value"), max_chars)))
     bound = estate.column_count * max(1, estate.options.sample_values)
-    found = (longs.join(pu.small(wanted, bound), ["dataset_id", "ordinal", "key"], "left_semi")
-             .groupBy("dataset_id", "ordinal", "key").agg(F.min("value").alias("full_value")))
-    return (keyed.join(found, ["dataset_id", "ordinal", "key"], "left")
-            .withColumn("value", F.coalesce("full_value", "key")).drop("full_value"))
+    tags = pu.small(wanted.select("dataset_id", "ordinal", "key",
+                                  F.lit(True).alias("__wanted")), bound)
+    tagged = longs.join(tags, ["dataset_id", "ordinal", "key"], "left")
+    return (tagged.groupBy("dataset_id", "ordinal",
+                           F.when(F.col("__wanted"), F.col("key")).alias("key"))
+            .agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
+
+
+def with_full_values(keyed: DataFrame, longs: DataFrame | None) -> DataFrame:
+    """Add ``value``: the key itself, or the full text of a digest key."""
+    if longs is None:
+        return keyed.withColumn("value", F.col("key"))
+    texts = longs.filter(F.col("key").isNotNull()).select(
+        "dataset_id", "ordinal", "key", F.col("lo").alias("__full"))
+    return (keyed.join(texts, ["dataset_id", "ordinal", "key"], "left")
+            .withColumn("value", F.coalesce("__full", "key")).drop("__full"))
+
+
+def long_min_max(longs: DataFrame | None) -> DataFrame | None:
+    if longs is None:
+        return None
+    return longs.groupBy("dataset_id", "ordinal").agg(
+        F.min("lo").alias("long_min"), F.max("hi").alias("long_max"))

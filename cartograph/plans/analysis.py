@@ -53,18 +53,28 @@ class Analysis:
         return self.spark.read.parquet(path)
 
     @cached_property
-    def column_stats(self) -> DataFrame:
-        return self._keep(P.column_stats(self.estate), "column_stats")
+    def ranked(self) -> DataFrame:
+        return self._keep(P.ranked_values(self.column_values, self.options.sample_values),
+                          "ranked")
+
+    @cached_property
+    def long_values(self) -> DataFrame | None:
+        lv = V.long_values(self.estate, self.ranked, self.options.max_value_chars)
+        return None if lv is None else self._keep(lv, "long_values")
 
     @cached_property
     def top_values(self) -> DataFrame:
-        return self._keep(P.top_values(self.estate, self.column_values,
-                                       self.options.sample_values), "top_values")
+        return self._keep(V.with_full_values(self.ranked, self.long_values), "top_values")
+
+    @cached_property
+    def typed_stats(self) -> DataFrame | None:
+        ts = P.typed_stats(self.estate)
+        return None if ts is None else self._keep(ts, "typed_stats")
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return self._keep(P.profiles(self.estate, self.column_values, self.column_stats,
-                                     top=self.top_values), "profiles")
+        return self._keep(P.profiles(self.estate, self.column_values, self.top_values,
+                                     self.long_values, self.typed_stats), "profiles")
 
     @cached_property
     def candidates(self) -> DataFrame:

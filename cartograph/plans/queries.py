@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from .. import plan_utils as pu
 from ..config import KEY_DISCOVERY, Options
 from ..functions import names as N
-from ..operators import profile as P
 from ..operators import relate as R
 from ..operators import runs as RUN
 from ..operators import semantic as SEM
@@ -90,15 +89,8 @@ def _profiles(spark, folder, options=KEY_DISCOVERY):
 
 
 def profile_nulls(spark, folder):
-    est = discover(spark, folder)
-    st = P.column_stats(est)
-    cols = est.columns()
-    p = cols.join(st, ["dataset_id", "ordinal"])
-    from ..functions.rounding import py_round
-    nulls = F.col("total_rows") - F.col("non_null")
-    return p.select("table_name", "column_name", "total_rows", nulls.alias("null_count"),
-                    F.coalesce(py_round(nulls / F.nullif(F.col("total_rows"), F.lit(0)), 4),
-                               F.lit(0.0)).alias("null_rate"))
+    return _profiles(spark, folder).select("table_name", "column_name", "total_rows",
+                                           "null_count", "null_rate")
 
 
 def profile_cardinality(spark, folder):

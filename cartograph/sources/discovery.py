@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SAMPLE_SEED, Options
-from .base import Dataset, orderable, type_class
+from .base import Dataset, orderable, type_class, value_kind
 from .files import discover_volumes, file_row_counts, read_dataset
 from .jdbc import discover_jdbc, jdbc_row_counts, read_jdbc
 
@@ -23,6 +23,7 @@ COLUMNS_SCHEMA = T.StructType([
     T.StructField("dtype", T.StringType(), False),
     T.StructField("type_class", T.StringType(), False),
     T.StructField("is_orderable", T.BooleanType(), False),
+    T.StructField("value_kind", T.StringType(), False),
 ])
 
 DATASETS_SCHEMA = T.StructType([
@@ -58,7 +59,8 @@ class Estate:
     def columns(self) -> DataFrame:
         """One row per column (metadata: bounded by the schemas' width)."""
         rows = [(ds.dataset_id, ds.source_type, ds.source_name, ds.table_name, i, f.name,
-                 str(f.dataType), type_class(f.dataType), orderable(f.dataType))
+                 str(f.dataType), type_class(f.dataType), orderable(f.dataType),
+                 value_kind(f.dataType))
                 for ds in self.datasets for i, f in enumerate(ds.schema.fields)]
         return self.spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
@@ -85,7 +87,7 @@ class Estate:
     def inventory(self) -> DataFrame:
         return self.datasets_frame().join(self.row_counts(), "dataset_id", "left")
 
-    def _row_count(self, ds: Dataset) -> int:
+    def row_count(self, ds: Dataset) -> int:
         if self._count_map is None:  # one number per dataset: metadata
             self._count_map = {r[0]: r[1] for r in self.row_counts().collect()}
         return self._count_map.get(ds.dataset_id, 0)
@@ -101,7 +103,7 @@ class Estate:
             df = read_dataset(self.spark, ds)
         limit = self.options.sample_rows
         if limit:
-            total = self._row_count(ds)
+            total = self.row_count(ds)
             if total > limit:
                 df = df.sample(withReplacement=False, fraction=limit / total, seed=SAMPLE_SEED)
         return df
