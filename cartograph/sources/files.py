@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import plan_utils as pu
 from .base import Dataset
 
 FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json"}
@@ -113,7 +114,8 @@ def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
             [(p, ds.dataset_id) for ds in group for p in ds.reader["paths"]],
             "path string, dataset_id int")
         ids = spark.createDataFrame([(ds.dataset_id,) for ds in group], "dataset_id int")
-        per_ds = (counts.join(F.broadcast(owner), _same_path(counts.file_path, owner.path))
+        owner = pu.small(owner, len(paths))    # one row per file: checked size
+        per_ds = (counts.join(owner, _same_path(counts.file_path, owner.path))
                   .groupBy("dataset_id").agg(F.sum("count").alias("row_count")))
         frames.append(ids.join(per_ds, "dataset_id", "left")
                       .select("dataset_id",

@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming.
+
+Intentionally empty: discovery, profiling, relationship scoring and semantic
+annotation are batch jobs over tables at rest, and the work this library
+reproduces has no streaming operator (no stream source, watermark, window or
+state). Nothing here is planned.
+"""
