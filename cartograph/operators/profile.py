@@ -22,11 +22,11 @@ from ..functions.semantic_type import semantic_type
 from ..sources.base import quoted, value_kind
 from . import values as V
 
-def typed_stats(estate) -> DataFrame | None:
+def typed_stats(estate, datasets=None) -> DataFrame | None:
     """min/max of the columns whose order is not their string's (arrays,
     structs, intervals): a narrow aggregate reading only those columns."""
     frames = []
-    for ds in estate.datasets:
+    for ds in estate.datasets if datasets is None else datasets:
         fields = [(i, f) for i, f in enumerate(ds.schema.fields)
                   if value_kind(f.dataType) == "typed"]
         if not fields:

@@ -100,7 +100,8 @@ def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFra
     return allv.groupBy("dataset_id", "ordinal", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def long_values(estate, wanted: DataFrame, max_chars: int | None) -> DataFrame | None:
+def long_values(estate, wanted: DataFrame, max_chars: int | None,
+                datasets=None) -> DataFrame | None:
     """One re-read of the text-like columns, long values only (no shuffle of
     the texts themselves): (dataset_id, ordinal, key, lo, hi) where ``key`` is
     a wanted digest key and lo = hi = its full text, or ``key`` is null and
@@ -110,10 +111,10 @@ def long_values(estate, wanted: DataFrame, max_chars: int | None) -> DataFrame |
     if not max_chars:
         return None
     frames = []
-    for ds in estate.datasets:
+    for ds in estate.datasets if datasets is None else datasets:
         fields = [(i, f) for i, f in enumerate(ds.schema.fields) if may_be_long(f)]
         if fields:
-            frames.append(_long_pairs(estate.load(ds), ds.dataset_id, fields,
+            frames.append(_long_pairs(spread(estate, ds, estate.load(ds)), ds.dataset_id, fields,
                                       lambda i, f: value_string(f)))
     if not frames:
         return None

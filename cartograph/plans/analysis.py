@@ -39,18 +39,28 @@ class Analysis:
         ds = self.estate.datasets
         return [ds[i:i + n] for i in range(0, len(ds), n)] or [[]]
 
-    @cached_property
-    def column_values(self) -> DataFrame:
-        """(dataset_id, ordinal, key, n), written batch by batch."""
+    def _batched(self, build, name: str) -> DataFrame | None:
+        """``build(datasets)`` for each batch of datasets; with one batch a
+        single plan, otherwise each batch appended to one written table."""
         batches = self._batches()
         if len(batches) == 1 or not self.materialize:
-            return self._keep(V.column_values(self.estate, self.options.max_value_chars),
-                              "column_values")
-        path = pu.scratch_path(self.spark, self.run_id, "column_values")
-        for i, batch in enumerate(batches):
-            (V.column_values(self.estate, self.options.max_value_chars, datasets=batch)
-             .write.mode("overwrite" if i == 0 else "append").parquet(path))
-        return self.spark.read.parquet(path)
+            df = build(batches[0])
+            return None if df is None else self._keep(df, name)
+        path = pu.scratch_path(self.spark, self.run_id, name)
+        written = False
+        for batch in batches:
+            df = build(batch)
+            if df is not None:
+                df.write.mode("append" if written else "overwrite").parquet(path)
+                written = True
+        return self.spark.read.parquet(path) if written else None
+
+    @cached_property
+    def column_values(self) -> DataFrame:
+        """(dataset_id, ordinal, key, n)."""
+        return self._batched(
+            lambda b: V.column_values(self.estate, self.options.max_value_chars, datasets=b),
+            "column_values")
 
     @cached_property
     def ranked(self) -> DataFrame:
@@ -59,8 +69,9 @@ class Analysis:
 
     @cached_property
     def long_values(self) -> DataFrame | None:
-        lv = V.long_values(self.estate, self.ranked, self.options.max_value_chars)
-        return None if lv is None else self._keep(lv, "long_values")
+        return self._batched(
+            lambda b: V.long_values(self.estate, self.ranked, self.options.max_value_chars, b),
+            "long_values")
 
     @cached_property
     def top_values(self) -> DataFrame:
@@ -68,8 +79,7 @@ class Analysis:
 
     @cached_property
     def typed_stats(self) -> DataFrame | None:
-        ts = P.typed_stats(self.estate)
-        return None if ts is None else self._keep(ts, "typed_stats")
+        return self._batched(lambda b: P.typed_stats(self.estate, b), "typed_stats")
 
     @cached_property
     def profiles(self) -> DataFrame:

@@ -100,3 +100,13 @@ def test_sf0001_counts(spark):
     for r in rows:  # property checks
         assert r.distinct_count <= r.total_rows + 1
         assert 0.0 <= r.null_rate <= 1.0
+
+
+def test_batched_plans_same_profiles(spark):
+    from cartograph import discover
+    cols = ["table_name", "column_name", "total_rows", "null_count", "distinct_count",
+            "min_value", "max_value", "mean_value", "sample_values", "inferred_type"]
+    one = Analysis(discover(spark, "/root/testdata/sf0.001")).profiles.select(*cols)
+    many = Analysis(discover(spark, "/root/testdata/sf0.001",
+                             options=Options(datasets_per_plan=3))).profiles.select(*cols)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
