@@ -52,6 +52,22 @@ def write_result(df: DataFrame, options, key: str, run_id: str, run_ts: datetime
     return name
 
 
+def string_form(df: DataFrame) -> DataFrame:
+    """The result as stored text: arrays, maps and structs as JSON strings
+    (``columns``, ``raw_schema``, ``extra``, ``sample_values``)."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name)
+                       if isinstance(f.dataType, nested) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def register_json_view(spark: SparkSession, table: str) -> str:
+    """``<table>_json``: a temporary view of the table in its string form."""
+    view = table.split(".")[-1] + "_json"
+    string_form(spark.read.table(table)).createOrReplaceTempView(view)
+    return view
+
+
 def write_run_record(spark: SparkSession, options, run_id: str, run_ts: datetime, status: str,
                      summary: dict, artefacts_dir: str, location: str | None = None) -> None:
     """K6: one row per run, always (also on failure or no data)."""

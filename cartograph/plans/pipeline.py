@@ -71,6 +71,8 @@ def run_pipeline(spark: SparkSession, paths=(), options: Options | None = None,
         semantic = spark.read.table(sem_name).filter(F.col("run_id") == run_id)
         t_sem = round(time.time() - t0, 1)
 
+        for name in (RUN.table_name(options, "discovery"), prof_name, rel_name, sem_name):
+            RUN.register_json_view(spark, name)
         RUN.write_artefact(R.ordered(rels).limit(TOP_ARTEFACT_ROWS), artefacts,
                            "relationship_candidates")
         RUN.write_artefact(RUN.pii_columns(semantic), artefacts, "pii_summary")
