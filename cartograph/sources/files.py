@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from .base import Dataset
 FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json"}
 
 CSV_OPTIONS = {"header": "true", "sep": ","}
+SCHEMA_READERS = 16
 
 
 def list_files(spark: SparkSession, roots: list[str], extensions: tuple[str, ...]) -> DataFrame:
@@ -76,13 +78,24 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
         loc = posixpath.dirname(path) if granularity == "directory" else path
         groups.setdefault((root, loc, fmt), []).append(path)
 
-    datasets: list[Dataset] = []
-    warnings: list[tuple[str, str]] = []
-    for (root, loc, fmt), paths in sorted(groups.items()):
+    items = sorted(groups.items())
+
+    def schema_of(item):
+        (root, loc, fmt), paths = item
         try:
-            schema = _read(spark, fmt, [loc] if granularity == "directory" else paths).schema
+            return _read(spark, fmt, [loc] if granularity == "directory" else paths).schema, None
         except Exception as exc:  # unreadable file: warn and go on
-            warnings.append((loc, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"))
+            return None, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+
+    # footer reads / inference jobs are independent: run a bounded number at once
+    with ThreadPoolExecutor(max_workers=SCHEMA_READERS) as pool:
+        schemas = list(pool.map(schema_of, items))
+
+    datasets: list[Dataset] = []
+    warnings: list[tuple[str, str]] = []
+    for ((root, loc, fmt), paths), (schema, error) in zip(items, schemas):
+        if schema is None:
+            warnings.append((loc, error))
             continue
         datasets.append(Dataset(
             dataset_id=first_id + len(datasets), source_type="volume", source_name=root,
