@@ -11,6 +11,7 @@ time so plan size stays bounded.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -83,6 +84,11 @@ class Analysis:
 
     @cached_property
     def profiles(self) -> DataFrame:
+        # the long-value re-read and the typed min/max are independent jobs
+        self.ranked
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(lambda: self.long_values), pool.submit(lambda: self.typed_stats)]:
+                f.result()
         return self._keep(P.profiles(self.estate, self.column_values, self.top_values,
                                      self.long_values, self.typed_stats), "profiles")
 
