@@ -50,3 +50,22 @@ def test_entry_flagship(spark):
     assert sum(r.status == "auto_accepted" for r in rows) == 22
     assert [r.confidence for r in rows] == sorted((r.confidence for r in rows), reverse=True)
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_failure_still_writes_run_row(spark, tmp_path):
+    import pytest
+
+    def broken(pdf):
+        raise RuntimeError("model down")
+
+    opts = KEY_DISCOVERY.replace(provider=broken, output_schema="cg_fail",
+                                 artefacts_path=str(tmp_path / "a"))
+    with pytest.raises(Exception):
+        run_pipeline(spark, SF, opts, table_location=str(tmp_path / "t"))
+    assert [r.status for r in run_history(spark, opts).collect()] == ["failed"]
+
+
+def test_queue_of_missing_tables_is_empty(spark):
+    q = get_review_queue(spark, KEY_DISCOVERY.replace(output_schema="cg_never_written"))
+    assert q["relationships_pending_review"] == 0
+    assert "confidence" in q["relationship_df"].columns
