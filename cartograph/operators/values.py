@@ -78,7 +78,11 @@ def spread(estate, ds, df: DataFrame) -> DataFrame:
     cores = estate.spark.sparkContext.defaultParallelism
     if cores < 2 or estate.row_count(ds) < SPREAD_MIN_ROWS:
         return df
-    if df.rdd.getNumPartitions() * 2 > cores:
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as read
+        return df
+    if splits * 2 > cores:
         return df
     return df.repartition(cores)
 
