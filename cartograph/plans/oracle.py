@@ -266,6 +266,7 @@ PAIR = "source_table, source_col, target_table, target_col"
 def oracle_sql() -> dict[str, str]:
     prof = _profile_ctes()
     rel = _relationship_ctes()
+    literal = _relationship_ctes(excluded=C.FK_EXCLUDED_TYPES + ("nested",))
     sem = _semantic_ctes()
     inv_arms = " UNION ALL ".join(
         f"SELECT {_file(v)} AS table_name, 'parquet' AS format, (SELECT count(*) FROM {v}) "
@@ -330,6 +331,8 @@ def oracle_sql() -> dict[str, str]:
                                               "cardinality_score, confidence FROM tiers"),
         "relationship_tiers": _with(rel, f"SELECT {PAIR}, confidence, status, evidence, "
                                          "relationship_type FROM tiers"),
+        "relationship_tiers_literal": _with(literal, f"SELECT {PAIR}, confidence, status, "
+                                                 "evidence FROM tiers"),
         "relationship_top20": _with(rel, f"SELECT {PAIR}, confidence, status FROM tiers "
                                          f"ORDER BY confidence DESC, {PAIR} LIMIT 20"),
         "review_relationships": _with(rel, f"SELECT {PAIR}, confidence FROM tiers "

@@ -225,6 +225,13 @@ def relationship_tiers(spark, folder):
                                         "relationship_type")
 
 
+def relationship_tiers_literal(spark, folder):
+    """Tiers with the default exclusions (integer keys count as ``numeric``
+    and are not FK candidates), Levenshtein edit ratio."""
+    opts = Options(edit="levenshtein")
+    return _cands(spark, folder, opts).select(*_pair(), "confidence", "status", "evidence")
+
+
 def relationship_top20(spark, folder):
     """O2: a global top-20 (``TakeOrderedAndProject``: a top-20 per task,
     then merged), ties broken on the pair."""
@@ -314,7 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         column_values, infer_semantic_type, column_profiles, pk_candidates,
         fk_candidate_columns, candidate_pairs, value_overlap, name_token_jaccard,
         name_levenshtein_ratio, cardinality_fit, relationship_confidence, relationship_tiers,
-        relationship_top20, semantic_prompts, semantic_parse, semantic_fallback,
+        relationship_tiers_literal, relationship_top20, semantic_prompts, semantic_parse, semantic_fallback,
         semantic_annotations, pii_columns, review_relationships, review_semantics,
         review_counts, run_summary,
         # rows-only (no SQL twin)
