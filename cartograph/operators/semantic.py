@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.scoring import tier
 from ..functions.text import py_strip, py_title
@@ -122,16 +121,32 @@ def rule_replies(prompts_df: DataFrame, profiles: DataFrame) -> DataFrame:
         "dataset_id", "source_name", "table_name", "raw")
 
 
+def _ask(fn: Callable[[pd.DataFrame], Any], pdf: pd.DataFrame) -> list:
+    out = fn(pdf[["source_name", "table_name", "prompt"]].assign(system_prompt=C.SYSTEM_PROMPT))
+    raw = list(out["raw"] if isinstance(out, pd.DataFrame) else out)
+    if len(raw) != len(pdf):
+        raise ValueError(f"provider returned {len(raw)} replies for {len(pdf)} prompts")
+    return raw
+
+
 def _call_batches(fn: Callable[[pd.DataFrame], Any]):
+    """Call the model per Arrow batch; when a batch fails, ask table by table
+    so one failing table only loses its own reply (it falls back)."""
     def run(batches):
         for pdf in batches:
-            out = fn(pdf[["source_name", "table_name", "prompt"]].assign(
-                system_prompt=C.SYSTEM_PROMPT))
-            raw = out["raw"] if isinstance(out, pd.DataFrame) else pd.Series(list(out))
+            try:
+                raw = _ask(fn, pdf)
+            except Exception:
+                raw = []
+                for i in range(len(pdf)):
+                    try:
+                        raw.append(_ask(fn, pdf.iloc[[i]])[0])
+                    except Exception:
+                        raw.append(None)
             yield pd.DataFrame({"dataset_id": pdf["dataset_id"].values,
                                 "source_name": pdf["source_name"].values,
                                 "table_name": pdf["table_name"].values,
-                                "raw": raw.astype("string").values})
+                                "raw": pd.Series(raw, dtype="string").values})
     return run
 
 

@@ -55,10 +55,7 @@ def test_entry_flagship(spark):
 def test_failure_still_writes_run_row(spark, tmp_path):
     import pytest
 
-    def broken(pdf):
-        raise RuntimeError("model down")
-
-    opts = KEY_DISCOVERY.replace(provider=broken, output_schema="cg_fail",
+    opts = KEY_DISCOVERY.replace(provider="no-such-provider", output_schema="cg_fail",
                                  artefacts_path=str(tmp_path / "a"))
     with pytest.raises(Exception):
         run_pipeline(spark, SF, opts, table_location=str(tmp_path / "t"))

@@ -77,3 +77,20 @@ def test_callable_provider(spark):
 
     rows = {r.column_name: r for r in S.annotate(a.profiles, Options(provider=model)).collect()}
     assert rows["id"].status == "auto_accepted" and rows["name"].confidence == 0.3
+
+
+def test_failing_table_falls_back_alone(spark):
+    import pandas as pd
+    from cartograph import Analysis
+    frames = {"good": spark.createDataFrame([(1,)], "id long"),
+              "bad": spark.createDataFrame([(1,)], "x long")}
+    a = Analysis(discover_frames(spark, frames, Options()), materialize=False)
+
+    def model(pdf: pd.DataFrame) -> pd.DataFrame:
+        if (pdf["table_name"] == "bad").any():
+            raise RuntimeError("model down for this table")
+        return pd.DataFrame({"raw": ['[{"column_name": "id", "confidence": 0.9}]'] * len(pdf)})
+
+    rows = {r.table_name: r for r in S.annotate(a.profiles, Options(provider=model)).collect()}
+    assert rows["good"].status == "auto_accepted" and rows["good"].from_reply
+    assert rows["bad"].confidence == 0.3 and not rows["bad"].from_reply
