@@ -76,7 +76,8 @@ class Analysis:
 
     @cached_property
     def top_values(self) -> DataFrame:
-        return self._keep(V.with_full_values(self.ranked, self.long_values), "top_values")
+        # a small join of two written frames, used once: not written itself
+        return V.with_full_values(self.ranked, self.long_values)
 
     @cached_property
     def typed_stats(self) -> DataFrame | None:
