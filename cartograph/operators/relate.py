@@ -1,14 +1,13 @@
 """Foreign-key -> primary-key candidates in one plan over all column pairs.
 
-The per-pair loop of two Spark actions becomes a single equi-join of the
-frequency table with itself on the value: FK values (distinct, non-null,
-of eligible columns) meet PK values of other datasets, and a grouped count
-gives the matched values of every pair at once. After de-duplication a
-value occurs at most once per column, so one join key produces at most
-(#FK columns x #PK columns) rows: the join's skew is bounded by the
-schema's width, never by row counts; AQE splits what remains.
-Pairs with no common value never appear, which is exactly the
-``overlap < min_overlap`` cut for a positive cut.
+The per-pair loop of two Spark actions becomes one grouping of the
+frequency table on the value: FK values (distinct, non-null, of eligible
+columns) and PK values meet in a single shuffle, each value is reduced to
+the sets of columns holding it, and matched counts of every pair come from
+counting values per distinct set pair. After de-duplication a value occurs
+at most once per column, so a value's group is bounded by the schema's
+width, never by row counts. Pairs with no common value never appear, which
+is exactly the ``overlap < min_overlap`` cut for a positive cut.
 """
 
 from __future__ import annotations
@@ -58,16 +57,31 @@ def _values_of(freq: DataFrame, cols: DataFrame, bound: int) -> DataFrame:
 
 def matched_values(estate, freq: DataFrame, profiles: DataFrame, options) -> DataFrame:
     """(fk_dataset, fk_ordinal, pk_dataset, pk_ordinal, matched) for every
-    pair of columns from different datasets sharing at least one value."""
+    pair of columns from different datasets sharing at least one value.
+
+    No pair is emitted per value: each value is first reduced to its
+    signature, the sorted sets of FK and PK columns that hold it (one
+    shuffle on the value; a set holds at most the schema's columns), then
+    values are counted per distinct signature, and only those few signature
+    rows are expanded into column pairs."""
     bound = estate.column_count
+    col = F.struct(F.col("dataset_id").alias("d"), F.col("ordinal").alias("o"))
     fk = _values_of(freq, fk_columns(profiles, options), bound).select(
-        F.col("dataset_id").alias("fk_dataset"), F.col("ordinal").alias("fk_ordinal"), "key")
+        "key", col.alias("fk"), F.lit(None).cast("struct<d:int,o:int>").alias("pk"))
     pk = _values_of(freq, pk_columns(profiles), bound).select(
-        F.col("dataset_id").alias("pk_dataset"), F.col("ordinal").alias("pk_ordinal"), "key")
-    return (fk.join(pk, "key")
-            .filter(F.col("fk_dataset") != F.col("pk_dataset"))
-            .groupBy("fk_dataset", "fk_ordinal", "pk_dataset", "pk_ordinal")
-            .agg(F.count(F.lit(1)).alias("matched")))
+        "key", F.lit(None).cast("struct<d:int,o:int>").alias("fk"), col.alias("pk"))
+    signatures = (fk.unionByName(pk).groupBy("key")
+                  .agg(F.array_sort(F.collect_set("fk")).alias("fks"),
+                       F.array_sort(F.collect_set("pk")).alias("pks"))
+                  .filter((F.size("fks") > 0) & (F.size("pks") > 0))
+                  .groupBy("fks", "pks").agg(F.count(F.lit(1)).alias("n")))
+    pairs = (signatures.select(F.explode("fks").alias("f"), "pks", "n")
+             .select("f", F.explode("pks").alias("p"), "n")
+             .filter(F.col("f.d") != F.col("p.d")))
+    return pairs.groupBy(
+        F.col("f.d").alias("fk_dataset"), F.col("f.o").alias("fk_ordinal"),
+        F.col("p.d").alias("pk_dataset"), F.col("p.o").alias("pk_ordinal"),
+    ).agg(F.sum("n").cast("long").alias("matched"))
 
 
 def _side(profiles: DataFrame, prefix: str) -> DataFrame:
