@@ -48,7 +48,7 @@ def prepare_session(spark: SparkSession, scratch: str | None = None) -> None:
 def _ship_package(spark: SparkSession) -> None:
     """Python workers get this package as a zip (once per context)."""
     context = spark.sparkContext
-    if getattr(context, "_cartograph_shipped", False) or context.master.startswith("local["):
+    if getattr(context, "_cartograph_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     base = os.path.join(tempfile.mkdtemp(prefix="cartograph-zip-"), "cartograph")
