@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import plan_utils as pu
 
@@ -22,6 +26,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return pu.materialize(df, df.sparkSession, "llm", name)
 
 
+def map_text(docs: DataFrame, task: Callable[[pa.Array], list[pa.Array]], added: str) -> DataFrame:
+    """Columns c0, c1, ... of ``docs`` (by place, so that any names will do) and
+    then those of ``added``, which ``task`` makes from a batch's texts."""
+    more = T.StructType.fromDDL(added)
+    safe = [f"c{i}" for i in range(len(docs.columns))]
+    text = docs.columns.index("text")
+    kind = T.StructType([T.StructField(n, f.dataType) for n, f in zip(safe, docs.schema.fields)] + list(more.fields))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *task(batch.column(text))], kind.names)
+
+    return docs.toDF(*safe).mapInArrow(run, kind)
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

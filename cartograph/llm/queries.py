@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import ngram_join
+from . import langid, ngram_join, toxicity
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(C.table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(C.table(spark, sf_dir, "documents"), folds=5, held_out=0)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"), folds=5, held_out=0)
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_ngram_jaccard_join,
+    op3_ngram_jaccard_join, op9_language_id, op10_toxicity,
 )}
 
 #: The join as plain SQL: every pair's overlap, then labels spread until they rest.

@@ -149,3 +149,77 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     off = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=off[1:])
     return pa.ListArray.from_arrays(pa.array(off), pa.array(values, kind))
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unicode code points of UTF-8 rows and the rows' offsets in them."""
+    try:
+        cp = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le", "surrogatepass"), np.uint32)
+    except UnicodeDecodeError:  # not text; its bytes stand for characters
+        return data.astype(np.uint32), offsets
+    if len(cp) == len(data):
+        return cp, offsets
+    lead = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
+    return cp, lead[offsets]
+
+
+_letters: np.ndarray | None = None
+
+
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    global _letters
+    if _letters is None:
+        _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return _letters
+
+
+def lowered(column):
+    """The column in lower case, as Arrow's kernel has it."""
+    import pyarrow.compute as pc
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return pc.utf8_lower(column)
+
+
+def gram_slots(cp: np.ndarray, orders: tuple[int, ...], bits: int) -> list[np.ndarray]:
+    """For each order: the slot (below 2**bits) of the character n-gram that
+    starts at each position; white space characters are all one."""
+    c = cp.astype(np.uint64)
+    c[(c <= 32) | (c == 0xA0)] = 32
+    c = (c + np.uint64(1)) * _GOLD
+    out, h = {}, c
+    for n in range(1, max(orders) + 1):
+        if n > 1:
+            h = h[:-1] * _BASE + (c[n - 1:] ^ (c[n - 1:] >> _S31)) if len(h) > 1 else h[:0]
+        if n in orders:
+            x = (h ^ (h >> _S31)) * _M1
+            out[n] = (x >> np.uint64(64 - bits)).astype(np.int32)
+    return [out[n] for n in orders]
+
+
+def row_slots(column, orders: tuple[int, ...], bits: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """(row, its code points, its slots by order) for every row of a column."""
+    data, offsets = string_buffers(lowered(column))
+    for a, b in chunks(offsets):
+        cp, off = code_points(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        slots = gram_slots(cp, orders, bits)
+        for r in range(b - a):
+            lo, hi = off[r], off[r + 1]
+            yield a + r, cp[lo:hi], [s[lo:max(lo, hi - n + 1)] for s, n in zip(slots, orders)]
+
+
+class Distinct:
+    """Distinct slots of one row after another, without sorting."""
+
+    def __init__(self, bits: int):
+        self.last = np.full(1 << bits, -1, np.int64)
+        self.at = 0
+
+    def __call__(self, slots: np.ndarray) -> np.ndarray:
+        place = np.arange(self.at, self.at + len(slots))
+        self.at += len(slots)
+        self.last[slots] = place
+        return slots[self.last[slots] == place]
