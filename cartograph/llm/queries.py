@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import plan_utils as pu
 from . import common as C
-from . import langid, ngram_join, toxicity
+from . import ctw, langid, ngram_join, toxicity, wavelet
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(C.table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op4_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = C.fold("doc_id", 7) == 2
+    docs = C.table(spark, sf_dir, "documents")
+    return ctw.score(docs, train_on=~held_out).withColumn("held_out", held_out)
+
+
+def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = pu.scratch_path(spark, "llm", "token-shards", uuid.uuid4().hex[:8])
+    wavelet.write(C.table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return wavelet.documents(spark, path)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(C.table(spark, sf_dir, "documents"), folds=5, held_out=0)
 
@@ -21,7 +38,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_ngram_jaccard_join, op9_language_id, op10_toxicity,
+    op3_ngram_jaccard_join, op4_context_tree_weighting, op6_wavelet_tokens, op9_language_id, op10_toxicity,
 )}
 
 #: The join as plain SQL: every pair's overlap, then labels spread until they rest.
