@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import plan_utils as pu
 from . import common as C
-from . import ctw, langid, ngram_join, toxicity, wavelet
+from . import ctw, decontaminate, langid, line_dedup, ngram_join, packing, toxicity, wavelet
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(C.table(spark, sf_dir, "documents"), min_words=25)
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"),
+                              size=5, least=0.8, radius=24)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +38,10 @@ def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents(spark, path)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(C.table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(C.table(spark, sf_dir, "documents"), folds=5, held_out=0)
 
@@ -38,7 +51,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_ngram_jaccard_join, op4_context_tree_weighting, op6_wavelet_tokens, op9_language_id, op10_toxicity,
+    op1_line_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_context_tree_weighting, op6_wavelet_tokens,
+    op8_best_fit_packing, op9_language_id, op10_toxicity,
 )}
 
 #: The join as plain SQL: every pair's overlap, then labels spread until they rest.
