@@ -1,22 +1,21 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of n-grams is the order of their 64-bit hashes. The order is
-cut into fragments; every document's set falls apart into one segment per
-fragment, and a pair's overlap is the sum of its partial overlaps over the
-fragments.
-
-*Candidates.* Two sets of at most N n-grams with 100 * overlap >= 90 * union
-differ in at most d = floor(2 N / 19) n-grams, so that with d + 1 fragments at
-least one segment is the same in both. Documents meet where (size class,
-fragment, segment) agree; size classes overlap such that any pair that can
-link has one in common. This loses no pair. An empty segment says little:
-with one more fragment a document leaves out its empty one, and two empty ones
-are too rare to matter (they are kept then, so the guarantee stands).
+All n-grams have one global order, from rare to frequent, and by hash among
+equally frequent ones. The order is cut: each document's set falls apart into
+its rare end, which decides with whom it is compared, and into segments by
+fragments of the hash order, in which overlaps are counted one fragment after
+another and summed per pair.
+
+*Candidates.* A set of n n-grams that links with another shares an n-gram with
+it among the first n - ceil(n * percent / 100) + 1 of either in the global
+order. This holds in any order; the rare-to-frequent one keeps common lines
+out of the rare ends. Frequencies come from a table of 2**22 counters over all
+texts: a task reports the counters that stand out from its mean.
 
 *Groups.* Equal sets are one class, and only classes go on. Each class is tied
-to the smallest class of each meeting place (not to all others), and the
-components of these ties hold every link. A component is cut in blocks by size;
-each pair of blocks is one unit of work of bounded memory.
+to the smallest class that has the same n-gram in its rare end (not to all
+others), and the components of these ties hold every link. A component is cut
+in blocks by size; each pair of blocks is one unit of work of bounded memory.
 
 *Counting.* For two blocks the segments of each fragment are joined by n-gram,
 partial overlaps are added per pair over the fragments and compared with the
@@ -37,6 +36,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import text as X
 
+COUNTER_BITS = 22
 #: Classes and n-grams that one side of a unit of work holds, about.
 BLOCK_CLASSES = 1024
 BLOCK_NGRAMS = 1_000_000
@@ -44,36 +44,6 @@ BLOCK_NGRAMS = 1_000_000
 FRAGMENT_NGRAMS = 1 << 16
 
 
-class Sizes:
-    """Size classes and their numbers of fragments for a threshold in per cent."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        self.low = [1]
-        while self.low[-1] < 1 << 31:
-            self.low.append(max(self.low[-1] + 1, int(self.low[-1] * 1.2)))
-        self.bounds = np.array(self.low, np.int64)
-
-    def difference(self, top: int) -> int:
-        """Most n-grams in which two linked sets of at most ``top`` can differ."""
-        p = self.percent
-        return (2 * top * (100 - p)) // (100 + p)
-
-    def labels(self, n: int) -> list[tuple[int, int, int]]:
-        """(label, fragments, empty segments left out) under which a set of n is filed."""
-        c = int(np.searchsorted(self.bounds, n, "right")) - 1
-        out = []
-        for label in (c, c + 1):
-            if label == c + 1 and 100 * n < self.percent * int(self.bounds[label]):
-                continue
-            d = self.difference(int(self.bounds[label + 1]) - 1)
-            if d == 0:
-                continue  # such sets link only if equal, and equal sets are one class
-            spare = 1 if d >= 7 else 0
-            out.append((label, d + 1 + spare, spare))
-        return out
-
-
 def _segments(s: np.ndarray, parts: int) -> np.ndarray:
     """The fragment of each n-gram hash: equal ranges of the hash order."""
     return ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
@@ -85,43 +55,59 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
             int(X.mix(s + X.const(102)).sum(dtype=np.uint64).astype(np.int64)))
 
 
-def _keys(s: np.ndarray, sizes: Sizes) -> list[np.ndarray]:
-    out = []
-    salted = X.mix(s ^ X.const(103))
-    for label, parts, spare in sizes.labels(len(s)):
-        f = _segments(s, parts).astype(np.int64)
-        count = np.bincount(f, minlength=parts)
-        full = np.flatnonzero(count)
-        begin = np.searchsorted(f, full)
-        sums = np.zeros(parts, np.uint64)
-        sums[full] = np.add.reduceat(salted, begin)
-        k = X.mix(sums + np.arange(parts, dtype=np.uint64) * X.const(104)
-                  + count.astype(np.uint64) * X.const(105) + X.const(1000 + label))
-        out.append(k[full] if parts - len(full) <= spare else k)
-    return out
+def _frequent(size: int):
+    """Arrow task: the counters that stand out among a task's n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(1 << COUNTER_BITS, np.int64)
+        for batch in batches:
+            for _, _, w in X.word_chunks(batch.column("text")):
+                np.add.at(count, X.shingles(w.hash, size) >> np.uint64(64 - COUNTER_BITS), 1)
+        mean = count.mean()
+        slot = np.flatnonzero(count > mean + 6 * mean ** 0.5 + 4)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(count[slot])], ["slot", "n"])
+
+    return run
+
+
+def frequency_table(docs: DataFrame, size: int) -> np.ndarray:
+    """A class of frequency (0 to 255, eighths of powers of two) for every counter."""
+    found = (docs.select("text").mapInArrow(_frequent(size), "slot int, n long")
+             .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())  # at most 2**COUNTER_BITS rows
+    table = np.zeros(1 << COUNTER_BITS, np.uint8)
+    table[found.column("slot").to_numpy()] = np.minimum(255, 8 * np.log2(found.column("n").to_numpy()))
+    return table
+
+
+def _rare_end(s: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
+    """The first n-grams of a sorted set in the global order, as many as a partner must share one of."""
+    n = len(s)
+    take = n - -(-n * percent // 100) + 1
+    kind = table[s >> np.uint64(64 - COUNTER_BITS)]
+    return s[np.argsort(kind, kind="stable")[:take]] if kind.any() else s[:take]
 
 
-def file_sets(size: int, percent: int):
+def file_sets(size: int, percent: int, shared):
     """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(percent)
+        table = shared.value
         for batch in batches:
             n, s1, s2 = [], [], []
-            keys, counts, seen = [], [], set()
+            keys, seen = [np.zeros(0, np.uint64)], set()
+            counts = []
             for a, b, w in X.word_chunks(batch.column("text")):
                 for r in range(b - a):
                     s = np.unique(X.shingles(w.hash[w.first[r]:w.first[r + 1]], size))
                     x, y = _signature(s) if len(s) else (0, 0)
-                    own = [] if not len(s) or (x, y) in seen else _keys(s, sizes)
+                    own = s[:0] if (x, y) in seen else _rare_end(s, table, percent)
                     seen.add((x, y))
                     n.append(len(s)), s1.append(x), s2.append(y)
-                    keys += own
-                    counts.append(sum(map(len, own)))
-            flat = np.concatenate(keys).astype(np.int64) if keys else np.zeros(0, np.int64)
+                    keys.append(own), counts.append(len(own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                 pa.array(s2, pa.int64()), X.list_column(flat, np.array(counts, np.int64), pa.int64())],
+                 pa.array(s2, pa.int64()),
+                 X.list_column(np.concatenate(keys).astype(np.int64), np.array(counts, np.int64), pa.int64())],
                 ["doc_id", "n", "s1", "s2", "keys"])
 
     return run
@@ -240,10 +226,11 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     as one node. An empty table gives an empty result; other columns are
     ignored.
     """
-    if not 50 <= percent <= 100:
-        raise ValueError("percent must lie in 50..100")
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must lie in 1..100")
+    table = docs.sparkSession.sparkContext.broadcast(frequency_table(docs, size))  # 2**COUNTER_BITS bytes
     filed = C.written(docs.select("doc_id", "text")
-                      .mapInArrow(file_sets(size, percent),
+                      .mapInArrow(file_sets(size, percent, table),
                                   "doc_id long, n long, s1 long, s2 long, keys array<long>"), "ngram-sets")
     keys = filed.where("doc_id is not null").select("s1", F.explode("keys").alias("key"))
     hubs = (keys.groupBy("key").agg(F.min("s1").alias("hub"), F.max("s1").alias("top"))
