@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import plan_utils as pu
 from . import common as C
-from . import ctw, decontaminate, langid, line_dedup, ngram_join, packing, toxicity, wavelet
+from . import ann, ctw, decontaminate, html_extract, langid, line_dedup, ngram_join, packing, toxicity, wavelet
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,10 @@ def op4_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(docs, train_on=~held_out).withColumn("held_out", held_out)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(C.table(spark, sf_dir, "pages"))
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,6 +43,10 @@ def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents(spark, path)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(C.table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -51,8 +60,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_context_tree_weighting, op6_wavelet_tokens,
-    op8_best_fit_packing, op9_language_id, op10_toxicity,
+    op1_line_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_context_tree_weighting, op5_html_extraction,
+    op6_wavelet_tokens, op7_nearest_neighbours, op8_best_fit_packing, op9_language_id, op10_toxicity,
 )}
 
 #: The join as plain SQL: every pair's overlap, then labels spread until they rest.
