@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,19 @@ def map_text(docs: DataFrame, task: Callable[[pa.Array], list[pa.Array]], added:
     return docs.toDF(*safe).mapInArrow(run, kind)
 
 
+def smallest_hashes(rows: DataFrame, counts: dict, label: str, most: int) -> DataFrame:
+    """(doc_id) of about ``most`` rows of each label (never more), those with the
+    smallest hash of their id. ``counts`` has the rows of each label: a share of
+    the hash's range is cut off first, so that the ranking sees few more rows
+    than it keeps, however many there are."""
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (1.2 * most + 100) / n))])
+    mark = F.xxhash64("doc_id")
+    low = F.pmod(mark, F.lit(1 << 40)) < share[F.col(label)] * float(1 << 40)
+    return (rows.where(low).select("doc_id", label, mark.alias("mark"))
+            .withColumn("k", F.row_number().over(Window.partitionBy(label).orderBy("mark", "doc_id")))
+            .where(F.col("k") <= most).select("doc_id").distinct())
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -71,9 +71,7 @@ def train(docs: DataFrame, max_rows: int = 2000) -> Model | None:
     total = sum(r["count"] for r in per_lang)
     quota = max(20, max_rows // len(langs))
     mark = F.xxhash64("doc_id")
-    chosen = (rows.select("doc_id", "lang", mark.alias("mark"))
-              .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id")))
-              .where(F.col("k") <= quota).select("doc_id").distinct())
+    chosen = C.smallest_hashes(rows, {r["lang"]: r["count"] for r in per_lang}, "lang", quota)
     df = np.zeros(1 << BITS)
     for part in (rows.select("text").mapInArrow(_document_frequency, "slot int, df long")
                  .groupBy("slot").agg(F.sum("df").alias("df")).toLocalIterator()):  # at most 2**BITS rows

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -72,9 +72,7 @@ def train(labelled: DataFrame, max_rows_per_class: int = 2000, alpha: float = 1.
     counts[0][at], counts[1][at] = table.column("clean").to_numpy(), table.column("toxic").to_numpy()
     ratio = np.log((alpha + counts[1]) / (2 * alpha + n[1])) - np.log((alpha + counts[0]) / (2 * alpha + n[0]))
     mark = F.xxhash64("doc_id")
-    chosen = (rows.select("doc_id", "toxic", mark.alias("mark"))
-              .withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("mark", "doc_id")))
-              .where(F.col("k") <= max_rows_per_class).select("doc_id").distinct())
+    chosen = C.smallest_hashes(rows, n, "toxic", max_rows_per_class)
     # max_rows_per_class rows of either label at most: a bounded sample
     sample = (rows.join(F.broadcast(chosen), "doc_id").select("text", "toxic", mark.alias("mark"))
               .mapInArrow(_features, "toxic int, mark long, slots array<int>").toArrow())
