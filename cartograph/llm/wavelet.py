@@ -142,7 +142,7 @@ class Encoder:
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.split()
-        new = list(set(words) - self.known.keys())
+        new = [w for w in set(words) if w not in self.known]
         if new:
             if len(self.known) + len(new) > CACHED_WORDS:
                 self.known.clear()
