@@ -23,6 +23,7 @@ frequent ones go with the broadcast, all others are joined by word.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -197,6 +198,15 @@ class Model:
     tokens: int = 0           # training tokens
     distinct: int = 0         # distinct training tokens
 
+    def __getstate__(self) -> dict:
+        """Tables travel compressed: slots that no node has are zero."""
+        return {k: (v.dtype.str, zlib.compress(v.tobytes(), 1)) if isinstance(v, np.ndarray) else v
+                for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for k, v in state.items():
+            self.__dict__[k] = np.frombuffer(zlib.decompress(v[1]), v[0]) if isinstance(v, tuple) else v
+
 
 def train(docs: DataFrame, hot_words: int = 1 << 19) -> tuple[Model, DataFrame]:
     """-> (model, (word, n) of all training words)."""
