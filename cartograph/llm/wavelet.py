@@ -14,6 +14,7 @@ planes and ranks by plane, and the documents' ids and lengths.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ SCHEMA = ("shard int, n long, bits int, zeros array<long>, planes array<binary>,
 
 
 class WaveletMatrix:
-    """Rank and select over a sequence of non-negative integers below 2**bits."""
+    """Rank and select over a sequence of unsigned integers below 2**bits."""
 
     def __init__(self, n: int, bits: int, zeros: list[int], planes: list[bytes], ranks: list[bytes]):
         self.n, self.bits, self.zeros = n, bits, list(zeros)
@@ -44,7 +45,7 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, bits: int) -> "WaveletMatrix":
         zeros, planes, ranks = [], [], []
         for level in range(bits - 1, -1, -1):
-            one = ((ids >> np.uint32(level)) & np.uint32(1)).astype(bool)
+            one = (ids & ids.dtype.type(1 << level)).astype(bool)
             packed = np.packbits(one, bitorder="little")
             padded = np.zeros(-(-len(ids) // BLOCK) * BLOCK // 8, np.uint8)
             padded[:len(packed)] = packed
@@ -111,46 +112,90 @@ class WaveletMatrix:
         return i
 
     def all(self) -> np.ndarray:
-        """The whole sequence, read plane by plane."""
-        at = np.arange(self.n)
-        value = np.zeros(self.n, np.uint32)
-        for p in range(self.bits):
-            one = np.unpackbits(self.planes[p], count=self.n, bitorder="little").astype(bool)
-            ones = np.zeros(self.n, np.int64)
-            np.cumsum(one[:-1], out=ones[1:])
-            bit = one[at]
-            value = value << np.uint32(1) | bit
-            at = np.where(one, self.zeros[p] + ones, np.arange(self.n) - ones)[at]
+        """The whole sequence: the partitions undone from the last plane to the first."""
+        value = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
+        for p in range(self.bits - 1, -1, -1):
+            one = np.unpackbits(self.planes[p], count=self.n, bitorder="little").view(bool)
+            above = np.empty_like(value)
+            above[~one] = value[:self.zeros[p]]
+            above[one] = value[self.zeros[p]:] | value.dtype.type(1 << self.bits - 1 - p)
+            value = above
         return value
 
 
 class Encoder:
     """Ids of texts by a tokenizer file that drops white space: words between
     ASCII white space never share a token, so each distinct word is encoded
-    once by the tokenizers library and remembered (up to a bound)."""
+    once by the tokenizers library and remembered (up to a bound).
+
+    A word of Latin letters, with or without one mark behind it, is one piece
+    (and one for the mark) for the library's normaliser and pre-tokenizer, and
+    goes to the library's merges directly; what the pieces look like is asked
+    of the library letter by letter. All other words go through the whole
+    tokenizer, and so does every word if a probe shows any difference.
+    """
+
+    MARKS = ".,!?;:"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+        self.kind = np.dtype("<u2") if self.bits <= 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
-
-    @property
-    def bits(self) -> int:
-        return max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        new = [w for w in set(words) if w not in self.known]
+        letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+        self.letters = {ord(c): self._piece(c) for c in letters}
+        self.marks = {m: self._whole([m])[0] for m in self.MARKS}
+        probes = [f"{a}{c}{b}{m}" for c in letters for a, b, m in (("", "", ""), ("ab", "Cd", "."), ("stre", "s", ","))]
+        self.direct = all(self.letters.values()) and [self._merged(p) for p in probes] == self._whole(probes)
+
+    def _piece(self, letter: str) -> str:
+        t = self.tokenizer
+        text = t.normalizer.normalize_str(letter) if t.normalizer else letter
+        pieces = t.pre_tokenizer.pre_tokenize_str(text) if t.pre_tokenizer else [(text, None)]
+        return pieces[0][0] if len(pieces) == 1 else ""
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in done]
+
+    def _merged(self, word: str) -> bytes | None:
+        """The ids of a word of Latin letters and perhaps a mark, else None."""
+        mark = b""
+        if word[-1] in self.marks:
+            word, mark = word[:-1], self.marks[word[-1]]
+        if not word.isalpha() or max(word) > "\xff":
+            return None
+        ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids) + mark
+
+    def _learn(self, words: list[bytes]) -> None:
+        rest = words
+        if self.direct:
+            rest = []
+            for w in words:
+                ids = self._merged(w.decode("utf-8", "replace"))
+                if ids is None:
+                    rest.append(w)
+                else:
+                    self.known[w] = ids
+        self.known.update(zip(rest, self._whole([w.decode("utf-8", "replace") for w in rest])))
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        words = [t.split() for t in texts]
+        found = [list(map(self.known.get, w)) for w in words]
+        new = {x for w, f in zip(words, found) if None in f for x, y in zip(w, f) if y is None}
         if new:
             if len(self.known) + len(new) > CACHED_WORDS:
                 self.known.clear()
-                new = list(set(words))
-            done = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
-                                                    add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(new, done))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
+                new = {x for w in words for x in w}
+            self._learn(list(new))
+            found = [list(map(self.known.__getitem__, w)) if None in f or len(self.known) == len(new) else f
+                     for w, f in zip(words, found)]
+        return [np.frombuffer(b"".join(f), self.kind) for f in found]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -177,19 +222,21 @@ def _build(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         bits = max(encode.bits, end_id.bit_length())
-        end = np.array([end_id], np.uint32)
+        end = np.array([end_id], np.uint16 if bits <= 16 else np.uint32)
         now, ids, parts = None, [], []
         for batch in batches:
             data, off = X.string_buffers(batch.column("text"))
             raw = data.tobytes()
-            for r, (shard, doc) in enumerate(zip(batch.column("shard").to_pylist(),
-                                                 batch.column("doc_id").to_pylist())):
-                if shard != now and parts:
-                    yield one(now, ids, parts, bits)
-                    ids, parts = [], []
-                now = shard
-                ids.append(doc)
-                parts.append(np.concatenate((encode(raw[off[r]:off[r + 1]]), end)))
+            shards, docs = batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist()
+            for a, b in X.chunks(off):
+                done = encode([raw[off[r]:off[r + 1]] for r in range(a, b)])
+                for shard, doc, row in zip(shards[a:b], docs[a:b], done):
+                    if shard != now and parts:
+                        yield one(now, ids, parts, bits)
+                        ids, parts = [], []
+                    now = shard
+                    ids.append(doc)
+                    parts.append(np.concatenate((row, end)))
         if parts:
             yield one(now, ids, parts, bits)
 

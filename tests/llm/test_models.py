@@ -306,8 +306,22 @@ def test_wavelet_matrix():
 
 def test_encoder_equals_the_library():
     encode = wavelet.encoder(TOKENIZER)
-    for t in ("", "a<|endoftext|>b  x", "ΑΣ ΣΑΣ\x1cfoo\xa0bar", "é ́x y it's I'LL 12345 ' s", "﻿ 你好 世界　ok"):
-        assert encode(t.encode()).tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
+    assert encode.direct
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGäöüßéèñóçÀÉµªÿıŁøÆ.,!?'-_|0129<>"
+    texts = ["", "a<|endoftext|>b  x", "ΑΣ ΣΑΣ\x1cfoo\xa0bar", "é ́x y it's I'LL 12345 ' s", "﻿ 你好 世界　ok",
+             "a|b | || x don't. 're, l'été", " ".join(f"q{k}" for k in range(9000)),
+             " ".join("".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(5000))]
+    for t, ids in zip(texts, encode([t.encode() for t in texts])):
+        assert ids.tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_encoder_forgets_and_is_right(monkeypatch):
+    monkeypatch.setattr(wavelet, "CACHED_WORDS", 5)
+    encode = wavelet.Encoder(TOKENIZER)
+    for texts in (["a b c", "c d"], ["d e f g", "a"], ["h i j k l m n", "a h"], ["a"]):
+        for t, ids in zip(texts, encode([t.encode() for t in texts])):
+            assert ids.tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 24, 60])
