@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
-from typing import Any, Callable
+import dataclasses
+from dataclasses import dataclass, field
+from typing import Any
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay exactly as written for results to match the
@@ -30,7 +31,6 @@ FIT_PK_UNIQUE = 0.5
 FIT_PK_NO_NULLS = 0.25
 FIT_FK_NOT_UNIQUE = 0.25
 RELATIONSHIP_TYPE = "FK → PK (candidate)"
-EVIDENCE_FORMAT = "overlap={o}, name_similarity={n}, cardinality_fit={c}"
 
 # Tiers.
 AUTO_ACCEPT = 0.85
@@ -38,14 +38,11 @@ HUMAN_REVIEW = 0.50
 FK_EXCLUDED_TYPES = ("monetary_amount", "boolean_flag", "datetime", "numeric")
 
 # Profiling defaults.
-SAMPLE_ROWS = 10_000
 SAMPLE_VALUES = 10
 SAMPLE_SEED = 42
-MAX_COLS_PER_TABLE = 50
 
 # Semantic phase.
 PROMPT_SAMPLES = 5
-RAW_RESPONSE_CHARS = 2000
 DEFAULT_CONFIDENCE = 0.5
 DEFAULT_SENSITIVITY = "low"
 FALLBACK_DESCRIPTION = "Could not infer — LLM response parse failure."
@@ -102,7 +99,7 @@ class Options:
     granularity: str = "file"               # "file" | "directory"
     sample_rows: int | None = None          # None = profile every row
     sample_values: int = SAMPLE_VALUES
-    max_cols_per_table: int = MAX_COLS_PER_TABLE
+    max_cols_per_table: int | None = None   # opt-in: FK columns beyond are listed as left out
     min_overlap: float = MIN_OVERLAP
     auto_accept: float = AUTO_ACCEPT
     human_review: float = HUMAN_REVIEW
@@ -110,7 +107,10 @@ class Options:
     name_match: str = "word"                # "word" (\b) | "token" (snake_case aware)
     edit: str = "difflib"                   # "difflib" | "levenshtein"
     provider: Any = "stub"                  # "stub" | "rules" | callable(pdf) -> pdf
-    max_value_chars: int = 128              # longer values are keyed by digest
+    max_value_chars: int = 128              # longer values are grouped by prefix and digest
+    raw_response_chars: int | None = None   # opt-in: cut stored replies
+    spread_min_rows: int | None = None      # opt-in: spread under-split inputs of as many rows
+    model_tasks: int | None = None          # tasks that call a model (default: the cores)
     datasets_per_plan: int = 200            # wide estates are profiled in batches
     output_schema: str = "cartograph_results"
     table_format: str = "parquet"
@@ -124,24 +124,18 @@ class Options:
     })
 
     def replace(self, **changes: Any) -> "Options":
-        values = asdict(self)
-        values.update(changes)
-        values["jdbc_sources"] = tuple(values["jdbc_sources"])
-        return Options(**values)
-
-    def snapshot(self) -> dict[str, Any]:
-        """Options without credentials, for the run artefacts."""
-        out = asdict(self)
-        out["jdbc_sources"] = [
-            {k: v for k, v in src.items() if k not in ("user", "password")}
-            for src in self.jdbc_sources
-        ]
+        return dataclasses.replace(self, **changes)
+
+    def snapshot(self, jdbc_sources: tuple = ()) -> dict[str, Any]:
+        """Options for the run's record: of a connection only its name and
+        which tables are asked for, never its address or credentials."""
+        out = {f.name: getattr(self, f.name) for f in dataclasses.fields(self)}
+        out["jdbc_sources"] = [{k: src[k] for k in ("name", "tables", "exclude_schemas") if k in src}
+                               for src in (*jdbc_sources, *self.jdbc_sources)]
         out["provider"] = self.provider if isinstance(self.provider, str) else getattr(
-            self.provider, "__name__", "callable")
+            self.provider, "__name__", type(self.provider).__name__)
         return out
 
 
 # Flagship options: integer keys may be foreign keys (numeric not excluded).
 KEY_DISCOVERY = Options(fk_excluded_types=("monetary_amount", "boolean_flag", "datetime"))
-
-ProviderFn = Callable[..., Any]

@@ -1,11 +1,9 @@
 """Column profiles: one statistics row per column of every dataset.
 
-Everything derives from one pass over the data, the frequency table of
-:mod:`.values`: row and null counts, distinct counts, min/max/mean (numbers
-ordered by the value their key spells) and the top-N values. Two narrow
-extras read only what the frequency table cannot give: the long values of
-text columns (their full text and order) and the typed min/max of nested
-columns. No per-column action and no data on the driver.
+Counts, distinct counts and the top-N values come from the frequency table of
+:mod:`.values`; least, greatest and mean values from one typed aggregate per
+dataset, without grouping and so without shuffle or sort of its rows. No
+per-column action and no data on the driver.
 """
 
 from __future__ import annotations
@@ -14,94 +12,72 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.semantic_type import semantic_type
-from ..sources.base import quoted, value_kind
+from ..sources.base import orderable, quoted
 from . import values as V
 
+
 def typed_stats(estate, datasets=None) -> DataFrame | None:
-    """min/max of the columns whose order is not their string's (arrays,
-    structs, intervals): a narrow aggregate reading only those columns."""
+    """(dataset_id, ordinal, min_value, max_value, min_num, max_num, mean_raw)
+    of every column, each compared in its own type and printed afterwards."""
     frames = []
     for ds in estate.datasets if datasets is None else datasets:
-        fields = [(i, f) for i, f in enumerate(ds.schema.fields)
-                  if value_kind(f.dataType) == "typed"]
-        if not fields:
+        if not ds.schema.fields:
             continue
-        aggs = []
-        for i, f in fields:
-            c = F.col(quoted(f.name))
-            aggs += [F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}")]
-        row = estate.load(ds).agg(*aggs)
-        items = [F.struct(F.lit(i).alias("ordinal"), F.col(f"mn{i}").alias("typed_min"),
-                          F.col(f"mx{i}").alias("typed_max")) for i, _ in fields]
-        frames.append(row.select(F.lit(ds.dataset_id).alias("dataset_id"),
-                                 F.inline(F.array(*items))))
+        aggs, items = [], []
+        for i, f in enumerate(ds.schema.fields):
+            c, dt = F.col(quoted(f.name)), f.dataType
+            if isinstance(dt, (T.FloatType, T.DoubleType)):
+                c = c + F.lit(0.0).cast(dt)     # -0.0 is 0.0
+            numeric = isinstance(dt, T.NumericType)
+            text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+            if orderable(dt) and not isinstance(dt, T.NullType):
+                aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+                least, most = (V.printed(F.col(f"{x}{i}"), dt) for x in ("lo", "hi"))
+            else:
+                least = most = text
+            if numeric:
+                aggs.append(F.avg(c).alias(f"mean{i}"))
+                low, high, mean = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi", "mean"))
+            else:
+                low = high = mean = number
+            items.append(F.struct(F.lit(i).alias("ordinal"), least.alias("min_value"), most.alias("max_value"),
+                                  low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw")))
+        row = estate.load(ds).agg(F.count(F.lit(1)).alias("rows"), *aggs)
+        frames.append(row.select(F.lit(ds.dataset_id).alias("dataset_id"), F.inline(F.array(*items))))
     return reduce(DataFrame.unionAll, frames) if frames else None
 
 
-def value_stats(freq: DataFrame, cols: DataFrame, max_chars: int | None) -> DataFrame:
-    """Counts, min/max and mean of every column from the frequency table
-    alone: one grouped aggregate over (dataset, column). Numbers order by the
-    value their key spells (exact decimals for integers), ISO dates and
-    strings by the key. Digest keys stand for long values and are skipped
-    here; their min/max come from :func:`values.long_values`."""
-    f = freq.join(cols.select("dataset_id", "ordinal", "value_kind", "type_class"),
-                  ["dataset_id", "ordinal"])
-    key, kind, n = F.col("key"), F.col("value_kind"), F.col("n")
-    digest = (F.col("type_class").isin("string", "binary", "nested", "other")
-              & (F.length(key) > F.lit(max_chars))) if max_chars else F.lit(False)
-    real = F.when(~digest, key)
-    whole = F.when(kind == "integral", real.try_cast("long"))        # exact order
-    dec = F.when(kind == "decimal", real.try_cast("decimal(38,10)"))
-    dbl = F.when(kind == "float", real.try_cast("double"))
-    num = F.when(kind.isin("integral", "decimal", "float"), real.try_cast("double"))
-    lex = F.when(kind == "lexical", real)
-    g = f.groupBy("dataset_id", "ordinal").agg(
-        F.sum(n).alias("total_rows"),
-        F.coalesce(F.sum(F.when(key.isNotNull(), n)), F.lit(0)).cast("long").alias("non_null"),
-        F.count(F.lit(1)).alias("distinct_count"),
-        F.min_by(real, whole).alias("__imin"), F.max_by(real, whole).alias("__imax"),
-        F.min_by(real, dec).alias("__dmin"), F.max_by(real, dec).alias("__dmax"),
-        F.min_by(real, dbl).alias("__fmin"), F.max_by(real, dbl).alias("__fmax"),
-        F.min(lex).alias("__lmin"), F.max(lex).alias("__lmax"),
-        F.sum(num * n).alias("__sum"),   # a double sum, as Spark's avg
-        F.first("value_kind").alias("value_kind"))
-    k = F.col("value_kind")
-    mn = (F.when(k == "integral", F.col("__imin")).when(k == "decimal", F.col("__dmin"))
-           .when(k == "float", F.col("__fmin")).when(k == "lexical", F.col("__lmin")))
-    mx = (F.when(k == "integral", F.col("__imax")).when(k == "decimal", F.col("__dmax"))
-           .when(k == "float", F.col("__fmax")).when(k == "lexical", F.col("__lmax")))
-    numeric = k.isin("integral", "decimal", "float")
-    total = F.col("__sum")
-    return g.select(
-        "dataset_id", "ordinal", "total_rows", "non_null", "distinct_count",
-        mn.alias("min_value"), mx.alias("max_value"),
-        F.when(numeric, mn.try_cast("double")).alias("min_num"),
-        F.when(numeric, mx.try_cast("double")).alias("max_num"),
-        (total / F.nullif(F.col("non_null"), F.lit(0))).alias("mean_raw"))
-
-
-def cardinality(freq: DataFrame) -> DataFrame:
-    """Distinct count per column, a null counting as one more value."""
+def value_stats(freq: DataFrame) -> DataFrame:
+    """Row, non-null and distinct counts (a null counts as a value) per column."""
     return freq.groupBy("dataset_id", "ordinal").agg(
-        F.count(F.lit(1)).alias("distinct_count"),
-        F.count("key").alias("distinct_non_null"))
+        F.sum("n").alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("key").isNotNull(), F.col("n"))), F.lit(0)).cast("long").alias("non_null"),
+        F.count(F.lit(1)).alias("distinct_count"))
+
+
+def ranked_keys(freq: DataFrame, n: int, max_chars: int | None) -> DataFrame:
+    """The keys that may be among the ``n`` most frequent values of a column:
+    ranked by count and by value as far as the key tells, with all ties there.
+    Spark plans this as a partial per-task limit before the shuffle
+    (``WindowGroupLimit``), so even a column with billions of distinct values
+    sends few rows per task to the final ranking."""
+    seen = F.substring("key", 1, max_chars) if max_chars else F.col("key")
+    w = Window.partitionBy("dataset_id", "ordinal").orderBy(F.col("n").desc(), seen.asc_nulls_last())
+    return freq.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= n).drop("rank")
 
 
-def ranked_values(freq: DataFrame, n: int) -> DataFrame:
-    """The ``n`` most frequent values per column, ties broken by value
-    (nulls last). A null group takes a slot and is then dropped. Spark
-    plans this as a partial per-task limit before the shuffle
-    (``WindowGroupLimit``), so even a column with billions of distinct
-    values sends at most ``n`` rows per task to the final ranking."""
+def ranked_values(keyed: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most frequent values per column, ties by value (nulls last).
+    A null group takes a slot and is then dropped."""
     w = Window.partitionBy("dataset_id", "ordinal").orderBy(
-        F.col("n").desc(), F.col("key").asc_nulls_last())
-    return (freq.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n)
-            .filter(F.col("key").isNotNull()))
+        F.col("n").desc(), F.col("value").asc_nulls_last(), F.col("key").asc_nulls_last())
+    return (keyed.withColumn("rank", F.row_number().over(w))
+            .filter((F.col("rank") <= n) & F.col("key").isNotNull()))
 
 
 def sample_lists(top: DataFrame) -> DataFrame:
@@ -112,37 +88,16 @@ def sample_lists(top: DataFrame) -> DataFrame:
                     F.transform("__s", lambda s: s["value"]).alias("sample_values")))
 
 
-def profiles(estate, freq: DataFrame | None = None, top: DataFrame | None = None,
-             longs: DataFrame | None = None, typed: DataFrame | None = None) -> DataFrame:
+def profiles(estate, freq: DataFrame, top: DataFrame, typed: DataFrame | None) -> DataFrame:
     """The ``column_profiles`` frame (one row per column)."""
     opts = estate.options
-    if freq is None:
-        freq = V.column_values(estate, opts.max_value_chars)
-    if top is None:
-        ranked = ranked_values(freq, opts.sample_values)
-        longs = V.long_values(estate, ranked, opts.max_value_chars)
-        top = V.with_full_values(ranked, longs)
-        typed = typed_stats(estate)
     cols = pu.small(estate.columns(), estate.column_count)
-    stats = value_stats(freq, cols, opts.max_value_chars)
-    p = (cols.join(stats, ["dataset_id", "ordinal"], "left")
+    p = (cols.join(value_stats(freq), ["dataset_id", "ordinal"], "left")
          .join(sample_lists(top), ["dataset_id", "ordinal"], "left"))
-    lmm = V.long_min_max(longs)
-    if lmm is not None:
-        p = p.join(lmm, ["dataset_id", "ordinal"], "left")
-    else:
-        p = p.withColumn("long_min", F.lit(None).cast("string")).withColumn(
-            "long_max", F.lit(None).cast("string"))
-    if typed is not None:
-        p = p.join(typed, ["dataset_id", "ordinal"], "left")
-    else:
-        p = p.withColumn("typed_min", F.lit(None).cast("string")).withColumn(
-            "typed_max", F.lit(None).cast("string"))
-    lexical = F.col("value_kind") == "lexical"
-    min_value = (F.when(F.col("value_kind") == "typed", F.col("typed_min"))
-                  .when(lexical, F.least("min_value", "long_min")).otherwise(F.col("min_value")))
-    max_value = (F.when(F.col("value_kind") == "typed", F.col("typed_max"))
-                  .when(lexical, F.greatest("max_value", "long_max")).otherwise(F.col("max_value")))
+    if typed is None:
+        typed = estate.spark.createDataFrame([], "dataset_id int, ordinal int, min_value string, max_value string, "
+                                                 "min_num double, max_num double, mean_raw double")
+    p = p.join(typed, ["dataset_id", "ordinal"], "left")
     # an empty dataset has no values at all
     p = p.withColumn("total_rows", F.coalesce(F.col("total_rows"), F.lit(0)).cast("long"))
     null_count = F.col("total_rows") - F.coalesce(F.col("non_null"), F.lit(0))
@@ -157,7 +112,7 @@ def profiles(estate, freq: DataFrame | None = None, top: DataFrame | None = None
                    F.lit(0.0)).alias("null_rate"),
         distinct.alias("distinct_count"),
         is_unique.alias("is_unique"),
-        min_value.alias("min_value"), max_value.alias("max_value"), "min_num", "max_num",
+        "min_value", "max_value", "min_num", "max_num",
         py_round(F.col("mean_raw"), 4).alias("mean_value"),
         samples_col.alias("sample_values"))
     return p.select(

@@ -30,12 +30,24 @@ def pk_columns(profiles: DataFrame) -> DataFrame:
 
 
 def fk_columns(profiles: DataFrame, options) -> DataFrame:
-    """P5 + P6: not a PK, type not excluded, among the first
-    ``max_cols_per_table`` columns of its table."""
+    """P5 + P6: not a PK, type not excluded; with the ``max_cols_per_table``
+    option only among a table's first columns (:func:`left_out_columns` has
+    the others)."""
+    found = _eligible(profiles, options)
+    cap = options.max_cols_per_table
+    return found if cap is None else found.filter(F.col("ordinal") < cap)
+
+
+def left_out_columns(profiles: DataFrame, options) -> DataFrame:
+    """The FK columns that the ``max_cols_per_table`` option leaves out."""
+    cap = options.max_cols_per_table
+    return (_eligible(profiles, options).filter(F.lit(False) if cap is None else F.col("ordinal") >= cap)
+            .select("dataset_id", "source_name", "table_name", "ordinal", "column_name"))
+
+
+def _eligible(profiles: DataFrame, options) -> DataFrame:
     excluded = list(options.fk_excluded_types) + list(ALWAYS_EXCLUDED)
-    return profiles.filter(~F.col("pk_candidate")
-                           & ~F.col("inferred_type").isin(excluded)
-                           & (F.col("ordinal") < options.max_cols_per_table))
+    return profiles.filter(~F.col("pk_candidate") & ~F.col("inferred_type").isin(excluded))
 
 
 def candidate_pair_counts(profiles: DataFrame, options) -> DataFrame:

@@ -6,11 +6,13 @@ aggregate collapses repeated values before the shuffle, so a value that
 fills a third of a table costs one row per task. Distinct counts, the top
 values, sample values and the FK/PK overlap all derive from this one table.
 
-Long values (over ``max_value_chars``) are keyed by a prefix plus their
-SHA-256 instead of the whole text, so documents and pages do not flow
-through the shuffle; the full text of the few that make a top-N list is
-fetched back afterwards (:func:`resolve_keys`). Key lengths keep the two
-kinds apart: a long key is always longer than ``max_value_chars``.
+Long values (over ``max_value_chars``) are grouped by a prefix plus their
+SHA-256 instead of the whole text, so documents and pages do not flow through
+the shuffle. The prefix keeps their order up to ``max_value_chars``
+characters; the full texts of those that may make a top-N list, ties in the
+prefix included, are fetched back and ranked as they are. Nested values print
+ambiguously (``['a, b']`` and ``['a', 'b']``), so they are always grouped by the
+digest of their JSON form. A digest key is longer than ``max_value_chars``.
 """
 
 from __future__ import annotations
@@ -25,15 +27,18 @@ from .. import plan_utils as pu
 from ..sources.base import quoted, type_class
 
 DIGEST_SEPARATOR = "#"
-SPREAD_MIN_ROWS = 200_000
+PAD = "\x00"
 
 
 def value_string(field: T.StructField) -> Column:
     """String form used for distinctness and matching (values compare as
-    strings, so ``1`` and ``1.0`` differ). ``-0.0`` is folded into ``0.0``
-    and binary is hex-encoded so the string form stays one-to-one."""
-    c = F.col(quoted(field.name))
-    dt = field.dataType
+    strings, so ``1`` and ``1.0`` differ). ``-0.0`` is folded into ``0.0``,
+    binary is hex-encoded, and instants print in UTC whatever the session's
+    zone is, so the string form of a flat value is one-to-one."""
+    return printed(F.col(quoted(field.name)), field.dataType)
+
+
+def printed(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.FloatType):
         return (c + F.lit(0.0).cast("float")).cast("string")
     if isinstance(dt, T.DoubleType):
@@ -42,16 +47,22 @@ def value_string(field: T.StructField) -> Column:
         return F.hex(c)
     if isinstance(dt, T.StringType):
         return c
+    if isinstance(dt, T.TimestampType):
+        seconds = F.unix_micros(c).cast("decimal(26,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+        return (F.lit("1970-01-01").cast("timestamp_ntz")
+                + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
     return c.cast("string")
 
 
-def value_key(s: Column, max_chars: int | None) -> Column:
-    if not max_chars:
+def value_key(s: Column, field: T.StructField, max_chars: int | None) -> Column:
+    """The grouping key of a value that prints as ``s``."""
+    digested = lambda what, n: F.concat(
+        F.rpad(F.substring(s, 1, n), n, PAD), F.lit(DIGEST_SEPARATOR), F.sha2(what, 256))
+    if type_class(field.dataType) == "nested":
+        return digested(F.to_json(F.array(F.col(quoted(field.name))), {"ignoreNullFields": "false"}), max_chars or 1)
+    if not max_chars or not may_be_long(field):
         return s
-    prefix = max(0, max_chars - 64)
-    return F.when(F.length(s) > F.lit(max_chars),
-                  F.concat(F.substring(s, 1, prefix), F.lit(DIGEST_SEPARATOR), F.sha2(s, 256))
-                  ).otherwise(s)
+    return F.when(F.length(s) > F.lit(max_chars), digested(s, max_chars)).otherwise(s)
 
 
 def may_be_long(field: T.StructField) -> bool:
@@ -60,9 +71,9 @@ def may_be_long(field: T.StructField) -> bool:
 
 
 def _long_pairs(df: DataFrame, ds_id: int, fields, expr) -> DataFrame:
-    """Un-pivot ``expr(i, field)`` of every column to (dataset_id, ordinal, value)."""
+    """Un-pivot ``expr(field)`` of every column to (dataset_id, ordinal, value)."""
     names = [f"v{i}" for i, _ in fields]
-    wide = df.select(*[expr(i, f).alias(f"v{i}") for i, f in fields])
+    wide = df.select(*[expr(f).alias(f"v{i}") for i, f in fields])
     long = wide.unpivot([], names, "var", "value")
     return long.select(F.lit(ds_id).alias("dataset_id"),
                        F.expr("CAST(substring(var, 2) AS INT)").alias("ordinal"),
@@ -70,21 +81,13 @@ def _long_pairs(df: DataFrame, ds_id: int, fields, expr) -> DataFrame:
 
 
 def spread(estate, ds, df: DataFrame) -> DataFrame:
-    """Parallelism guard: a dataset that is read as far fewer splits than
-    the cluster has cores (one unsplittable file, a single-connection JDBC
-    read) yet holds many rows is spread round-robin before the per-value
-    work, which multiplies its rows by its column count. Well-split data
-    (the normal case at scale) is left as read."""
-    cores = estate.spark.sparkContext.defaultParallelism
-    if cores < 2 or estate.row_count(ds) < SPREAD_MIN_ROWS:
-        return df
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as read
+    """With the ``spread_min_rows`` option, a dataset of as many rows (one
+    unsplittable file, a single-connection read) is dealt round-robin to the
+    cores before the per-value work; otherwise it is left as read."""
+    least = estate.options.spread_min_rows
+    if least is None or estate.row_count(ds) < least:
         return df
-    if splits * 2 > cores:
-        return df
-    return df.repartition(cores)
+    return df.repartition(estate.spark.sparkContext.defaultParallelism)
 
 
 def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFrame:
@@ -96,8 +99,7 @@ def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFra
             continue
         df = spread(estate, ds, estate.load(ds))
         frames.append(_long_pairs(df, ds.dataset_id, fields,
-                                  lambda i, f: value_key(value_string(f),
-                                                         max_chars if may_be_long(f) else None)))
+                                  lambda f: value_key(value_string(f), f, max_chars)))
     if not frames:
         return estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
     allv = reduce(DataFrame.unionAll, frames).withColumnRenamed("value", "key")
@@ -106,46 +108,32 @@ def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFra
 
 def long_values(estate, wanted: DataFrame, max_chars: int | None,
                 datasets=None) -> DataFrame | None:
-    """One re-read of the text-like columns, long values only (no shuffle of
-    the texts themselves): (dataset_id, ordinal, key, lo, hi) where ``key`` is
-    a wanted digest key and lo = hi = its full text, or ``key`` is null and
-    lo/hi are the least/greatest of the column's other long values. The
-    wanted keys (top-N survivors) are bounded by N x columns and broadcast
-    only below the size limit."""
-    if not max_chars:
-        return None
+    """One re-read of the text-like columns: (dataset_id, ordinal, key, full)
+    with the text of each wanted digest key. A key's texts are all the same,
+    so any of them does; no text is sorted. The wanted keys are the top-N
+    survivors, N to a column but for ties in the prefix."""
     frames = []
     for ds in estate.datasets if datasets is None else datasets:
         fields = [(i, f) for i, f in enumerate(ds.schema.fields) if may_be_long(f)]
         if fields:
-            frames.append(_long_pairs(spread(estate, ds, estate.load(ds)), ds.dataset_id, fields,
-                                      lambda i, f: value_string(f)))
+            frames.append(_long_pairs(
+                spread(estate, ds, estate.load(ds)), ds.dataset_id, fields,
+                lambda f: F.struct(value_key(value_string(f), f, max_chars).alias("key"),
+                                   value_string(f).alias("full"))))
     if not frames:
         return None
     longs = (reduce(DataFrame.unionAll, frames)
-             .filter(F.length("value") > F.lit(max_chars))
-             .withColumn("key", value_key(F.col("value"), max_chars)))
-    bound = estate.column_count * max(1, estate.options.sample_values)
-    tags = pu.small(wanted.select("dataset_id", "ordinal", "key",
-                                  F.lit(True).alias("__wanted")), bound)
-    tagged = longs.join(tags, ["dataset_id", "ordinal", "key"], "left")
-    return (tagged.groupBy("dataset_id", "ordinal",
-                           F.when(F.col("__wanted"), F.col("key")).alias("key"))
-            .agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
+             .select("dataset_id", "ordinal", "value.key", "value.full")
+             .filter(F.length("key") > F.lit(max_chars or 1)))
+    tags = wanted.select("dataset_id", "ordinal", "key").filter(F.length("key") > F.lit(max_chars or 1)).distinct()
+    return (longs.join(pu.small(tags, tags.count()), ["dataset_id", "ordinal", "key"], "left_semi")
+            .groupBy("dataset_id", "ordinal", "key").agg(F.any_value("full").alias("full")))
 
 
 def with_full_values(keyed: DataFrame, longs: DataFrame | None) -> DataFrame:
     """Add ``value``: the key itself, or the full text of a digest key."""
     if longs is None:
         return keyed.withColumn("value", F.col("key"))
-    texts = longs.filter(F.col("key").isNotNull()).select(
-        "dataset_id", "ordinal", "key", F.col("lo").alias("__full"))
+    texts = longs.select("dataset_id", "ordinal", "key", F.col("full").alias("__full"))
     return (keyed.join(texts, ["dataset_id", "ordinal", "key"], "left")
             .withColumn("value", F.coalesce("__full", "key")).drop("__full"))
-
-
-def long_min_max(longs: DataFrame | None) -> DataFrame | None:
-    if longs is None:
-        return None
-    return longs.groupBy("dataset_id", "ordinal").agg(
-        F.min("lo").alias("long_min"), F.max("hi").alias("long_max"))

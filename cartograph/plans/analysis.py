@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
@@ -41,12 +41,12 @@ class Analysis:
         return [ds[i:i + n] for i in range(0, len(ds), n)] or [[]]
 
     def _batched(self, build, name: str) -> DataFrame | None:
-        """``build(datasets)`` for each batch of datasets; with one batch a
-        single plan, otherwise each batch appended to one written table."""
+        """``build(datasets)`` for each batch of datasets: one plan over all of
+        them, or, if written, each batch appended to one table."""
         batches = self._batches()
         if len(batches) == 1 or not self.materialize:
-            df = build(batches[0])
-            return None if df is None else self._keep(df, name)
+            built = [df for df in map(build, batches) if df is not None]
+            return self._keep(reduce(DataFrame.unionByName, built), name) if built else None
         path = pu.scratch_path(self.spark, self.run_id, name)
         written = False
         for batch in batches:
@@ -64,20 +64,21 @@ class Analysis:
             "column_values")
 
     @cached_property
-    def ranked(self) -> DataFrame:
-        return self._keep(P.ranked_values(self.column_values, self.options.sample_values),
-                          "ranked")
+    def ranked_keys(self) -> DataFrame:
+        return self._keep(P.ranked_keys(self.column_values, self.options.sample_values,
+                                        self.options.max_value_chars), "ranked")
 
     @cached_property
     def long_values(self) -> DataFrame | None:
         return self._batched(
-            lambda b: V.long_values(self.estate, self.ranked, self.options.max_value_chars, b),
+            lambda b: V.long_values(self.estate, self.ranked_keys, self.options.max_value_chars, b),
             "long_values")
 
     @cached_property
     def top_values(self) -> DataFrame:
         # a small join of two written frames, used once: not written itself
-        return V.with_full_values(self.ranked, self.long_values)
+        return P.ranked_values(V.with_full_values(self.ranked_keys, self.long_values),
+                               self.options.sample_values)
 
     @cached_property
     def typed_stats(self) -> DataFrame | None:
@@ -85,13 +86,13 @@ class Analysis:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        # the long-value re-read and the typed min/max are independent jobs
-        self.ranked
+        # the long-value re-read and the typed aggregates are independent jobs
+        self.ranked_keys
         with ThreadPoolExecutor(max_workers=2) as pool:
             for f in [pool.submit(lambda: self.long_values), pool.submit(lambda: self.typed_stats)]:
                 f.result()
         return self._keep(P.profiles(self.estate, self.column_values, self.top_values,
-                                     self.long_values, self.typed_stats), "profiles")
+                                     self.typed_stats), "profiles")
 
     @cached_property
     def candidates(self) -> DataFrame:

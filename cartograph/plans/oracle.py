@@ -16,7 +16,6 @@ from ..functions.scoring import cardinality_fit_sql, confidence_sql, evidence_sq
 from ..functions.semantic_type import semantic_type_sql
 from ..functions.text import py_title_sql
 from ..operators.semantic import RULE_CONFIDENCE
-from ..operators.values import DIGEST_SEPARATOR
 
 # The driver's test tables: (view, [(column, DuckDB type)]), in file order.
 TEST_TABLES = [
@@ -57,7 +56,6 @@ TYPE_CLASS = {"TINYINT": "numeric", "SMALLINT": "numeric", "INTEGER": "numeric",
               "BIGINT": "numeric", "FLOAT": "numeric", "DOUBLE": "numeric", "VARCHAR": "string",
               "BOOLEAN": "boolean", "DATE": "datetime", "TIMESTAMP": "datetime",
               "BLOB": "binary", "FLOAT[]": "nested"}
-MAX_CHARS = C.Options().max_value_chars
 KEY_EXCLUDED = ("monetary_amount", "boolean_flag", "datetime", "nested")
 
 
@@ -108,14 +106,6 @@ def display(expr: str, t: str, normalise: bool = False) -> str:
     return f"CAST({expr} AS VARCHAR)"
 
 
-def value_key(vs: str, t: str) -> str:
-    if TYPE_CLASS[t] not in ("string", "binary", "nested"):
-        return vs
-    prefix = max(0, MAX_CHARS - 64)
-    return (f"(CASE WHEN length({vs}) > {MAX_CHARS} THEN substr({vs}, 1, {prefix}) || "
-            f"{_s(DIGEST_SEPARATOR)} || sha256({vs}) ELSE {vs} END)")
-
-
 def _columns():
     for view, cols in TEST_TABLES:
         for i, (name, t) in enumerate(cols):
@@ -136,7 +126,7 @@ def _vals_cte() -> str:
     for v, i, n, t in _columns():
         vs = display(_q(n), t, normalise=True)
         arms.append(f"SELECT {_file(v)} AS table_name, {_s(n)} AS column_name, {i} AS ordinal, "
-                    f"{vs} AS value, {value_key(vs, t)} AS key FROM {v}")
+                    f"{vs} AS value, {vs} AS key FROM {v}")
     return "vals AS (" + " UNION ALL ".join(arms) + ")"
 
 
@@ -156,7 +146,7 @@ def _stats_cte() -> str:
     return "stats AS (" + " UNION ALL ".join(arms) + ")"
 
 
-def _profile_ctes(n_top: int = C.SAMPLE_VALUES) -> list[str]:
+def _profile_ctes(n_top: int = 10) -> list[str]:
     nulls = "(s.total_rows - s.non_null)"
     return [
         _cols_cte(), _vals_cte(), _stats_cte(),
@@ -190,14 +180,12 @@ def _with(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
-def _relationship_ctes(excluded=KEY_EXCLUDED, max_cols: int = C.MAX_COLS_PER_TABLE,
-                       min_overlap: float = C.MIN_OVERLAP) -> list[str]:
+def _relationship_ctes(excluded=KEY_EXCLUDED, min_overlap: float = 0.05) -> list[str]:
     ex = ", ".join(_s(e) for e in excluded)
     fk_distinct = "(fk.distinct_count - (CASE WHEN fk.null_count > 0 THEN 1 ELSE 0 END))"
     return _profile_ctes() + [
         "pk AS (SELECT * FROM prof WHERE pk_candidate AND null_count = 0)",
-        f"fk AS (SELECT * FROM prof WHERE NOT pk_candidate AND inferred_type NOT IN ({ex}) "
-        f"AND ordinal < {max_cols})",
+        f"fk AS (SELECT * FROM prof WHERE NOT pk_candidate AND inferred_type NOT IN ({ex}))",
         "m AS (SELECT f.table_name AS source_table, f.column_name AS source_col, "
         "p.table_name AS target_table, p.column_name AS target_col, count(*) AS matched "
         "FROM freq f JOIN fk ON f.table_name = fk.table_name AND f.column_name = fk.column_name "
@@ -254,8 +242,7 @@ def _semantic_ctes() -> list[str]:
         f"stub AS (SELECT p.table_name, p.column_name, {label} AS business_label, "
         f"{_s(C.FALLBACK_DESCRIPTION)} AS description, {_s(C.FALLBACK_SENSITIVITY)} AS sensitivity, "
         f"CAST({C.FALLBACK_CONFIDENCE!r} AS DOUBLE) AS confidence, 'low_confidence' AS status, "
-        f"substr({_s(head)} || CAST(length(q.prompt) AS VARCHAR) || {_s(tail)}, 1, "
-        f"{C.RAW_RESPONSE_CHARS}) AS raw_response "
+        f"{_s(head)} || CAST(length(q.prompt) AS VARCHAR) || {_s(tail)} AS raw_response "
         "FROM prof p JOIN prompts q USING (table_name))",
     ]
 
@@ -294,7 +281,7 @@ def oracle_sql() -> dict[str, str]:
         "profile_mean": _with(prof, "SELECT table_name, column_name, mean_value FROM prof "
                                     "WHERE type_class = 'numeric'"),
         "profile_top_values": _with(prof, "SELECT table_name, column_name, rank, value, "
-                                          f"n AS count FROM top WHERE rank <= {C.SAMPLE_VALUES} "
+                                          "n AS count FROM top WHERE rank <= 10 "
                                           "AND key IS NOT NULL"),
         "profile_sample_values": _with(prof, f"SELECT table_name, column_name, {samples} "
                                              "AS sample_values FROM prof"),

@@ -53,26 +53,6 @@ def type_class(dt: T.DataType) -> str:
     return "other"
 
 
-def value_kind(dt: T.DataType) -> str:
-    """How min/max are found from the frequency table's string keys:
-    ``integral``/``decimal``/``float`` order by the number the key spells,
-    ``lexical`` by the key itself (strings, hex binary, booleans, ISO dates
-    and times sort as their values do), ``typed`` needs the typed column
-    (arrays, structs, intervals), ``none`` has no order (maps, variants)."""
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "integral"
-    if isinstance(dt, T.DecimalType):
-        return "decimal"
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
-        return "float"
-    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType, T.BinaryType, T.BooleanType,
-                       T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)):
-        return "lexical"
-    if orderable(dt):
-        return "typed"
-    return "none"
-
-
 def orderable(dt: T.DataType) -> bool:
     """Whether ``min``/``max`` are defined for the type."""
     if isinstance(dt, (T.MapType, T.VariantType, T.CalendarIntervalType)):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SAMPLE_SEED, Options
-from .base import Dataset, orderable, type_class, value_kind
+from .base import Dataset, type_class
 from .files import discover_volumes, file_row_counts, read_dataset
 from .jdbc import discover_jdbc, jdbc_row_counts, read_jdbc
 
@@ -22,8 +22,6 @@ COLUMNS_SCHEMA = T.StructType([
     T.StructField("column_name", T.StringType(), False),
     T.StructField("dtype", T.StringType(), False),
     T.StructField("type_class", T.StringType(), False),
-    T.StructField("is_orderable", T.BooleanType(), False),
-    T.StructField("value_kind", T.StringType(), False),
 ])
 
 DATASETS_SCHEMA = T.StructType([
@@ -59,8 +57,7 @@ class Estate:
     def columns(self) -> DataFrame:
         """One row per column (metadata: bounded by the schemas' width)."""
         rows = [(ds.dataset_id, ds.source_type, ds.source_name, ds.table_name, i, f.name,
-                 str(f.dataType), type_class(f.dataType), orderable(f.dataType),
-                 value_kind(f.dataType))
+                 str(f.dataType), type_class(f.dataType))
                 for ds in self.datasets for i, f in enumerate(ds.schema.fields)]
         return self.spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
@@ -70,9 +67,6 @@ class Estate:
                  dict(ds.extra)) for ds in self.datasets]
         return self.spark.createDataFrame(rows, DATASETS_SCHEMA)
 
-    def warnings_frame(self) -> DataFrame:
-        return self.spark.createDataFrame(self.warnings, "location string, message string")
-
     # -- data -------------------------------------------------------------
     def row_counts(self) -> DataFrame:
         """(dataset_id, row_count), counted by Spark: one job per file format
@@ -108,9 +102,6 @@ class Estate:
                 df = df.sample(withReplacement=False, fraction=limit / total, seed=SAMPLE_SEED)
         return df
 
-    def by_id(self, dataset_id: int) -> Dataset:
-        return next(ds for ds in self.datasets if ds.dataset_id == dataset_id)
-
 
 def _frame_row_counts(datasets: list[Dataset]) -> DataFrame | None:
     frames = [ds.reader["frame"].agg(F.count(F.lit(1)).cast("long").alias("row_count"))
