@@ -41,7 +41,7 @@ def typed_stats(estate, datasets=None) -> DataFrame | None:
             else:
                 least = most = text
             if numeric:
-                aggs.append(F.avg(c).alias(f"mean{i}"))
+                aggs.append(F.avg(c.cast("double")).alias(f"mean{i}"))
                 low, high, mean = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi", "mean"))
             else:
                 low = high = mean = number

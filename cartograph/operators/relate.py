@@ -62,11 +62,6 @@ def candidate_pair_counts(profiles: DataFrame, options) -> DataFrame:
                     (total - F.coalesce("own_pk", F.lit(0))).cast("long").alias("pk_partners")))
 
 
-def _values_of(freq: DataFrame, cols: DataFrame, bound: int) -> DataFrame:
-    ids = pu.small(cols.select("dataset_id", "ordinal"), bound)
-    return freq.filter(F.col("key").isNotNull()).join(ids, ["dataset_id", "ordinal"], "left_semi")
-
-
 def matched_values(estate, freq: DataFrame, profiles: DataFrame, options) -> DataFrame:
     """(fk_dataset, fk_ordinal, pk_dataset, pk_ordinal, matched) for every
     pair of columns from different datasets sharing at least one value.
@@ -76,15 +71,14 @@ def matched_values(estate, freq: DataFrame, profiles: DataFrame, options) -> Dat
     shuffle on the value; a set holds at most the schema's columns), then
     values are counted per distinct signature, and only those few signature
     rows are expanded into column pairs."""
-    bound = estate.column_count
+    # FK and PK columns are disjoint, so one scan with a role tag has both sides
+    ids = lambda cols, is_pk: cols.select("dataset_id", "ordinal", F.lit(is_pk).alias("is_pk"))
+    roles = pu.small(ids(fk_columns(profiles, options), False).unionByName(ids(pk_columns(profiles), True)),
+                     estate.column_count)
     col = F.struct(F.col("dataset_id").alias("d"), F.col("ordinal").alias("o"))
-    fk = _values_of(freq, fk_columns(profiles, options), bound).select(
-        "key", col.alias("fk"), F.lit(None).cast("struct<d:int,o:int>").alias("pk"))
-    pk = _values_of(freq, pk_columns(profiles), bound).select(
-        "key", F.lit(None).cast("struct<d:int,o:int>").alias("fk"), col.alias("pk"))
-    signatures = (fk.unionByName(pk).groupBy("key")
-                  .agg(F.array_sort(F.collect_set("fk")).alias("fks"),
-                       F.array_sort(F.collect_set("pk")).alias("pks"))
+    side = lambda is_pk: F.array_sort(F.collect_list(F.when(F.col("is_pk") == is_pk, col)))
+    signatures = (freq.filter(F.col("key").isNotNull()).join(roles, ["dataset_id", "ordinal"])
+                  .groupBy("key").agg(side(False).alias("fks"), side(True).alias("pks"))
                   .filter((F.size("fks") > 0) & (F.size("pks") > 0))
                   .groupBy("fks", "pks").agg(F.count(F.lit(1)).alias("n")))
     pairs = (signatures.select(F.explode("fks").alias("f"), "pks", "n")
@@ -121,7 +115,8 @@ def value_overlap(estate, freq: DataFrame, profiles: DataFrame, options) -> Data
 
 def candidates(estate, freq: DataFrame, profiles: DataFrame, options) -> DataFrame:
     """scored, tiered and ordered relationship candidates."""
-    ov = value_overlap(estate, freq, profiles, options)
+    # used twice, one row a pair: written once
+    ov = pu.materialize(value_overlap(estate, freq, profiles, options), estate.spark, "overlap")
     # name similarity on the distinct name pairs only (tiny), then joined back
     names = ov.select("fk_col", "pk_col").distinct().withColumn(
         "name_score", N.name_similarity(F.col("fk_col"), F.col("pk_col"), options.edit))

@@ -40,8 +40,8 @@ def ensure_schema(spark: SparkSession, options) -> None:
 def write_result(df: DataFrame, options, key: str, run_id: str, run_ts: datetime,
                  location: str | None = None) -> str:
     """K1-K5: append this run's rows (keyed by ``run_id``) to the result
-    table, creating it on first use; an empty result still runs, so a later
-    read never sees a stale run as the latest."""
+    table, creating it on first use. Which run is current is told by the run
+    records (:func:`latest_run_id`), so an empty result needs no row."""
     name = table_name(options, key)
     out = df.select(F.lit(run_id).alias("run_id"),
                     F.lit(run_ts).cast("timestamp").alias("run_ts"), "*")
@@ -62,16 +62,17 @@ def string_form(df: DataFrame) -> DataFrame:
 
 
 def register_json_view(spark: SparkSession, table: str) -> str:
-    """``<table>_json``: a temporary view of the table in its string form."""
-    view = table.split(".")[-1] + "_json"
+    """``<schema>_<table>_json``: a temporary view of the table in its string form."""
+    view = table.replace(".", "_") + "_json"
     string_form(spark.read.table(table)).createOrReplaceTempView(view)
     return view
 
 
 def write_run_record(spark: SparkSession, options, run_id: str, run_ts: datetime, status: str,
-                     summary: dict, artefacts_dir: str, location: str | None = None) -> None:
+                     summary: dict, artefacts_dir: str, location: str | None = None,
+                     jdbc_sources: tuple = ()) -> None:
     """K6: one row per run, always (also on failure or no data)."""
-    row = [(run_id, run_ts, json.dumps(options.snapshot(), default=str), status,
+    row = [(run_id, run_ts, json.dumps(options.snapshot(jdbc_sources), default=str), status,
             json.dumps(summary, default=str), artefacts_dir)]
     w = spark.createDataFrame(row, RUNS_SCHEMA).write.mode("append").format(options.table_format)
     if location:
@@ -126,8 +127,10 @@ def pii_columns(semantic: DataFrame) -> DataFrame:
 
 
 def needs_review(df: DataFrame) -> DataFrame:
-    """P10, ordered by confidence (O3)."""
-    return df.filter(F.col("status") == "needs_review")
+    """P10, the most confident first, ties by name (O3)."""
+    names = ("source_table", "source_col", "target_table", "target_col", "source_name", "table_name", "column_name")
+    return (df.filter(F.col("status") == "needs_review")
+            .orderBy(F.col("confidence").desc(), *[c for c in names if c in df.columns]))
 
 
 def review_counts(relationships: DataFrame, semantic: DataFrame) -> DataFrame:
@@ -141,10 +144,16 @@ def review_counts(relationships: DataFrame, semantic: DataFrame) -> DataFrame:
         "kind", F.coalesce("pending", F.lit(0)).cast("long").alias("pending"))
 
 
-def latest_run(df: DataFrame) -> DataFrame:
-    """Rows of the most recent run of a result table."""
-    last = df.select(F.max_by("run_id", "run_ts")).scalar()
-    return df.filter(F.col("run_id") == last)
+def latest_run_id(spark: SparkSession, options) -> str | None:
+    """The newest run that completed, as the run records have it."""
+    row = (read_table(spark, f"{options.output_schema}.{C.TABLE_RUNS}", RUNS_SCHEMA)
+           .filter(F.col("status") == "complete").orderBy(F.desc("run_ts"), F.desc("run_id")).first())
+    return row["run_id"] if row else None
+
+
+def of_run(df: DataFrame, run_id: str | None) -> DataFrame:
+    """A result table's rows of one run (none without one)."""
+    return df.filter(F.lit(False) if run_id is None else F.col("run_id") == run_id)
 
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:

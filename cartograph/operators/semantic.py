@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.scoring import tier
 from ..functions.text import py_strip, py_title
@@ -26,6 +27,7 @@ REPLIES_SCHEMA = T.StructType([
     T.StructField("source_name", T.StringType()),
     T.StructField("table_name", T.StringType()),
     T.StructField("raw", T.StringType()),
+    T.StructField("error", T.StringType()),
 ])
 
 
@@ -129,42 +131,53 @@ def _ask(fn: Callable[[pd.DataFrame], Any], pdf: pd.DataFrame) -> list:
     return raw
 
 
-def _call_batches(fn: Callable[[pd.DataFrame], Any]):
-    """Call the model per Arrow batch; when a batch fails, ask table by table
-    so one failing table only loses its own reply (it falls back)."""
+def _call_tables(fn: Callable[[pd.DataFrame], Any]):
+    """One call a table: a failing call loses only that table's reply, and its error is kept."""
     def run(batches):
         for pdf in batches:
-            try:
-                raw = _ask(fn, pdf)
-            except Exception:
-                raw = []
-                for i in range(len(pdf)):
-                    try:
-                        raw.append(_ask(fn, pdf.iloc[[i]])[0])
-                    except Exception:
-                        raw.append(None)
+            raw, errors = [], []
+            for i in range(len(pdf)):
+                try:
+                    raw.append(_ask(fn, pdf.iloc[[i]])[0])
+                    errors.append(None)
+                except Exception as exc:
+                    raw.append(None)
+                    errors.append(f"{type(exc).__name__}: {exc}"[:1000])
             yield pd.DataFrame({"dataset_id": pdf["dataset_id"].values,
                                 "source_name": pdf["source_name"].values,
                                 "table_name": pdf["table_name"].values,
-                                "raw": pd.Series(raw, dtype="string").values})
+                                "raw": pd.Series(raw, dtype="string").values,
+                                "error": pd.Series(errors, dtype="string").values})
     return run
 
 
-def replies(prompts_df: DataFrame, profiles: DataFrame, provider: Any) -> DataFrame:
+def replies(prompts_df: DataFrame, profiles: DataFrame, provider: Any,
+            tasks: int | None = None) -> DataFrame:
     """``"stub"``, ``"rules"``, or a function of a pandas frame
-    (source_name, table_name, prompt, system_prompt) returning the replies;
-    it runs on the executors, one row per table."""
-    if provider == "stub":
+    (source_name, table_name, prompt, system_prompt) returning the replies; it
+    runs on the executors, once for each table, in ``tasks`` tasks. Its replies
+    are written before anything reads them, so that labels, fallbacks and
+    stored replies all come from the same call."""
+    none = F.lit(None).cast("string").alias("error")
+    if isinstance(provider, str) and provider == "stub":
         return prompts_df.select("dataset_id", "source_name", "table_name",
-                                 stub_reply(F.col("prompt")).alias("raw"))
-    if provider == "rules":
-        return rule_replies(prompts_df, profiles)
+                                 stub_reply(F.col("prompt")).alias("raw"), none)
+    if isinstance(provider, str) and provider == "rules":
+        return rule_replies(prompts_df, profiles).select("*", none)
     if callable(provider):
-        return (prompts_df.select("dataset_id", "source_name", "table_name", "prompt")
-                .mapInPandas(_call_batches(provider), REPLIES_SCHEMA))
+        spark = prompts_df.sparkSession
+        n = tasks or spark.sparkContext.defaultParallelism
+        asked = (prompts_df.select("dataset_id", "source_name", "table_name", "prompt")
+                 .repartition(n, "dataset_id").mapInPandas(_call_tables(provider), REPLIES_SCHEMA))
+        return pu.materialize(asked, spark, "replies")
     raise ValueError(f"Unknown provider: {provider!r}")
 
 
+def failures(replies_df: DataFrame) -> DataFrame:
+    """(source_name, table_name, error) of the tables whose call failed."""
+    return replies_df.filter(F.col("error").isNotNull()).select("source_name", "table_name", "error")
+
+
 # ---- parsing ------------------------------------------------------------------
 
 def _field(e: Column, name: str) -> Column:
@@ -196,7 +209,8 @@ def annotations(replies_df: DataFrame, profiles: DataFrame, options) -> DataFram
     """One row per reply item; a placeholder (F14) for every column
     of a table whose reply does not parse, and for columns a reply leaves out."""
     r = replies_df.withColumn("__items", parse_items(F.col("raw")))
-    raw_cut = F.substring(F.col("raw"), 1, C.RAW_RESPONSE_CHARS)
+    raw_cut = (F.col("raw") if options.raw_response_chars is None
+               else F.substring(F.col("raw"), 1, options.raw_response_chars))
     parsed = (r.filter(F.col("__items").isNotNull())
               .select("dataset_id", "source_name", "table_name", raw_cut.alias("raw_response"),
                       F.posexplode("__items").alias("item_pos", "e"))
@@ -230,7 +244,11 @@ def annotations(replies_df: DataFrame, profiles: DataFrame, options) -> DataFram
         "raw_response", "from_reply")
 
 
+def ask(profiles: DataFrame, options, provider: Any | None = None) -> DataFrame:
+    """The replies for every table of ``profiles``."""
+    return replies(prompts(profiles), profiles, options.provider if provider is None else provider,
+                   options.model_tasks)
+
+
 def annotate(profiles: DataFrame, options, provider: Any | None = None) -> DataFrame:
-    p = prompts(profiles)
-    return annotations(replies(p, profiles, options.provider if provider is None else provider),
-                       profiles, options)
+    return annotations(ask(profiles, options, provider), profiles, options)

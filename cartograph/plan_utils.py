@@ -41,3 +41,9 @@ def materialize(df: DataFrame, spark: SparkSession, *parts: str) -> DataFrame:
     path = scratch_path(spark, *parts, uuid.uuid4().hex[:8])
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_scratch(spark: SparkSession, *parts: str) -> None:
+    """Delete a run's own intermediate tables (by the file system that holds them)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, *parts))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,14 +1,16 @@
-"""``run_pipeline``: discovery, profiling, relationships, semantics, records.
+"""``run_pipeline``: a list of named phases over one run's state.
 
-Phases run in order on one driver thread, as a handful of set-based Spark
-jobs (not one per column or pair). Every result is appended to its table
-with the run id; a run record is written whatever happens.
+Each phase is a handful of set-based Spark jobs whose results are appended to
+a table with the run's id. One helper times the phases and stops where one
+finds nothing to go on with; a run record is written whatever happens.
 """
 
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,98 +30,148 @@ PROFILE_COLUMNS = [
     "inferred_type", "pk_candidate"]
 
 
+class NothingToDo(Exception):
+    """A phase found nothing for the next ones."""
+
+
+@dataclass
+class Run:
+    """What the phases of one run share."""
+
+    spark: SparkSession
+    paths: Any
+    options: Options
+    jdbc_sources: tuple
+    location: str | None
+    artefacts: str
+    run_id: str = field(default_factory=RUN.new_run_id)
+    run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+    warnings: list = field(default_factory=list)
+    seconds: dict = field(default_factory=dict)
+    estate: Any = None
+    analysis: Analysis | None = None
+    tables: dict = field(default_factory=dict)
+
+    def store(self, key: str, df: DataFrame) -> None:
+        self.tables[key] = RUN.write_result(df, self.options, key, self.run_id, self.run_ts, self.location)
+
+    def rows(self, key: str) -> DataFrame:
+        return RUN.of_run(self.spark.read.table(self.tables[key]), self.run_id)
+
+    def note(self, name: str, data: dict) -> None:
+        RUN.json_artefact(self.spark, self.artefacts, name, data)
+
+
+def _discovery(run: Run) -> None:
+    run.estate = discover(run.spark, run.paths, run.jdbc_sources, run.options)
+    run.warnings += run.estate.warnings
+    run.store("discovery", run.estate.inventory())
+    if not run.estate.datasets:
+        raise NothingToDo
+
+
+def _profiling(run: Run) -> None:
+    run.analysis = Analysis(run.estate, run.run_id)
+    try:
+        profiles = run.analysis.profiles
+    except Exception:
+        bad = run.estate.unreadable()
+        if not bad or len(bad) == len(run.estate.datasets):
+            raise
+        run.warnings += bad
+        run.estate = run.estate.without({location for location, _ in bad})
+        run.analysis = Analysis(run.estate, run.run_id + "-rest")
+        profiles = run.analysis.profiles
+    run.store("profiling", profiles.select(*PROFILE_COLUMNS))
+
+
+def _relationship(run: Run) -> None:
+    profiles = run.rows("profiling")
+    run.store("relationship", R.candidates(run.estate, run.analysis.column_values, profiles, run.options))
+    if run.options.max_cols_per_table is not None:
+        RUN.write_artefact(R.left_out_columns(profiles, run.options), run.artefacts, "left_out_columns")
+
+
+def _semantic(run: Run) -> None:
+    profiles = run.rows("profiling")
+    replies = SEM.ask(profiles, run.options)
+    run.store("semantic", SEM.annotations(replies, profiles, run.options))
+    failed = SEM.failures(replies).collect()  # a row a failed table
+    run.warnings += [(f"{r['source_name']}.{r['table_name']}", f"semantic model: {r['error']}") for r in failed]
+
+
+PHASES = [("discovery", _discovery), ("profiling", _profiling),
+          ("relationship", _relationship), ("semantic", _semantic)]
+
+
+def _results(run: Run) -> dict:
+    """The counts of a whole run, and its views and small artefacts."""
+    rels, semantic, profiles = (run.rows(k) for k in ("relationship", "semantic", "profiling"))
+    for name in run.tables.values():
+        RUN.register_json_view(run.spark, name)
+    RUN.write_artefact(R.ordered(rels).limit(TOP_ARTEFACT_ROWS), run.artefacts, "relationship_candidates")
+    RUN.write_artefact(RUN.pii_columns(semantic), run.artefacts, "pii_summary")
+    n = RUN.summary_counts(profiles, rels, semantic, run.estate.datasets_frame()).first()
+    return {
+        "total_duration_sec": round(sum(run.seconds.values()), 1),
+        "phase_durations": {f"{k}_sec": v for k, v in run.seconds.items()},
+        "datasets_found": n["datasets_found"], "columns_profiled": n["columns_profiled"],
+        "pk_candidates": n["pk_candidates"],
+        "relationship_candidates": {k: n[f"rel_{k}"] for k in ("auto_accepted", "needs_review", "discarded")},
+        "semantic_annotations": {"auto_accepted": n["sem_auto_accepted"],
+                                 "needs_review": n["sem_needs_review"], "pii_columns": n["pii_columns"]},
+        "warnings": len(run.warnings), "artefacts_dir": run.artefacts,
+    }
+
+
 def run_pipeline(spark: SparkSession, paths=(), options: Options | None = None,
                  jdbc_sources=(), table_location: str | None = None) -> dict:
-    """Run all four phases and return the summary. ``table_location`` puts
-    the result tables under a folder (external tables); by default they are
-    managed tables of the session catalog."""
+    """Run all phases and return the summary. ``table_location`` puts the
+    result tables under a folder (external tables); by default they are managed
+    tables of the session catalog. A table that cannot be read, or whose model
+    call fails, is a warning of the run (in its artefacts) and nothing more."""
     options = options or Options()
-    run_id = RUN.new_run_id()
-    run_ts = datetime.now(timezone.utc).replace(tzinfo=None)
-    artefacts = f"{(options.artefacts_path or pu.scratch_path(spark, 'artefacts')).rstrip('/')}/{run_id}"
-    RUN.ensure_schema(spark, options)
-    RUN.json_artefact(spark, artefacts, "config_snapshot", options.snapshot())
-    summary: dict = {"status": "failed", "run_id": run_id, "run_ts": run_ts.isoformat()}
+    run = Run(spark, paths, options, tuple(jdbc_sources), table_location, "")
+    run.artefacts = f"{(options.artefacts_path or pu.scratch_path(spark, 'artefacts')).rstrip('/')}/{run.run_id}"
+    summary: dict = {"status": "failed", "run_id": run.run_id, "run_ts": run.run_ts.isoformat()}
     try:
-        t0 = time.time()
-        estate = discover(spark, paths, jdbc_sources, options)
-        RUN.write_result(estate.inventory(), options, "discovery", run_id, run_ts, table_location)
-        if estate.warnings:
-            RUN.json_artefact(spark, artefacts, "discovery_warnings",
-                              {"warnings": [list(w) for w in estate.warnings]})
-        t_disc = round(time.time() - t0, 1)
-        if not estate.datasets:
-            summary = {"status": "stopped_no_data", "run_id": run_id, "run_ts": run_ts.isoformat()}
-            return summary
-
-        t0 = time.time()
-        analysis = Analysis(estate, run_id)
-        prof_name = RUN.write_result(analysis.profiles.select(*PROFILE_COLUMNS), options,
-                                     "profiling", run_id, run_ts, table_location)
-        profiles = spark.read.table(prof_name).filter(F.col("run_id") == run_id)
-        t_prof = round(time.time() - t0, 1)
-
-        t0 = time.time()
-        cands = R.candidates(estate, analysis.column_values, profiles, options)
-        rel_name = RUN.write_result(cands, options, "relationship", run_id, run_ts, table_location)
-        rels = spark.read.table(rel_name).filter(F.col("run_id") == run_id)
-        t_rel = round(time.time() - t0, 1)
-
-        t0 = time.time()
-        sem = SEM.annotate(profiles, options)
-        sem_name = RUN.write_result(sem, options, "semantic", run_id, run_ts, table_location)
-        semantic = spark.read.table(sem_name).filter(F.col("run_id") == run_id)
-        t_sem = round(time.time() - t0, 1)
-
-        for name in (RUN.table_name(options, "discovery"), prof_name, rel_name, sem_name):
-            RUN.register_json_view(spark, name)
-        RUN.write_artefact(R.ordered(rels).limit(TOP_ARTEFACT_ROWS), artefacts,
-                           "relationship_candidates")
-        RUN.write_artefact(RUN.pii_columns(semantic), artefacts, "pii_summary")
-        counts = RUN.summary_counts(profiles, rels, semantic, estate.datasets_frame()).first()
-        summary = {
-            "status": "complete", "run_id": run_id, "run_ts": run_ts.isoformat(),
-            "total_duration_sec": round(t_disc + t_prof + t_rel + t_sem, 1),
-            "phase_durations": {"discovery_sec": t_disc, "profiling_sec": t_prof,
-                                "relationship_sec": t_rel, "semantic_sec": t_sem},
-            "datasets_found": counts["datasets_found"],
-            "columns_profiled": counts["columns_profiled"],
-            "pk_candidates": counts["pk_candidates"],
-            "relationship_candidates": {"auto_accepted": counts["rel_auto_accepted"],
-                                        "needs_review": counts["rel_needs_review"],
-                                        "discarded": counts["rel_discarded"]},
-            "semantic_annotations": {"auto_accepted": counts["sem_auto_accepted"],
-                                     "needs_review": counts["sem_needs_review"],
-                                     "pii_columns": counts["pii_columns"]},
-            "artefacts_dir": artefacts,
-        }
-        RUN.json_artefact(spark, artefacts, "pipeline_summary", summary)
-        return summary
+        RUN.ensure_schema(spark, options)
+        run.note("config_snapshot", options.snapshot(run.jdbc_sources))
+        for name, phase in PHASES:
+            began = time.time()
+            phase(run)
+            run.seconds[name] = round(time.time() - began, 1)
+        summary |= {"status": "complete"} | _results(run)
+    except NothingToDo:
+        summary["status"] = "stopped_no_data"
     except Exception as exc:
-        summary = {"status": "failed", "run_id": run_id, "run_ts": run_ts.isoformat(),
-                   "error": str(exc)}
-        RUN.json_artefact(spark, artefacts, "pipeline_summary", summary)
+        summary["error"] = str(exc)
         raise
     finally:
-        RUN.write_run_record(spark, options, run_id, run_ts, summary.get("status", "unknown"),
-                             summary, artefacts, table_location)
+        RUN.ensure_schema(spark, options)
+        RUN.write_run_record(spark, options, run.run_id, run.run_ts, summary["status"], summary,
+                             run.artefacts, table_location, run.jdbc_sources)
+        if run.warnings:
+            run.note("warnings", {"warnings": [list(w) for w in run.warnings]})
+        run.note("pipeline_summary", summary)
+        pu.remove_scratch(spark, run.run_id)
+        pu.remove_scratch(spark, run.run_id + "-rest")
+    return summary
 
 
 def get_review_queue(spark: SparkSession, options: Options | None = None) -> dict:
-    """Entry 2: what the latest run left for review, per kind."""
+    """Entry 2: what the newest complete run left for review, per kind."""
     options = options or Options()
-    rel = RUN.read_table(spark, RUN.table_name(options, "relationship"))
-    sem = RUN.read_table(spark, RUN.table_name(options, "semantic"))
-    rel = RUN.needs_review(RUN.latest_run(rel)) if "run_id" in rel.columns else rel
-    sem = RUN.needs_review(RUN.latest_run(sem)) if "run_id" in sem.columns else sem
+    run_id = RUN.latest_run_id(spark, options)
+    rel, sem = (RUN.needs_review(RUN.of_run(RUN.read_table(spark, RUN.table_name(options, k)), run_id))
+                for k in ("relationship", "semantic"))
     return {"relationships_pending_review": rel.count(),
             "semantics_pending_review": sem.count(),
-            "relationship_df": rel.orderBy(F.col("confidence").desc()),
-            "semantic_df": sem.orderBy(F.col("confidence").desc())}
+            "relationship_df": rel, "semantic_df": sem}
 
 
 def run_history(spark: SparkSession, options: Options | None = None) -> DataFrame:
     """Past runs, newest first (O3)."""
     options = options or Options()
-    runs = RUN.read_table(spark, f"{options.output_schema}.{TABLE_RUNS}")
-    return runs.orderBy(F.col("run_ts").desc())
+    runs = RUN.read_table(spark, f"{options.output_schema}.{TABLE_RUNS}", RUN.RUNS_SCHEMA)
+    return runs.orderBy(F.col("run_ts").desc(), F.col("run_id").desc())

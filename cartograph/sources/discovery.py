@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,22 @@ class Estate:
                  dict(ds.extra)) for ds in self.datasets]
         return self.spark.createDataFrame(rows, DATASETS_SCHEMA)
 
+    def without(self, locations: set[str]) -> "Estate":
+        """The estate but for the datasets at ``locations``."""
+        return Estate(self.spark, [d for d in self.datasets if d.location not in locations],
+                      self.warnings, self.options)
+
+    def unreadable(self) -> list[tuple[str, str]]:
+        """(location, message) of the datasets that fail when they are read to
+        the end; looked for only after a job over many of them has failed."""
+        def attempt(ds: Dataset):
+            try:
+                self.load(ds).write.format("noop").mode("overwrite").save()
+            except Exception as exc:
+                return ds.location, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return [x for x in pool.map(attempt, self.datasets) if x]
+
     # -- data -------------------------------------------------------------
     def row_counts(self) -> DataFrame:
         """(dataset_id, row_count), counted by Spark: one job per file format

@@ -19,25 +19,36 @@ CSV_OPTIONS = {"header": "true", "sep": ","}
 SCHEMA_READERS = 16
 
 
-def list_files(spark: SparkSession, roots: list[str], extensions: tuple[str, ...]) -> DataFrame:
+def list_files(spark: SparkSession, roots: list[str], extensions: tuple[str, ...],
+               warnings: list | None = None) -> DataFrame:
     """Every file under ``roots`` (recursively) whose lower-cased name ends in
     one of ``extensions``. Only file metadata is read: the scan's read schema
-    has no ``content`` column, and Spark lists large trees in parallel."""
+    has no ``content`` column, and Spark lists large trees in parallel. A root
+    that cannot be listed is added to ``warnings`` (raised without them)."""
     exts = "|".join(e.lstrip(".").lower().replace(".", r"\.") for e in extensions)
     frames = []
     for root in roots:
-        frames.append(
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(root)
-            .select(F.lit(root).alias("root"), "path", "length", "modificationTime"))
+        try:
+            found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+                     .select(F.lit(root).alias("root"), "path", "length", "modificationTime"))
+        except Exception as exc:
+            if warnings is None:
+                raise
+            warnings.append((root, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"))
+            continue
+        frames.append(found)
+    if not frames:
+        return spark.createDataFrame([], "root string, path string, length long, modificationTime timestamp, "
+                                         "extension string")
     listing = reduce(DataFrame.unionByName, frames)
     return (listing
             .withColumn("extension", F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1)))
             .filter(F.lower(F.col("path")).rlike(rf"\.({exts})$")))
 
 
-def _read(spark: SparkSession, fmt: str, paths: list[str], schema: T.StructType | None = None):
-    reader = spark.read
+def _read(spark: SparkSession, fmt: str, paths: list[str], schema: T.StructType | None = None,
+          base: str | None = None):
+    reader = spark.read if base is None else spark.read.option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "parquet":
@@ -53,29 +64,41 @@ def _read(spark: SparkSession, fmt: str, paths: list[str], schema: T.StructType
 
 
 def read_dataset(spark: SparkSession, ds: Dataset) -> DataFrame:
-    """Load a file dataset with the schema found at discovery (no re-inference)."""
-    if ds.format == "parquet":
-        return spark.read.parquet(ds.location)
-    return _read(spark, ds.format, [ds.location], ds.schema)
+    """Load a file dataset: the listed files, with the schema found at discovery."""
+    return _read(spark, ds.format, ds.reader["paths"], ds.schema, ds.reader.get("base"))
+
+
+def table_folder(path: str) -> str | None:
+    """The folder above the first ``column=value`` folder of a path."""
+    parts = path.split("/")
+    for k, part in enumerate(parts[:-1]):
+        if "=" in part.strip("=") and k:
+            return "/".join(parts[:k])
+    return None
 
 
 def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[str, ...],
                      granularity: str = "file", first_id: int = 0):
-    """One dataset per file (or per directory), with schema.
+    """One dataset per file (or per directory), with schema. Files in
+    ``column=value`` folders are one dataset with those columns.
 
     Returns ``(datasets, warnings)``; an unreadable file becomes a warning
     row and is left out, the rest go on. The file list is metadata; no row
     of data reaches the driver.
     """
-    listing = list_files(spark, roots, extensions)
+    warnings: list[tuple[str, str]] = []
+    listing = list_files(spark, roots, extensions, warnings)
     files = sorted((r["root"], r["path"]) for r in listing.select("root", "path").collect())
     groups: dict[tuple[str, str, str], list[str]] = {}
+    based: dict[tuple[str, str, str], str] = {}
     for root, path in files:
         ext = "." + path.rsplit(".", 1)[-1].lower()
         fmt = FORMATS.get(ext)
         if fmt is None:
             continue
         loc = posixpath.dirname(path) if granularity == "directory" else path
+        if folder := table_folder(path):
+            loc = based[root, folder, fmt] = folder
         groups.setdefault((root, loc, fmt), []).append(path)
 
     items = sorted(groups.items())
@@ -83,7 +106,7 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
     def schema_of(item):
         (root, loc, fmt), paths = item
         try:
-            return _read(spark, fmt, [loc] if granularity == "directory" else paths).schema, None
+            return _read(spark, fmt, paths, base=based.get((root, loc, fmt))).schema, None
         except Exception as exc:  # unreadable file: warn and go on
             return None, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
 
@@ -92,7 +115,6 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
         schemas = list(pool.map(schema_of, items))
 
     datasets: list[Dataset] = []
-    warnings: list[tuple[str, str]] = []
     for ((root, loc, fmt), paths), (schema, error) in zip(items, schemas):
         if schema is None:
             warnings.append((loc, error))
@@ -101,7 +123,7 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
             dataset_id=first_id + len(datasets), source_type="volume", source_name=root,
             table_name=posixpath.basename(loc.rstrip("/")), location=loc, format=fmt,
             schema=schema, extra={"file_path": loc, "format": fmt},
-            reader={"paths": paths}))
+            reader={"paths": paths, "base": based.get((root, loc, fmt))}))
     return datasets, warnings
 
 
@@ -128,7 +150,10 @@ def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
             "path string, dataset_id int")
         ids = spark.createDataFrame([(ds.dataset_id,) for ds in group], "dataset_id int")
         owner = pu.small(owner, len(paths))    # one row per file: checked size
-        per_ds = (counts.join(owner, _same_path(counts.file_path, owner.path))
+        known = F.coalesce("dataset_id", F.raise_error(
+            F.concat(F.lit("no dataset owns the file "), "file_path")).cast("int"))
+        per_ds = (counts.join(owner, _plain_path(counts.file_path) == _plain_path(owner.path, False), "left")
+                  .select(known.alias("dataset_id"), "count")
                   .groupBy("dataset_id").agg(F.sum("count").alias("row_count")))
         frames.append(ids.join(per_ds, "dataset_id", "left")
                       .select("dataset_id",
@@ -138,6 +163,9 @@ def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _same_path(a, b):
-    # _metadata.file_path is a URI; the listing gives the same URI form.
-    return F.regexp_replace(a, "^file:///", "file:/") == F.regexp_replace(b, "^file:///", "file:/")
+def _plain_path(p, encoded: bool = True):
+    """A path without its scheme's empty authority; ``_metadata.file_path`` is
+    percent-encoded, a listing's path is not."""
+    if encoded:
+        p = F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(p, "^file:/+", "file:/")

@@ -37,15 +37,12 @@ def catalog_tables(spark: SparkSession, src: dict) -> list[str]:
 
     The query is overridable (``catalog_query``, two columns: schema and
     table) for databases without ``information_schema``; ``exclude_schemas``
-    drops the database's own tables. A failing query gives no tables.
+    drops the database's own tables. A failing query raises.
     """
     query = src.get("catalog_query", CATALOG_QUERY)
     exclude = {s.upper() for s in src.get("exclude_schemas", ())}
-    try:
-        df = spark.read.jdbc(src["url"], f"({query}) cat", properties=_props(src))
-        rows = df.collect()  # table names only: catalog metadata
-    except Exception:
-        return []
+    df = spark.read.jdbc(src["url"], f"({query}) cat", properties=_props(src))
+    rows = df.collect()  # table names only: catalog metadata
     out = []
     for r in rows:
         schema, table = str(r[0]).strip(), str(r[1]).strip()
@@ -59,8 +56,11 @@ def discover_jdbc(spark: SparkSession, src: dict, first_id: int = 0):
     (no dialect-specific ``LIMIT``); the row count is a ``COUNT(*)`` pushed
     to the database and stays a lazy frame. Returns ``(datasets, warnings)``."""
     props = _props(src)
-    tables = explicit_tables(src) or catalog_tables(spark, src)
     datasets, warnings = [], []
+    try:
+        tables = explicit_tables(src) or catalog_tables(spark, src)
+    except Exception as exc:
+        return [], [(f"{src['name']}:catalog", f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}")]
     for table in tables:
         try:
             schema = spark.read.jdbc(src["url"], table, properties=props).schema
@@ -71,7 +71,7 @@ def discover_jdbc(spark: SparkSession, src: dict, first_id: int = 0):
         datasets.append(Dataset(
             dataset_id=first_id + len(datasets), source_type="jdbc", source_name=src["name"],
             table_name=table, location=table, format="jdbc", schema=schema,
-            extra={"jdbc_url": src["url"], "driver": src["driver"]},
+            extra={"jdbc_url": src["url"].split("?")[0].split(";")[0], "driver": src["driver"]},
             reader={"url": src["url"], "props": props,
                     "partitioning": src.get("partitioning", {}).get(table)}))
     return datasets, warnings

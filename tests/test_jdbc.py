@@ -28,7 +28,8 @@ def test_unreachable_source_warns_per_table(spark):
     assert datasets == [] and [w[0] for w in warnings] == ["src:t1", "src:t2"]
 
 
-def test_failing_catalog_query_lists_nothing(spark):
-    assert J.catalog_tables(spark, SRC) == []
+def test_failing_catalog_query_is_a_warning(spark):
+    with pytest.raises(Exception):
+        J.catalog_tables(spark, SRC)
     datasets, warnings = J.discover_jdbc(spark, SRC)
-    assert datasets == [] and warnings == []
+    assert datasets == [] and [w[0] for w in warnings] == ["src:catalog"]

@@ -23,7 +23,7 @@ def test_two_runs_and_queue(spark, tmp_path):
     q = get_review_queue(spark, opts)
     assert q["relationships_pending_review"] == 107      # latest run only
     assert q["semantics_pending_review"] == 0            # stub: everything low_confidence
-    js = spark.table("profiling_results_json").filter(f"run_id = '{s2['run_id']}'")
+    js = spark.table("cg_pipe_profiling_results_json").filter(f"run_id = '{s2['run_id']}'")
     assert js.schema["sample_values"].dataType.typeName() == "string"
     assert js.filter("column_name = 'r_name'").first().sample_values.startswith('["')
     top = spark.read.json(str(tmp_path / "art" / s1["run_id"] / "relationship_candidates"))

@@ -22,10 +22,25 @@ def test_frequency_table_one_shuffle(spark):
 
 def test_top_n_limited_before_shuffle(spark):
     est = discover(spark, SF)
-    p = plan_of(P.ranked_values(V.column_values(est, 128), 10))
+    p = plan_of(P.ranked_keys(V.column_values(est, 128), 10, 128))
     assert "WindowGroupLimit" in p
 
 
+def test_statistics_need_no_sort(spark):
+    est = discover(spark, SF)
+    p = plan_of(P.value_stats(V.column_values(est, 128)))
+    assert "SortAggregate" not in p and "Sort " not in p
+    typed = plan_of(P.typed_stats(est))
+    assert "Sort " not in typed and "hashpartitioning" not in typed
+
+
+def test_overlap_scans_the_frequencies_once(spark):
+    a = Analysis(discover(spark, SF, options=KEY_DISCOVERY))
+    freq = a.column_values
+    p = plan_of(R.matched_values(a.estate, freq, a.profiles, KEY_DISCOVERY))
+    assert p.count("column_values") == 1 and "collect_set" not in p
+
+
 def test_no_pair_enumeration(spark):
     a = Analysis(discover(spark, SF, options=KEY_DISCOVERY))
     plans = [plan_of(R.candidates(a.estate, a.column_values, a.profiles, KEY_DISCOVERY)),

@@ -11,7 +11,7 @@ def annotate_replies(spark, replies):
     cols = spark.createDataFrame([(0, 0, "a"), (0, 1, "b_c")], "dataset_id int, ordinal int, column_name string")
     out = {}
     for i, raw in enumerate(replies):
-        rep = spark.createDataFrame([(0, "src", "t", raw)], S.REPLIES_SCHEMA)
+        rep = spark.createDataFrame([(0, "src", "t", raw, None)], S.REPLIES_SCHEMA)
         out[i] = S.annotations(rep, cols, Options()).orderBy("item_pos").collect()
     return out
 
@@ -46,7 +46,7 @@ def test_reply_shapes(spark):
         "", "", "low", 0.5, "needs_review")
     assert [x.column_name for x in out[6]] == ["zzz", "a", "b_c"]
     assert out[8][0].description == "x ] y"           # widest [...] after the first fails
-    assert len(out[11][0].raw_response) == 2000
+    assert len(out[11][0].raw_response) == 3000       # stored whole
 
 
 def test_stub_and_rules(spark):
