@@ -62,6 +62,7 @@ class Sized:
 class Index:
     sizes: list[Sized]
     present: dict[int, np.ndarray]  # by shingle length: a bit table of all shingles
+    known: dict[int, np.ndarray]    # by shingle length: all of them, sorted
     radius: int
     least: float
 
@@ -98,7 +99,13 @@ def index(items: list[tuple], size: int, least: float, radius: int) -> Index:
         sizes.append(Sized(n, k, [x for x, _ in found], prints, [_times(s) for _, s in found], near, known))
         table = present.setdefault(k, np.zeros(1 << FILTER_BITS, bool))
         table[known >> np.uint64(64 - FILTER_BITS)] = True
-    return Index(sizes, present, radius, least)
+    known = {k: np.unique(np.concatenate([z.known for z in sizes if z.shingle == k])) for k in present}
+    return Index(sizes, present, known, radius, least)
+
+
+def _held(known: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Which of s are in the sorted ``known``."""
+    return known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s
 
 
 def _starts(hits: np.ndarray, reach: int, last: int) -> np.ndarray:
@@ -117,9 +124,10 @@ def matches(ix: Index, h: np.ndarray, hits: dict[int, np.ndarray]) -> Iterator[t
         at = hits.get(z.shingle)
         if at is None:
             continue
-        s = shingled.setdefault(z.shingle, X.shingles(h, z.shingle))
-        spot = np.minimum(np.searchsorted(z.known, s[at]), len(z.known) - 1)
-        at = at[z.known[spot] == s[at]]
+        if z.shingle not in shingled:
+            shingled[z.shingle] = X.shingles(h, z.shingle)
+        s = shingled[z.shingle]
+        at = at[_held(z.known, s[at])]
         if not len(at):
             continue
         length = min(z.words - z.shingle + 1, len(s))  # a text shorter than the item is one window
@@ -153,6 +161,7 @@ def _search(shared):
                     if len(w.hash) < k:
                         continue
                     at = np.flatnonzero(table[s >> np.uint64(64 - FILTER_BITS)])
+                    at = at[_held(ix.known[k], s[at])]
                     row = np.searchsorted(w.first, at, "right") - 1
                     inside = at + k <= w.first[row + 1]
                     at, row = at[inside], row[inside]
