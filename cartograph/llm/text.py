@@ -93,9 +93,10 @@ class Words:
     first: np.ndarray   # first word of each row; one longer than the rows
     data: np.ndarray
     offsets: np.ndarray  # byte offsets of the rows in ``data``
+    check: np.ndarray | None = None  # a second hash, where asked for
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, check: bool = False) -> Words:
     """The words of every row; rows end words."""
     rows = len(offsets) - 1
     inside = ~_SPACE[data]
@@ -113,16 +114,20 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     end = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(start, offsets).astype(np.int64)
     if not len(start):
-        return Words(np.zeros(0, np.uint64), start, end, first, data, offsets)
+        none = np.zeros(0, np.uint64)
+        return Words(none, start, end, first, data, offsets, none)
     size = end - start
     total = int(size.sum())
     begin = np.zeros(len(start), np.int64)
     np.cumsum(size[:-1], out=begin[1:])
     place = np.arange(total) - np.repeat(begin, size)
-    value = _BYTE[data[inside]] * powers(int(size.max()))[place]
+    value = _BYTE[data[inside]]
+    power = powers(int(size.max()))[place]
+    second = np.add.reduceat((value ^ (value >> _S27)) * (power ^ (power >> _S31)), begin) if check else None
+    value = value * power
     h = mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * _GOLD)
     assert rows == len(first) - 1
-    return Words(h, start, end, first, data, offsets)
+    return Words(h, start, end, first, data, offsets, second)
 
 
 def word_chunks(column) -> Iterator[tuple[int, int, Words]]:

@@ -14,8 +14,8 @@ planes and ranks by plane, and the documents' ids and lengths.
 from __future__ import annotations
 
 import os
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ from . import text as X
 
 SHARD_BYTES = 16 << 20
 BLOCK = 512
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_200_000
 
 SCHEMA = ("shard int, n long, bits int, zeros array<long>, planes array<binary>, ranks array<binary>, "
           "doc_ids array<long>, lengths array<int>")
@@ -144,9 +144,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.dtype("<u2") if self.bits <= 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.code = "H" if self.bits <= 16 else "I"
+        self.known: dict[tuple[int, int], bytes] = {}
+        self.older: dict[tuple[int, int], bytes] = {}
         letters = [chr(c) for c in range(256) if chr(c).isalpha()]
         self.letters = {ord(c): self._piece(c) for c in letters}
+        self.plain = all(self.letters[ord(c)] == c.lower() for c in letters if c.isascii())
         self.marks = {m: self._whole([m])[0] for m in self.MARKS}
         probes = [f"{a}{c}{b}{m}" for c in letters for a, b, m in (("", "", ""), ("ab", "Cd", "."), ("stre", "s", ","))]
         self.direct = all(self.letters.values()) and [self._merged(p) for p in probes] == self._whole(probes)
@@ -166,13 +169,18 @@ class Encoder:
         mark = b""
         if word[-1] in self.marks:
             word, mark = word[:-1], self.marks[word[-1]]
-        if not word.isalpha() or max(word) > "\xff":
+        if not word.isalpha():
             return None
-        ids = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]
-        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids) + mark
-
-    def _learn(self, words: list[bytes]) -> None:
-        rest = words
+        if not word.isascii():
+            if max(word) > "\xff":
+                return None
+            word = word.translate(self.letters)
+        else:
+            word = word.lower() if self.plain else word.translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes() + mark
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found, rest = {}, words
         if self.direct:
             rest = []
             for w in words:
@@ -180,22 +188,54 @@ class Encoder:
                 if ids is None:
                     rest.append(w)
                 else:
-                    self.known[w] = ids
-        self.known.update(zip(rest, self._whole([w.decode("utf-8", "replace") for w in rest])))
-
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        words = [t.split() for t in texts]
-        found = [list(map(self.known.get, w)) for w in words]
-        new = {x for w, f in zip(words, found) if None in f for x, y in zip(w, f) if y is None}
+                    found[w] = ids
+        found.update(zip(rest, self._whole([w.decode("utf-8", "replace") for w in rest])))
+        return found
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each row of UTF-8 texts.
+
+        Words are told apart by two 64-bit hashes in which A-Z count as a-z (the
+        tokenizer lower-cases them too). Words that were not met lately are
+        forgotten: of two generations the older goes when the newer is full.
+        """
+        w = X.words(data, offsets, check=True)
+        _, at, back = np.unique(w.hash, return_index=True, return_inverse=True)
+        if not (w.check[at][back] == w.check).all():  # two words of one hash: row by row, or word by word
+            if len(offsets) > 2:
+                return [x for r in range(len(offsets) - 1)
+                        for x in self(data[offsets[r]:offsets[r + 1]], offsets[r:r + 2] - offsets[r])]
+            raw = data.tobytes().split()
+            return [np.frombuffer(b"".join(self._learn([x])[x] for x in raw), self.kind)]
+        parts: list = [None] * len(at)
+        new = []
+        known, older = self.known, self.older
+        for k, key in enumerate(zip(w.hash[at].tolist(), w.check[at].tolist())):
+            ids = known.get(key)
+            if ids is None:
+                ids = older.get(key)
+                if ids is None:
+                    new.append((k, key))
+                    continue
+                known[key] = ids
+            parts[k] = ids
         if new:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = {x for w in words for x in w}
-            self._learn(list(new))
-            found = [list(map(self.known.__getitem__, w)) if None in f or len(self.known) == len(new) else f
-                     for w, f in zip(words, found)]
-        return [np.frombuffer(b"".join(f), self.kind) for f in found]
+            raw, start, end = data.tobytes(), w.start[at].tolist(), w.end[at].tolist()
+            word = [raw[start[k]:end[k]] for k, _ in new]
+            learnt = self._learn(word)
+            for (k, key), x in zip(new, word):
+                parts[k] = known[key] = learnt[x]
+        if len(known) > CACHED_WORDS // 2:
+            self.known, self.older = {}, known
+        flat = np.frombuffer(b"".join(parts), self.kind)
+        size = np.array(list(map(len, parts)), np.int64) // self.kind.itemsize
+        begin = np.zeros(len(parts), np.int64)
+        np.cumsum(size[:-1], out=begin[1:])
+        each = size[back]
+        stop = np.zeros(len(each) + 1, np.int64)
+        np.cumsum(each, out=stop[1:])
+        ids = flat[np.repeat(begin[back] - stop[:-1], each) + np.arange(stop[-1])] if len(each) else flat
+        return np.split(ids, stop[w.first[1:-1]])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -226,10 +266,9 @@ def _build(tokenizer: str, end_id: int):
         now, ids, parts = None, [], []
         for batch in batches:
             data, off = X.string_buffers(batch.column("text"))
-            raw = data.tobytes()
             shards, docs = batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist()
             for a, b in X.chunks(off):
-                done = encode([raw[off[r]:off[r + 1]] for r in range(a, b)])
+                done = encode(data[off[a]:off[b]], off[a:b + 1] - off[a])
                 for shard, doc, row in zip(shards[a:b], docs[a:b], done):
                     if shard != now and parts:
                         yield one(now, ids, parts, bits)
