@@ -9,6 +9,8 @@ text as the Spark expressions (:mod:`cartograph.functions`).
 
 from __future__ import annotations
 
+import difflib
+
 from .. import config as C
 from ..functions.names import levenshtein_ratio_sql, name_similarity_sql, token_jaccard_sql
 from ..functions.rounding import py_round_sql
@@ -176,6 +178,56 @@ def _profile_ctes(n_top: int = 10) -> list[str]:
     ]
 
 
+def _difflib_cte() -> str:
+    """The standard library's ratio of every pair of the tables' column names."""
+    names = sorted({n for _, _, n, _ in _columns()})
+    rows = ", ".join(f"({_s(a)}, {_s(b)}, {difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()!r}::DOUBLE)"
+                     for a in names for b in names)
+    return f"dl AS (SELECT * FROM (VALUES {rows}) t(source_col, target_col, edit_ratio))"
+
+
+def _difflib_ctes() -> list[str]:
+    """Names, scores and tiers with that ratio."""
+    name = py_round_sql(f"CAST(0.5 AS DOUBLE) * {token_jaccard_sql('ov.source_col', 'ov.target_col')} + "
+                        "CAST(0.5 AS DOUBLE) * dl.edit_ratio", 4)
+    out = [c for c in _relationship_ctes() if not c.startswith("sc AS")]
+    at = next(k for k, c in enumerate(out) if c.startswith("cand AS"))
+    out[at:at] = [_difflib_cte(), f"sc AS (SELECT ov.*, dl.edit_ratio, {name} AS name_score, "
+                  f"{cardinality_fit_sql('pk_unique', 'pk_null_rate', 'fk_unique')} AS cardinality_score "
+                  "FROM ov JOIN dl ON ov.source_col = dl.source_col AND ov.target_col = dl.target_col)"]
+    return out
+
+
+def _reply_cases() -> str:
+    """The rows that each reply case must give, said outright."""
+    given = {0: ("L", "d", "pii", 0.9, "auto_accepted"), 1: ("", "", "low", 0.9, "auto_accepted"),
+             2: ("", "", "low", 0.6, "needs_review"), 5: ("", "", "low", 0.5, "needs_review"),
+             8: ("", "x ] y", "low", 0.6, "needs_review")}
+    chars = {0: 105, 1: 52, 2: 67, 3: 38, 4: 9, 5: 21, 6: 43, 7: 43, 8: 74, 9: 10, 10: 0, 11: 3000}
+    named = (0, 1, 2, 3, 5, 7, 8)       # cases that hold the table's first column
+    label = py_title_sql("replace(c.column_name, '_', ' ')")
+    arms = []
+    for k in range(12):
+        size = f"{chars[k]}" + (" + length(f.column_name)" if k in named else "")
+        back = (f"{label}, 'Could not infer — LLM response parse failure.', 'low', 0.3::DOUBLE, "
+                f"'low_confidence', false, CAST({size} AS BIGINT)")
+        head = f"SELECT CAST({k} AS BIGINT), c.table_name, "
+        tail = "FROM cols c JOIN cols f ON f.table_name = c.table_name AND f.ordinal = 0"
+        if k in given:
+            a, b, c, d, e = given[k]
+            mine = f"{_s(a)}, {_s(b)}, {_s(c)}, {d}::DOUBLE, {_s(e)}, true, CAST({size} AS BIGINT)"
+            arms.append(f"{head} c.column_name, {mine} {tail} WHERE c.ordinal = 0")
+            arms.append(f"{head} c.column_name, {back} {tail} WHERE c.ordinal > 0")
+        else:
+            arms.append(f"{head} c.column_name, {back} {tail}")
+        if k == 6:
+            arms.append(f"{head} 'zzz', '', '', 'low', 0.7::DOUBLE, 'needs_review', true, "
+                        f"CAST({size} AS BIGINT) {tail} WHERE c.ordinal = 0")
+    names = ("case_no, table_name, column_name, business_label, description, sensitivity, confidence, status, "
+             "from_reply, raw_chars")
+    return f"SELECT * FROM ({' UNION ALL '.join(arms)}) t({names})"
+
+
 def _with(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
@@ -269,7 +321,31 @@ def oracle_sql() -> dict[str, str]:
         f"column_name, {dtype_case} AS dtype, {class_case} AS type_class FROM (DESCRIBE {v})"
         for v, _ in TEST_TABLES)
     samples = "array_to_string(sample_values, '|')"
+    dl = _difflib_ctes()
+    copies = lambda fmt: " UNION ALL ".join(
+        f"SELECT {_s(v)} AS table_name, {_s(fmt)} AS format, (SELECT count(*) FROM {v}) AS row_count, "
+        f"(SELECT count(*) FROM (DESCRIBE {v})) AS n_columns" for v, _ in TEST_TABLES)
+    token = semantic_type_sql("column_name", "type_class", "sample_values", "is_unique", "token")
     return {
+        "discover_files": " UNION ALL ".join(f"SELECT {_file(v)} AS file_name, '.parquet' AS extension, "
+                                             "true AS has_bytes" for v, _ in TEST_TABLES),
+        "discover_csv": copies("csv"),
+        "discover_json": copies("json"),
+        "profile_sampled": _with([_cols_cte()], "SELECT table_name, column_name, true AS rows_in_bounds, "
+                                                "true AS distinct_in_bounds FROM cols"),
+        "run_history": "SELECT 'complete' AS status, true AS id_in_form FROM range(2)",
+        "result_tables": _with(sem, "SELECT result, n, CAST(1 AS BIGINT) AS runs FROM (VALUES "
+                               "('discovery', (SELECT count(DISTINCT table_name) FROM cols)), "
+                               "('profiling', (SELECT count(*) FROM prof)), "
+                               "('relationship', (SELECT count(*) FROM tiers)), "
+                               "('semantic', (SELECT count(*) FROM rules_t)), "
+                               "('pipeline_runs', CAST(1 AS BIGINT))) t(result, n)"),
+        "infer_semantic_type_token": _with(prof, f"SELECT table_name, column_name, {token} AS inferred_type FROM prof0"),
+        "semantic_reply_cases": _with([_cols_cte()], _reply_cases()),
+        "name_edit_ratio": _with(dl, "SELECT DISTINCT source_col, target_col, edit_ratio FROM sc"),
+        "name_similarity": _with(dl, "SELECT DISTINCT source_col, target_col, name_score FROM sc"),
+        "relationship_candidates": _with(dl, f"SELECT {PAIR}, overlap_score, name_score, cardinality_score, confidence, status, "
+                                         "evidence, relationship_type FROM tiers"),
         "discovery_inventory": inv_arms,
         "discovery_columns": col_arms,
         "profile_nulls": _with(prof, "SELECT table_name, column_name, total_rows, null_count, "

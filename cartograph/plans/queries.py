@@ -1,15 +1,16 @@
 """Named queries over a folder of tables: ``(spark, folder) -> DataFrame``.
 
-Each one discovers the folder, so it reads every row of every table. Output
+Each one discovers the folder; all but the listing and schema queries read
+every row of every table. Output
 columns are aliased to match the DuckDB oracle of :mod:`.oracle`; integer
 counts are ``long``. Relationship queries use key discovery (integer keys
-may be foreign keys); the SQL-checked ones use the Levenshtein edit ratio,
-the rows-only ones the difflib ratio.
+may be foreign keys), with the Levenshtein edit ratio unless they say difflib.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,7 @@ def discover_files(spark, folder):
     est = discover(spark, folder)
     from ..sources.files import list_files
     return list_files(spark, [folder], est.options.extensions).select(
-        "path", "length", "extension")
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), "extension", (F.col("length") > 0).alias("has_bytes"))
 
 
 def _derived_copies(spark, folder, fmt):
@@ -63,8 +64,9 @@ def _derived_copies(spark, folder, fmt):
     for ds in est.datasets:
         df = est.load(ds)
         if fmt == "csv":  # CSV holds flat columns only
-            df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name)
-                             if f.dataType.typeName() in ("array", "map", "struct")
+            # and one record a line, so line breaks in texts become spaces
+            df = df.select(*[F.regexp_replace(F.col(f"`{f.name}`").cast("string"), r"[\r\n]+", " ").alias(f.name)
+                             if f.dataType.typeName() in ("array", "map", "struct", "string")
                              else F.col(f"`{f.name}`") for f in ds.schema.fields])
             df.write.option("header", "true").csv(f"{out}/{ds.table_name.split('.')[0]}")
         else:
@@ -74,12 +76,12 @@ def _derived_copies(spark, folder, fmt):
 
 def discover_csv(spark, folder):
     return _derived_copies(spark, folder, "csv").inventory().select(
-        "table_name", "format", "row_count", F.size("columns").alias("n_columns"))
+        "table_name", "format", "row_count", F.size("columns").cast("long").alias("n_columns"))
 
 
 def discover_json(spark, folder):
     return _derived_copies(spark, folder, "json").inventory().select(
-        "table_name", "format", "row_count", F.size("columns").alias("n_columns"))
+        "table_name", "format", "row_count", F.size("columns").cast("long").alias("n_columns"))
 
 
 # ---- profiles ------------------------------------------------------------------
@@ -144,9 +146,23 @@ def column_profiles(spark, folder):
 
 
 def profile_sampled(spark, folder):
-    """Profiles of a Bernoulli sample of about 1,000 rows per table."""
-    return _profiles(spark, folder, KEY_DISCOVERY.replace(sample_rows=1000)).select(
-        "table_name", "column_name", "total_rows", "distinct_count", "pk_candidate")
+    """Profiles of a Bernoulli sample of about 1,000 rows per table: whether
+    small tables came whole, large ones within 7 deviations of 1,000 rows, and
+    whether the counts fit each other."""
+    sampled = _profiles(spark, folder, KEY_DISCOVERY.replace(sample_rows=1000))
+    rows = discover(spark, folder).row_counts()
+    whole = F.col("row_count") <= 1000
+    return sampled.join(rows, "dataset_id").select(
+        "table_name", "column_name",
+        F.when(whole, F.col("total_rows") == F.col("row_count"))
+        .otherwise(F.abs(F.col("total_rows") - 1000) < 222).alias("rows_in_bounds"),
+        (F.col("distinct_count") <= F.col("total_rows")).alias("distinct_in_bounds"))
+
+
+def infer_semantic_type_token(spark, folder):
+    """Types by the parts of snake_case names."""
+    return _profiles(spark, folder, KEY_DISCOVERY.replace(name_match="token")).select(
+        "table_name", "column_name", "inferred_type")
 
 
 # ---- relationships ----------------------------------------------------------------
@@ -244,7 +260,7 @@ def relationship_top20(spark, folder):
 def relationship_candidates(spark, folder):
     """Flagship: difflib edit ratio, key discovery."""
     return R.ordered(_cands(spark, folder, KEY_DISCOVERY)).select(
-        "source_table", "source_col", "target_table", "target_col", "overlap_score",
+        *_pair(), "overlap_score",
         "name_score", "cardinality_score", "confidence", "status", "evidence",
         "relationship_type")
 
@@ -270,6 +286,41 @@ def semantic_parse(spark, folder):
         "confidence")
 
 
+#: Replies of a model, one for each case of FIXTURES.md section 3; {c} is the table's first column.
+REPLY_CASES = (
+    '[{"column_name": "{c}", "business_label": "L", "description": "d", "sensitivity": "pii", "confidence": 0.9}]',
+    '```json\n[{"column_name": "{c}", "confidence": 0.9}]\n```',
+    'Here you go: [{"column_name": "{c}", "confidence": 0.6}] hope it helps',
+    '{"column_name": "{c}", "confidence": 0.9}',
+    '[1, 2, 3]',
+    '[{"column_name": "{c}"}]',
+    '[{"column_name": "zzz", "confidence": 0.7}]',
+    '[{"column_name": "{c}", "confidence": "high"}]',
+    'Note: [{"column_name": "{c}", "description": "x ] y", "confidence": 0.6}] end',
+    'plain text',
+    '',
+    'x' * 3000,
+)
+
+
+def semantic_reply_cases(spark, folder):
+    """every reply case against every given table's columns."""
+    a = _analysis(spark, folder, LEV)
+    cols = a.estate.columns()
+    first = cols.filter("ordinal = 0").select("dataset_id", "source_name", "table_name",
+                                              F.col("column_name").alias("c"))
+    out = []
+    for k, text in enumerate(REPLY_CASES):
+        replies = first.select("dataset_id", "source_name", "table_name",
+                               F.replace(F.lit(text), F.lit("{c}"), F.col("c")).alias("raw"),
+                               F.lit(None).cast("string").alias("error"))
+        out.append(SEM.annotations(replies, cols, LEV).select(
+            F.lit(k).cast("long").alias("case_no"), "table_name", "column_name", "business_label", "description",
+            "sensitivity", "confidence", "status", "from_reply",
+            F.length("raw_response").cast("long").alias("raw_chars")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def semantic_fallback(spark, folder):
     return _annotations(spark, folder, "stub").select(
         "table_name", "column_name", "business_label", "description", "sensitivity",
@@ -303,15 +354,41 @@ def run_summary(spark, folder):
     return RUN.summary_counts(a.profiles, a.candidates, sem, a.estate.datasets_frame())
 
 
+def _runs(spark, folder, *providers):
+    """Pipeline runs into a scratch schema, which is dropped when the caller is done."""
+    from .pipeline import run_pipeline
+    opts = RULES.replace(output_schema="cartograph_q" + uuid.uuid4().hex[:8])
+    loc = pu.scratch_path(spark, "tables", opts.output_schema)
+    for p in providers:
+        run_pipeline(spark, folder, opts.replace(provider=p), table_location=loc)
+    return opts
+
+
+def _kept(spark, df, opts, name):
+    """``df`` written; then the scratch schema and its tables go."""
+    out = pu.materialize(df, spark, name)
+    spark.sql(f"DROP SCHEMA IF EXISTS {opts.output_schema} CASCADE")
+    pu.remove_scratch(spark, "tables", opts.output_schema)
+    return out
+
+
 def run_history(spark, folder):
     """Two pipeline runs into a scratch schema, then the run history."""
-    from .pipeline import run_history as history, run_pipeline
-    schema = "cartograph_q" + uuid.uuid4().hex[:8]
-    opts = RULES.replace(output_schema=schema)
-    loc = pu.scratch_path(spark, "tables", schema)
-    run_pipeline(spark, folder, opts, table_location=loc)
-    run_pipeline(spark, folder, opts.replace(provider="stub"), table_location=loc)
-    return history(spark, opts).select("run_id", "status")
+    from .pipeline import run_history as history
+    opts = _runs(spark, folder, "rules", "stub")
+    return _kept(spark, history(spark, opts).select("status", F.col("run_id").rlike(
+        r"^run_\d{8}_\d{6}_[0-9a-f]{6}$").alias("id_in_form")), opts, "run-history")
+
+
+def result_tables(spark, folder):
+    """K1-K6: what one run has left in each result table, read back."""
+    opts = _runs(spark, folder, "rules")
+    read = lambda key: RUN.read_table(spark, RUN.table_name(opts, key))
+    parts = [read(k).select(F.lit(k).alias("result"), "run_id") for k in (
+        "discovery", "profiling", "relationship", "semantic", "pipeline_runs")]
+    counts = reduce(DataFrame.unionByName, parts).groupBy("result").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("run_id").alias("runs"))
+    return _kept(spark, counts, opts, "result-tables")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -323,8 +400,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name_levenshtein_ratio, cardinality_fit, relationship_confidence, relationship_tiers,
         relationship_tiers_literal, relationship_top20, semantic_prompts, semantic_parse, semantic_fallback,
         semantic_annotations, pii_columns, review_relationships, review_semantics,
-        review_counts, run_summary,
-        # rows-only (no SQL twin)
+        review_counts, run_summary, infer_semantic_type_token, semantic_reply_cases, result_tables,
         name_edit_ratio, name_similarity, relationship_candidates, profile_sampled,
         discover_files, discover_csv, discover_json, run_history,
     ]
