@@ -40,7 +40,7 @@ DEPTH = 5
 END = 0xFF
 SLOT_BITS = 24
 SEEN_BITS = 26
-CACHE_BITS = 20
+CACHE_BITS = 22
 FLUSH = 2_000_000  # distinct keys a task holds before it hands partial counts on
 
 
