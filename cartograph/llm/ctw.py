@@ -233,6 +233,7 @@ def train(docs: DataFrame, hot_words: int = 1 << 19) -> tuple[Model, DataFrame]:
     weight[at], one[at] = slots.column("weight").to_numpy(), slots.column("one").to_numpy()
     seen = np.zeros(1 << SEEN_BITS - 5, np.uint32)
     seen[bits.column("at").to_numpy()] = bits.column("bits").to_numpy().astype(np.uint32)
+    del slots, bits, at  # before the model is packed for the broadcast
     model = Model(weight, one, seen, key[order], np.log10(hot.column("n").to_numpy()[order] + 1.0), rows,
                   (total.get(WORD) or (0, 0))[0] + rows, (total.get(WORD) or (0, 0))[1] + (rows > 0))
     return model, words

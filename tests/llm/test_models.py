@@ -11,6 +11,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from cartograph.llm import ann, common, ctw, html_extract, langid, linear, toxicity, wavelet
 from cartograph.llm import text as X
 

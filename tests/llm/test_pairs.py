@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm_fixtures import docs_of  # noqa: F401
+
 from cartograph.llm import decontaminate, line_dedup, ngram_join, packing
 from cartograph.llm import text as X
 
