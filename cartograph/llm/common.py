@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return pu.materialize(df, df.sparkSession, "llm", name)
 
 
+def release(spark: SparkSession) -> None:
+    """Have shuffle files deleted whose frames nothing refers to any more: Spark's
+    cleaner goes by the driver's garbage, which a long driver-side wait may
+    leave uncollected while executors' disks fill up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_text(docs: DataFrame, task: Callable[[pa.Array], list[pa.Array]], added: str) -> DataFrame:
     """Columns c0, c1, ... of ``docs`` (by place, so that any names will do) and
     then those of ``added``, which ``task`` makes from a batch's texts."""

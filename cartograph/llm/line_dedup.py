@@ -217,6 +217,17 @@ def _rewrite(texts: pa.Array, blocks: pa.Array) -> list[pa.Array]:
     return [pc.replace_with_mask(texts, pa.array(mask), pa.array(new, texts.type)), pa.array(gone)]
 
 
+def _blocks(texts: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, print, blocks): what to delete from each later document of ``texts``."""
+    filed = texts.mapInArrow(_file_runs(min_words), "key long, doc_id long, print int, first int, last int")
+    owners = (filed.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top"),
+                                       F.min_by("first", "doc_id").alias("other"))
+              .where("owner < top").select("key", "owner", "other"))
+    matches = filed.join(owners, "key").where("doc_id > owner").drop("key")
+    return (matches.repartition("doc_id").sortWithinPartitions("doc_id", "print", "owner", "first")
+            .mapInArrow(_align, "doc_id long, print int, blocks array<int>"))
+
+
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` (by place: c0, c1, ...) with the cut
     text in place of ``text``, and removed_lines, the number of lines deleted.
@@ -231,15 +242,10 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     d, t = safe[names.index("doc_id")], safe[names.index("text")]
     plain = docs.toDF(*safe)
     mark = F.hash(t)
-    filed = (plain.where(F.col(d).isNotNull() & F.col(t).isNotNull())
-             .select(F.col(d).cast("long").alias("doc_id"), mark.alias("print"), F.col(t).alias("text"))
-             .mapInArrow(_file_runs(min_words), "key long, doc_id long, print int, first int, last int"))
-    owners = (filed.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("top"),
-                                       F.min_by("first", "doc_id").alias("other"))
-              .where("owner < top").select("key", "owner", "other"))
-    matches = filed.join(owners, "key").where("doc_id > owner").drop("key")
-    blocks = (matches.repartition("doc_id").sortWithinPartitions("doc_id", "print", "owner", "first")
-              .mapInArrow(_align, "doc_id long, print int, blocks array<int>"))
+    blocks = C.written(_blocks(plain.where(F.col(d).isNotNull() & F.col(t).isNotNull())
+                               .select(F.col(d).cast("long").alias("doc_id"), mark.alias("print"),
+                                       F.col(t).alias("text")), min_words), "line-blocks")
+    C.release(docs.sparkSession)
     joined = (plain.join(blocks, (F.col(d) == F.col("doc_id")) & (mark == F.col("print")), "left")
               .drop("doc_id", "print"))
     kind = joined.drop("blocks").schema

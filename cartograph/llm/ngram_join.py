@@ -215,6 +215,16 @@ def verify(percent: int):
     return run
 
 
+def _ties(filed: DataFrame) -> DataFrame:
+    """(u, v): the classes that may link, by s1, and their group."""
+    keys = filed.where("doc_id is not null").select("s1", F.explode("keys").alias("key"))
+    hubs = (keys.groupBy("key").agg(F.min("s1").alias("hub"), F.max("s1").alias("top"))
+            .where("hub < top").select("key", "hub"))
+    ties = keys.join(hubs, "key").where("s1 <> hub").select(F.col("s1").alias("u"), F.col("hub").alias("v"))
+    groups = C.components(ties, "ngram-ties")
+    return groups.union(groups.select(F.col("v").alias("u"), "v").distinct())
+
+
 def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, ...): doc_id, n_shingles,
     component_id (smallest doc_id reachable by links, itself included) and
@@ -232,12 +242,8 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     filed = C.written(docs.select("doc_id", "text")
                       .mapInArrow(file_sets(size, percent, table),
                                   "doc_id long, n long, s1 long, s2 long, keys array<long>"), "ngram-sets")
-    keys = filed.where("doc_id is not null").select("s1", F.explode("keys").alias("key"))
-    hubs = (keys.groupBy("key").agg(F.min("s1").alias("hub"), F.max("s1").alias("top"))
-            .where("hub < top").select("key", "hub"))
-    ties = keys.join(hubs, "key").where("s1 <> hub").select(F.col("s1").alias("u"), F.col("hub").alias("v"))
-    groups = C.components(ties, "ngram-ties")
-    groups = groups.union(groups.select(F.col("v").alias("u"), "v").distinct())
+    groups = _ties(filed)
+    C.release(docs.sparkSession)
     classes = C.written(filed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
                         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
     candidates = classes.join(groups.select(F.col("u").alias("s1"), F.col("v").alias("comp")), "s1")
@@ -256,6 +262,8 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
                      "block", "rep", "copies", "grams"))
     found = C.written(units.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
                       .mapInPandas(verify(percent), "u long, v long, links long"), "ngram-links")
+    del units
+    C.release(docs.sparkSession)
     linked = C.components(found.select("u", "v"), "ngram-components")
     degree = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("other_links"))
     about = (classes.join(degree, "rep", "left")
@@ -272,5 +280,7 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 def one_per_group(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``docs`` but for those whose doc_id is not the smallest of its
     component. Rows without doc_id stay."""
-    others = join(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct()
+    others = C.written(join(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct(),
+                       "ngram-others")
+    C.release(docs.sparkSession)
     return docs.join(others, "doc_id", "left_anti")
