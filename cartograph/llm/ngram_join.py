@@ -9,12 +9,12 @@ another and summed per pair.
 *Candidates.* A set of n n-grams that links with another shares an n-gram with
 it among the first n - ceil(n * percent / 100) + 1 of either in the global
 order. This holds in any order; the rare-to-frequent one keeps common lines
-out of the rare ends. Frequencies come from a table of 2**22 counters over all
+out of the rare ends. Frequencies come from a table of 2**24 counters over all
 texts: a task reports the counters that stand out from its mean.
 
 *Groups.* Equal sets are one class, and only classes go on. Each class is tied
-to the smallest class that has the same n-gram in its rare end (not to all
-others), and the components of these ties hold every link. A component is cut
+to the smallest class of about its size that has the same n-gram in its rare
+end (not to all others), and the components of these ties hold every link. A component is cut
 in blocks by size; each pair of blocks is one unit of work of bounded memory.
 
 *Counting.* For two blocks the segments of each fragment are joined by n-gram,
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import text as X
 
-COUNTER_BITS = 22
+COUNTER_BITS = 24
 #: Classes and n-grams that one side of a unit of work holds, about.
 BLOCK_CLASSES = 1024
 BLOCK_NGRAMS = 1_000_000
@@ -59,13 +59,14 @@ def _frequent(size: int):
     """Arrow task: the counters that stand out among a task's n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(1 << COUNTER_BITS, np.int64)
+        count = np.zeros(1 << COUNTER_BITS, np.int32)
         for batch in batches:
             for _, _, w in X.word_chunks(batch.column("text")):
                 np.add.at(count, X.shingles(w.hash, size) >> np.uint64(64 - COUNTER_BITS), 1)
         mean = count.mean()
-        slot = np.flatnonzero(count > mean + 6 * mean ** 0.5 + 4)
-        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(count[slot])], ["slot", "n"])
+        slot = np.flatnonzero(count > mean + 4 * mean ** 0.5 + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(count[slot].astype(np.int64))],
+                                         ["slot", "n"])
 
     return run
 
@@ -87,11 +88,30 @@ def _rare_end(s: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(kind, kind="stable")[:take]] if kind.any() else s[:take]
 
 
+def size_classes(percent: int) -> np.ndarray:
+    """Lower bounds of size classes such that sets that link lie in one class or in neighbours."""
+    low = [1]
+    while low[-1] < 1 << 31:
+        low.append(max(low[-1] + 1, -(-low[-1] * 3 // 2), -(-low[-1] * 100 // percent)))
+    return np.array(low, np.int64)
+
+
+def _keys(s: np.ndarray, table: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
+    """Meeting places of a set: its rare end in its size class, and in the next
+    one where a set of that class could link with it."""
+    end = _rare_end(s, table, percent)
+    c = int(np.searchsorted(low, len(s), "right"))
+    out = [X.mix(end ^ X.const(1000 + c))]
+    if 100 * len(s) >= percent * int(low[c]):
+        out.append(X.mix(end ^ X.const(1001 + c)))
+    return np.concatenate(out)
+
+
 def file_sets(size: int, percent: int, shared):
     """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, low = shared.value, size_classes(percent)
         for batch in batches:
             n, s1, s2 = [], [], []
             keys, seen = [np.zeros(0, np.uint64)], set()
@@ -100,7 +120,7 @@ def file_sets(size: int, percent: int, shared):
                 for r in range(b - a):
                     s = np.unique(X.shingles(w.hash[w.first[r]:w.first[r + 1]], size))
                     x, y = _signature(s) if len(s) else (0, 0)
-                    own = s[:0] if (x, y) in seen else _rare_end(s, table, percent)
+                    own = s[:0] if not len(s) or (x, y) in seen else _keys(s, table, percent, low)
                     seen.add((x, y))
                     n.append(len(s)), s1.append(x), s2.append(y)
                     keys.append(own), counts.append(len(own))
