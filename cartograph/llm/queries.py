@@ -13,7 +13,7 @@ from . import ann, ctw, decontaminate, html_extract, langid, line_dedup, ngram_j
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(C.table(spark, sf_dir, "documents"), min_words=25)
+    return line_dedup.dedup(C.table(spark, sf_dir, "documents"), min_words=25, whole_lines=False)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document has too are cut; documents of which nothing is left go."""
-    return line_dedup.drop_repeated_lines(docs, min_words=25)
+    return line_dedup.drop_repeated_lines(docs, min_words=25, whole_lines=False)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -240,3 +240,34 @@ def test_packing_rows(docs_of):
         s = [of[r.doc_id] for r in b if of[r.doc_id] is not None]
         assert len(s) == len(set(s))
     assert packing.pack(docs_of([])).count() == 0
+
+
+def _words_left(texts, ids, size):
+    """Words of each text that lie in no run of ``size`` words of a text of smaller id."""
+    cut = [(t or "").lower().split() for t in texts]
+    runs = lambda w: [tuple(w[a:a + size]) for a in range(max(1, len(w) - size + 1))] if w else []
+    first = {}
+    for i, w in zip(ids, cut):
+        for run in runs(w):
+            first[run] = min(i, first.get(run, i))
+    out = {}
+    for i, t, w in zip(ids, texts, cut):
+        gone = {a + k for a, run in enumerate(runs(w)) if first[run] < i for k in range(len(run))}
+        out[i] = [x for k, x in enumerate((t or "").split()) if k not in gone]
+    return out
+
+
+def test_line_dedup_by_words_equals_brute_force(docs_of):
+    rng = random.Random(12)
+    passages = [_words(rng, n, 9999) for n in (24, 25, 26, 40, 52, 80, 120)]
+    twice = _words(rng, 30, 9999)
+    texts = _corpus(4) + [twice, f"{_words(rng, 9)} {twice} {_words(rng, 9)}\n{twice} {twice}", "la " * 90, "la " * 200]
+    for k in range(28):
+        texts.append(f"{_words(rng, 20, 9999)} {passages[k % 7]} {_words(rng, 20, 9999)} {passages[k % 5].upper()}")
+    ids = random.Random(2).sample(range(1000), len(texts))
+    want = _words_left(texts, ids, 25)
+    got = {r.doc_id: r for r in line_dedup.dedup(docs_of(texts, ids), 25, whole_lines=False).collect()}
+    assert {i: (r.text or "").split() for i, r in got.items()} == want
+    assert all((r.removed_lines > 0) == (len(want[i]) < len((t or "").split()))
+               for (i, t) in zip(ids, texts) for r in [got[i]])
+    assert all(got[i].text == t for i, t in zip(ids, texts) if not got[i].removed_lines)
