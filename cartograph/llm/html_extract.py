@@ -3,13 +3,16 @@
 The standard library's streaming parser gives the events of a page. A line is
 the text of one block; its ratio is its characters over the tags since the
 line before. The ratios are smoothed by a Gaussian over the page's lines, and
-lines over a threshold (a share of the ratios' deviation) are seeds. Going
-down from the root while one part of the page holds most of the seeds' text
-finds the content region; it gives all of its lines, short ones too.
+lines over a threshold (a share of the ratios' deviation) are seeds. The
+outermost article or main part that holds most of the seeds' text is the content
+region. On a page without one, the region is found by going down from the root
+into the part that holds all seeds and all paragraphs, headings, items and the
+like. The region gives all of its lines, short ones too.
 
 Lines of parts that say what they are have ratio 0 and are never content:
 menus, page headers, footers, sidebars, notices, adverts, forms, reader
-comments (by tag, role, or a word of class or id), and lists of bare links.
+comments (by tag, role, or a word of class or id), and, outside of an article
+or main part, items of bare links.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select "
     "summary table tbody td textarea tfoot th thead title tr ul".split())
 PARTS = frozenset("html body main article section div center table tbody tr td".split())
+TEXTS = frozenset("address blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 HIDDEN = frozenset("head script style noscript template title iframe object svg canvas math audio video map".split())
 APART = frozenset("nav footer aside form button select textarea option label input menu dialog fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -46,7 +50,7 @@ _SPACE = re.compile(r"\s+")
 
 SIGMA = 1.0
 SHARE = 0.5        # of the deviation: the threshold of a seed
-MOST = 0.8         # of the seeds' text: go down into the part that holds it
+MOST = 0.8         # of the seeds' text: the article or main part that holds it is the region
 
 
 class Page(HTMLParser):
@@ -184,19 +188,23 @@ def main_text(html: str | None) -> str:
         seeds = own
     weight = np.zeros(len(page.tag))
     count = np.zeros(len(page.tag), np.int64)
-    for k in np.flatnonzero(seeds):
-        weight[lines[k][1]] += len(lines[k][0])
+    kept = np.zeros(len(page.tag), np.int64)
     for k in np.flatnonzero(own):
-        count[lines[k][1]] += 1
+        e = lines[k][1]
+        count[e] += 1
+        if seeds[k]:
+            weight[e] += len(lines[k][0])
+        kept[e] += seeds[k] or page.tag[e] in TEXTS
     child: dict[int, list[int]] = {}
     for e in range(len(page.tag) - 1, 0, -1):
-        weight[page.parent[e]] += weight[e]
-        count[page.parent[e]] += count[e]
+        for total in (weight, count, kept):
+            total[page.parent[e]] += total[e]
         child.setdefault(page.parent[e], []).append(e)
-    region = 0
-    while True:
-        down = [e for e in child.get(region, ()) if weight[e] >= MOST * weight[region] and weight[e] > 0
-                and (page.tag[e] in ("article", "main") or page.tag[e] in PARTS and count[e] > 1)]
+    named = [e for e in range(1, len(page.tag)) if page.inside[e] and not page.inside[page.parent[e]]
+             and weight[e] >= MOST * weight[0] and weight[e] > 0]
+    region = named[0] if named else 0
+    while not named:
+        down = [e for e in child.get(region, ()) if page.tag[e] in PARTS and count[e] > 1 and kept[e] == kept[region]]
         if not down:
             break
         region = down[0]
@@ -204,7 +212,8 @@ def main_text(html: str | None) -> str:
     within[region] = True
     for e in range(region + 1, len(page.tag)):
         within[e] = within[page.parent[e]]
-    return "\n".join(t for k, (t, e, _, _) in enumerate(lines) if own[k] and within[e])
+    return "\n".join(t for k, (t, e, _, _) in enumerate(lines)
+                     if within[e] and (not page.apart[e] if named else own[k]))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -276,6 +276,30 @@ def test_main_text():
     assert html_extract.main_text("<nav>x<p>y</nav><p>body text") == "body text"
 
 
+LONG = "A rather long paragraph of the article with many words in it, so that its ratio is high."
+
+
+@pytest.mark.parametrize("inner,want", [
+    (f"<h1>T</h1><p>lead</p><div class=body><p>{LONG}</p><p>{LONG}</p></div>", ["T", "lead", LONG, LONG]),
+    (f"<section>{f'<p>{LONG}</p>' * 17}</section><section>{f'<p>{LONG}</p>' * 3}</section>", [LONG] * 20),
+    (f"<div>{f'<p>{LONG}</p>' * 9}</div>" + "<p>No.</p>" * 6, [LONG] * 9 + ["No."] * 6),
+    (f"<p>{LONG}</p><p>{LONG}</p><table><tr><td>{LONG}<td>{LONG}</table>", [LONG] * 4),
+    (f"<p>{LONG}</p><ul><li><a href=a>first source</a><li>second</ul>", [LONG, "first source", "second"])])
+def test_main_text_keeps_the_whole_article(inner, want):
+    around = ("<nav><ul><li><a href=/>Home</a></ul></nav>", "<div class=ad>buy</div>", "<footer>end</footer>")
+    for tag in ("article", "main"):
+        page = f"{around[0]}<div><div>{around[1]}<{tag}>{inner}</{tag}></div></div>{around[2]}"
+        assert html_extract.main_text(page).split("\n") == want
+
+
+def test_main_text_without_an_article():
+    inner = f"<h1>T</h1><p>lead</p><div><p>{LONG}</p><p>{LONG}</p></div><div>" + "<p>No.</p>" * 6 + "</div>"
+    assert html_extract.main_text(f"<nav>menu</nav><div>{inner}</div>").split("\n") == \
+        ["T", "lead", LONG, LONG] + ["No."] * 6
+    menu = "<ul>" + "".join(f"<li><a href={k}>page {k}</a>" for k in range(6)) + "</ul>"
+    assert html_extract.main_text(f"<div>{menu}</div><div>{inner}</div>").startswith("T\nlead\n")
+
+
 def test_extract_rows(spark):
     long = "word " * 30_000
     pages = spark.createDataFrame(
