@@ -108,7 +108,8 @@ def _keys(s: np.ndarray, table: np.ndarray, percent: int, low: np.ndarray) -> np
 
 
 def file_sets(size: int, percent: int, shared):
-    """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys)."""
+    """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys). Of a task's equal
+    sets the first of a row with doc_id has the keys; rows without meet nobody."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, low = shared.value, size_classes(percent)
@@ -116,12 +117,15 @@ def file_sets(size: int, percent: int, shared):
             n, s1, s2 = [], [], []
             keys, seen = [np.zeros(0, np.uint64)], set()
             counts = []
+            has_id = batch.column("doc_id").is_valid().to_pylist()
             for a, b, w in X.word_chunks(batch.column("text")):
                 for r in range(b - a):
                     s = np.unique(X.shingles(w.hash[w.first[r]:w.first[r + 1]], size))
                     x, y = _signature(s) if len(s) else (0, 0)
-                    own = s[:0] if not len(s) or (x, y) in seen else _keys(s, table, percent, low)
-                    seen.add((x, y))
+                    fresh = len(s) and has_id[a + r] and (x, y) not in seen
+                    own = _keys(s, table, percent, low) if fresh else s[:0]
+                    if fresh:
+                        seen.add((x, y))
                     n.append(len(s)), s1.append(x), s2.append(y)
                     keys.append(own), counts.append(len(own))
             yield pa.RecordBatch.from_arrays(

@@ -86,6 +86,16 @@ def test_join_ids_and_empty(docs_of):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"] and len(kept.columns) == 8
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (1, 0, 2), (2, 0, 1), (0, 2, 1)])
+def test_join_row_without_id_leaves_its_equals_their_links(docs_of, order):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(text, None), (text, 4), (text + " more", 9)]
+    docs = docs_of([rows[k][0] for k in order], [rows[k][1] for k in order]).coalesce(1)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.join(docs).collect()}
+    assert got == {None: (None, 0), 4: (4, 1), 9: (4, 1)}
+    assert sorted(str(r.doc_id) for r in ngram_join.one_per_group(docs).collect()) == ["4", "None"]
+
+
 def _lines(t):
     raw = np.frombuffer((t or "").encode(), np.uint8)
     w = X.words(raw, np.array([0, len(raw)]))
