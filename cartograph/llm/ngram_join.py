@@ -153,9 +153,9 @@ def read_sets(size: int):
             flat = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)
             rows = batch.take(pa.array(keep, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(c) for c in ("comp", "parts", "rep", "copies")]
+                [rows.column(c) for c in ("comp", "parts", "s1", "s2", "rep", "copies")]
                 + [X.list_column(flat, np.array(lengths, np.int64), pa.int64())],
-                ["comp", "parts", "rep", "copies", "grams"])
+                ["comp", "parts", "s1", "s2", "rep", "copies", "grams"])
 
     return run
 
@@ -193,7 +193,7 @@ def count_overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
 
 
 def _unit(rows: pd.DataFrame, bi: int, bj: int, percent: int) -> pd.DataFrame:
-    rows = rows.drop_duplicates("rep").reset_index(drop=True)
+    rows = rows.drop_duplicates(["s1", "s2"]).reset_index(drop=True)
     sets = [np.asarray(g).astype(np.uint64) for g in rows["grams"]]
     rep, copies, block = (rows[c].to_numpy(np.int64) for c in ("rep", "copies", "block"))
     left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
@@ -206,7 +206,7 @@ def _unit(rows: pd.DataFrame, bi: int, bj: int, percent: int) -> pd.DataFrame:
             x = parent[x]
         return x
 
-    for i, found in count_overlaps(sets, left, right, percent):
+    for i, found in count_overlaps(sets, left, right, percent) if len(right) else ():  # a block may be empty
         for j in right[found]:
             if i == j or (bi == bj and j < i):
                 continue
@@ -216,7 +216,8 @@ def _unit(rows: pd.DataFrame, bi: int, bj: int, percent: int) -> pd.DataFrame:
             if a != b:
                 parent[max(a, b)] = min(a, b)
     touched = np.flatnonzero(links)
-    return pd.DataFrame({"u": rep[touched], "v": rep[[root(x) for x in touched]] if len(touched) else rep[:0],
+    return pd.DataFrame({"s1": rows["s1"].to_numpy(np.int64)[touched], "s2": rows["s2"].to_numpy(np.int64)[touched],
+                         "u": rep[touched], "v": rep[[root(x) for x in touched]] if len(touched) else rep[:0],
                          "links": links[touched]})
 
 
@@ -257,7 +258,8 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     A text that is null or has no word has the empty set, links with nothing
     and is its own component. A row without doc_id is returned with its
     n_shingles, a null component and no links. Rows that repeat a doc_id count
-    as one node. An empty table gives an empty result; other columns are
+    as one node with the links of all its texts; a document that links with
+    several of them counts for each in n_links. An empty table gives an empty result; other columns are
     ignored.
     """
     if not 1 <= percent <= 100:
@@ -268,7 +270,8 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
                                   "doc_id long, n long, s1 long, s2 long, keys array<long>"), "ngram-sets")
     groups = _ties(filed)
     C.release(docs.sparkSession)
-    classes = C.written(filed.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
+    nodes = filed.where("n > 0 and doc_id is not null").select("doc_id", "s1", "s2", "n").distinct()
+    classes = C.written(nodes.groupBy("s1", "s2", "n")
                         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
     candidates = classes.join(groups.select(F.col("u").alias("s1"), F.col("v").alias("comp")), "s1")
     parts = (candidates.groupBy("comp")
@@ -279,26 +282,33 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     units = (docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
              .select("comp", "parts", "s1", "s2", "rep", "copies", "text")
-             .mapInArrow(read_sets(size), "comp long, parts int, rep long, copies long, grams array<long>")
-             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+             .mapInArrow(read_sets(size), "comp long, parts int, s1 long, s2 long, rep long, copies long, grams array<long>")
+             .withColumn("block", F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("int"))
              .withColumn("other", other)
              .select("comp", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                     "block", "rep", "copies", "grams"))
+                     "block", "s1", "s2", "rep", "copies", "grams"))
     found = C.written(units.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
-                      .mapInPandas(verify(percent), "u long, v long, links long"), "ngram-links")
+                      .mapInPandas(verify(percent), "s1 long, s2 long, u long, v long, links long"), "ngram-links")
     del units
     C.release(docs.sparkSession)
-    linked = C.components(found.select("u", "v"), "ngram-components")
-    degree = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("other_links"))
-    about = (classes.join(degree, "rep", "left")
+    repeated = filed.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("s1").alias("a"), F.max("s1").alias("b"), F.min("s2").alias("c"), F.max("s2").alias("d"))
+    several = C.written(filed.where("doc_id is not null").select("doc_id", "s1", "s2", "n").distinct()
+                        .join(repeated.where("a <> b or c <> d").select("doc_id"), "doc_id"), "ngram-repeated")
+    same = several.join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    linked = C.components(found.select("u", "v").union(same), "ngram-components")
+    degree = found.groupBy("s1", "s2").agg(F.sum("links").alias("other_links"))
+    about = (classes.join(degree, ["s1", "s2"], "left")
              .join(linked.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
              .select("s1", "s2", "n", F.coalesce("root", "rep").alias("root"),
                      (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    return (filed.select("doc_id", "n", "s1", "s2").join(about, ["s1", "s2", "n"], "left")
+    whole = (several.join(about, ["s1", "s2", "n"], "left").groupBy("doc_id")
+             .agg(F.min("root").alias("of_all"), F.sum("links").alias("links_of_all")))
+    return (filed.select("doc_id", "n", "s1", "s2").join(about, ["s1", "s2", "n"], "left").join(whole, "doc_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
-                    F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.coalesce("links", F.lit(0)))
-                    .cast("long").alias("n_links")))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("of_all", "root", "doc_id")).alias("component_id"),
+                    F.when(F.col("doc_id").isNull(), F.lit(0))
+                    .otherwise(F.coalesce("links_of_all", "links", F.lit(0))).cast("long").alias("n_links")))
 
 
 def one_per_group(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:

@@ -96,6 +96,30 @@ def test_join_row_without_id_leaves_its_equals_their_links(docs_of, order):
     assert sorted(str(r.doc_id) for r in ngram_join.one_per_group(docs).collect()) == ["4", "None"]
 
 
+def test_join_id_with_two_texts_has_the_links_of_both(docs_of):
+    one, two = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    # a small chain between the two texts, so that they fall into one candidate component
+    both = " ".join(one.split()[:30] + two.split()[:30])
+    rows = [(one, 5), (two, 5), (one + " more", 7), (two + " more", 9), (two, 3), (two, 3), (None, 5), (both, 11)]
+    for r in (rows, rows[::-1]):
+        got = {(x.doc_id, x.component_id, x.n_links)
+               for x in ngram_join.join(docs_of([t for t, _ in r], [i for _, i in r]), 3, 90).collect()}
+        # 5 with 7, and with 3 and 9; 3 with 5 and 9
+        assert got == {(5, 3, 3), (7, 3, 1), (9, 3, 2), (3, 3, 2), (11, 11, 0)}
+    kept = ngram_join.one_per_group(docs_of([t for t, _ in rows], [i for _, i in rows]))
+    assert {r.doc_id for r in kept.collect()} == {3, 11}
+
+
+def test_unit_tells_texts_of_one_id_apart():
+    import pandas as pd
+
+    sets = [np.arange(0, 40), np.arange(100, 140), np.arange(0, 41), np.arange(100, 141)]
+    rows = pd.DataFrame({"comp": 1, "bi": 0, "bj": 0, "block": 0, "s1": [1, 2, 3, 4], "s2": 0, "rep": [5, 5, 7, 9],
+                         "copies": 1, "grams": [s.astype(np.int64) for s in sets]})
+    got = ngram_join._unit(rows, 0, 0, 90)
+    assert sorted(zip(got["u"], got["v"], got["links"])) == [(5, 5, 1), (5, 5, 1), (7, 5, 1), (9, 5, 1)]
+
+
 def _lines(t):
     raw = np.frombuffer((t or "").encode(), np.uint8)
     w = X.words(raw, np.array([0, len(raw)]))
