@@ -195,7 +195,8 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = 16, sample_ro
     Vectors that are null, empty, all zero or hold a null or a non-finite
     component, those of another length than the most frequent one, and rows
     without vec_id take no part. Rows that repeat a vec_id count once, by the
-    nearest. Other columns are ignored; an empty table gives an empty result.
+    nearest. A query has fewer than k rows only where there are fewer candidates
+    in all. Other columns are ignored; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     kind = "query_id long, rank int, vec_id long, score double"
@@ -217,24 +218,36 @@ def search(vectors: DataFrame, is_query, k: int = 10, parts: int = 16, sample_ro
         r: Router = shared.value
         for batch in batches:
             p = r.probability(_vectors(batch.column("v"), dims))
-            order = np.argsort(-p, axis=1, kind="stable")[:, :r.probes].astype(np.int32)
+            order = np.argsort(-p, axis=1, kind="stable").astype(np.int32)
+            asks = batch.column("is_query").fill_null(False).to_numpy(zero_copy_only=False)
+            kept = np.where(asks, order.shape[1], 1)  # only queries need more than their own partition
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("v"), batch.column("is_query"),
-                 X.list_column(order.ravel(), np.full(len(p), order.shape[1], np.int64), pa.int32())],
-                ["vec_id", "v", "is_query", "probes"])
+                 X.list_column(order[np.arange(order.shape[1]) < kept[:, None]], kept.astype(np.int64), pa.int32())],
+                ["vec_id", "v", "is_query", "ranking"])
 
-    filed = C.written(rows.mapInArrow(file, "vec_id long, v array<double>, is_query boolean, probes array<int>"),
+    filed = C.written(rows.mapInArrow(file, "vec_id long, v array<double>, is_query boolean, ranking array<int>"),
                       "ann-filed")
-    size = {r["part"]: r["n"] for r in filed.groupBy(F.col("probes")[0].alias("part"))
+    size = {r["part"]: r["n"] for r in filed.groupBy(F.col("ranking")[0].alias("part"))
             .agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a partition
     blocks = F.create_map(*[F.lit(int(c)) for p, n in size.items() for c in (p, -(-n // BLOCK_ROWS))])
+    others = {r["part"]: r["n"] for r in filed.groupBy("vec_id").agg(F.min(F.col("ranking")[0]).alias("part"))
+              .groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # each vec_id in one partition
+    held = F.create_map(*[F.lit(int(c)) for p in size for c in (p, others.get(p, 0))])
+    # down the ranking until k others and the query itself must be among the candidates
+    probes = F.aggregate(
+        "ranking", F.struct(F.lit(0).cast("long").alias("ids"), F.lit(0).alias("used")),
+        lambda got, part: F.when((got["used"] < router.probes) | (got["ids"] <= k), F.struct(
+            (got["ids"] + F.coalesce(held[part], F.lit(0))).cast("long").alias("ids"),
+            (got["used"] + 1).alias("used"))).otherwise(got),
+        lambda got: F.slice("ranking", F.lit(1), got["used"]))
     asked = filed.where("is_query").count()
     shares = max(1, -(-asked // BLOCK_QUERIES))
     span = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    cand = (filed.select("vec_id", "v", F.col("probes")[0].alias("part"))
+    cand = (filed.select("vec_id", "v", F.col("ranking")[0].alias("part"))
             .withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks[F.col("part")]).cast("int"))
             .withColumn("share", span(F.lit(shares))))
-    quer = (filed.where("is_query").select("vec_id", "v", F.explode("probes").alias("part"))
+    quer = (filed.where("is_query").select("vec_id", "v", F.explode(probes).alias("part"))
             .where(blocks[F.col("part")].isNotNull())
             .withColumn("share", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int"))
             .withColumn("block", span(blocks[F.col("part")])))

@@ -312,6 +312,16 @@ def test_extract_rows(spark):
     assert html_extract.extract(pages.where("page_id = 99")).count() == 0
 
 
+@pytest.mark.parametrize("rows", [7, 64, 150])
+def test_neighbours_fill_k_on_small_tables(spark, rows):
+    rng = np.random.default_rng(rows)
+    centres = rng.normal(size=(16, 8)) * 50
+    vectors = spark.createDataFrame([(i, (centres[i % 16] + rng.normal(size=8)).tolist()) for i in range(rows)],
+                                    "vec_id long, embedding array<double>")
+    got = Counter(r.query_id for r in ann.search(vectors, F.col("vec_id") % 3 == 0, k=10).collect())
+    assert got == {i: min(10, rows - 1) for i in range(0, rows, 3)}
+
+
 # ---- token files ------------------------------------------------------------------
 
 def test_wavelet_matrix():
