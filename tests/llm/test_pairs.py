@@ -305,3 +305,13 @@ def test_line_dedup_by_words_equals_brute_force(docs_of):
     assert all((r.removed_lines > 0) == (len(want[i]) < len((t or "").split()))
                for (i, t) in zip(ids, texts) for r in [got[i]])
     assert all(got[i].text == t for i, t in zip(ids, texts) if not got[i].removed_lines)
+
+
+def test_line_dedup_query_cuts_every_occurrence(spark, docs_of, tmp_path):
+    from cartograph.llm import queries
+
+    rng = random.Random(21)
+    passage = ". ".join(_words(rng, 15, 9999) for _ in range(3)) + "."
+    docs_of([passage, f"start.\n{passage}\nmiddle.\n{passage}\nend."]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: passage, 1: "start.\nmiddle.\nend."}
