@@ -1,4 +1,4 @@
-"""The ten ``opN_`` queries: each applies its operator to its whole table."""
+"""The ``opN_`` queries: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import plan_utils as pu
 from . import common as C
-from . import ann, ctw, decontaminate, html_extract, langid, line_dedup, ngram_join, packing, toxicity, wavelet
+from . import ann, ctw, decontaminate, divergence, html_extract, langid, line_dedup, ngram_join, packing, periodic
+from . import quality, toxicity, wavelet
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +60,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"), folds=5, held_out=0)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"), folds=5, held_out=0)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(C.table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs(C.table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_context_tree_weighting, op5_html_extraction,
     op6_wavelet_tokens, op7_nearest_neighbours, op8_best_fit_packing, op9_language_id, op10_toxicity,
+    op11_quality, op12_source_divergence, op13_periodic_runs,
 )}
 
 #: The join as plain SQL: every pair's overlap, then labels spread until they rest.
@@ -86,4 +100,36 @@ FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 GROUP BY d.doc_id
 """
 
-ORACLE_SQL = {"op3_ngram_jaccard_join": _OP3_SQL}
+#: The audit as plain SQL: every kept term beside every group.
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY lang, source, term),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS of_lang
+      FROM g JOIN k ON k.lang = g.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, sum(n) AS n FROM f GROUP BY lang, source),
+p AS (SELECT f.lang, f.source, f.term, f.n,
+             1 + (1000000000::HUGEINT * (f.n + 2)) // (s.n + 2 * l.v) AS p,
+             1 + (1000000000::HUGEINT * (f.of_lang + 2)) // (l.n + 2 * l.v) AS q
+      FROM f JOIN s ON s.lang = f.lang AND s.source = f.source JOIN l ON l.lang = f.lang),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+          GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q),
+z AS (SELECT lang, source, part, item, value::BIGINT AS value,
+             (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM u)
+SELECT * FROM z WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE_SQL = {"op3_ngram_jaccard_join": _OP3_SQL, "op12_source_divergence": _OP12_SQL}
