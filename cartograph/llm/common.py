@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,6 +28,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return pu.materialize(df, df.sparkSession, "llm", name)
 
 
+class Scratch:
+    """The intermediate tables of one run of an operator, in a folder of their own."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, f"{name}-{uuid.uuid4().hex[:8]}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        return pu.materialize(df, self.spark, "llm", self.name, name)
+
+    def last(self, df: DataFrame) -> DataFrame:
+        """The result, written beside the folder, which is then deleted: nothing that
+        the result does not hold stays behind."""
+        out = pu.materialize(df, self.spark, "llm", f"{self.name}-result")
+        pu.remove_scratch(self.spark, "llm", self.name)
+        release(self.spark)
+        return out
+
+
 def release(spark: SparkSession) -> None:
     """Have shuffle files deleted whose frames nothing refers to any more: Spark's
     cleaner goes by the driver's garbage, which a long driver-side wait may
@@ -69,7 +88,7 @@ def _mark(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """(u, v) links -> (u, v) with v the smallest id of u's component, for every
     id that has a link but is not itself the smallest.
 
@@ -78,8 +97,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     but a count and a checksum. Hubs are safe: each step is a partial minimum
     by id and a join whose large partitions Spark may split.
     """
-    e = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                .distinct(), name)
+    e = scratch.written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                        .distinct(), name)
     mark = _mark(e)
     while mark[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -90,7 +109,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
                  .select("x.u", "x.v").where("u <> v").distinct())
-        e = written(small, name)
+        e = scratch.written(small, name)
         now = _mark(e)
         if now == mark:
             break

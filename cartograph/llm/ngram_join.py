@@ -1,26 +1,29 @@
 """N-gram Jaccard join by vertical partitioning.
 
 All n-grams have one global order, from rare to frequent, and by hash among
-equally frequent ones. The order is cut: each document's set falls apart into
-its rare end, which decides with whom it is compared, and into segments by
-fragments of the hash order, in which overlaps are counted one fragment after
-another and summed per pair.
-
-*Candidates.* A set of n n-grams that links with another shares an n-gram with
-it among the first n - ceil(n * percent / 100) + 1 of either in the global
-order. This holds in any order; the rare-to-frequent one keeps common lines
-out of the rare ends. Frequencies come from a table of 2**24 counters over all
-texts: a task reports the counters that stand out from its mean.
-
-*Groups.* Equal sets are one class, and only classes go on. Each class is tied
-to the smallest class of about its size that has the same n-gram in its rare
-end (not to all others), and the components of these ties hold every link. A component is cut
-in blocks by size; each pair of blocks is one unit of work of bounded memory.
-
-*Counting.* For two blocks the segments of each fragment are joined by n-gram,
-partial overlaps are added per pair over the fragments and compared with the
-pair's needs. A unit returns a spanning forest of its links and each class's
-number of links, never the list of all pairs.
+equally frequent ones. The order is cut into fragments. Each document's set falls
+apart into one segment a fragment; overlaps are counted fragment by fragment, as
+rows of their own, and summed per pair.
+
+*Classes.* Equal sets are one class, and only classes go on.
+
+*Candidates.* Two sets that link share an n-gram in their rare ends, the first
+n - ceil(n * percent / 100) + 1 of each in the global order. Classes that have
+an n-gram there meet under it, and are a pair if their sizes and the places of the
+n-gram leave room for the overlap that a link needs (at a pair's first common
+n-gram no earlier one can add to it). The rare-to-frequent order keeps common
+passages out of the rare ends; an n-gram that many classes have there all the
+same is dealt as pairs of blocks of its classes, so that no task meets more than
+two blocks. Frequencies come from a table of 2**24 counters over all texts: a task
+reports the counters that stand out from its mean. They decide about the order
+only, so that they cost speed at worst.
+
+*Counting.* A pair is counted in a unit: the neighbourhood of the smallest class
+next to it, cut in pairs of blocks of bounded size. A class is dealt to the block
+pairs it has candidates in, one row a fragment. A task counts the overlaps of one
+block pair in one fragment and hands on the pairs that can still link: a pair that
+differs by more in one fragment than a link may differ in all is dropped there.
+One sum per pair decides. Results are components and degrees.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,16 +39,16 @@ from . import common as C
 from . import text as X
 
 COUNTER_BITS = 24
-#: Classes and n-grams that one side of a unit of work holds, about.
+#: Fragments of the global order.
+FRAGMENTS = 4
+#: Classes and n-grams that one side of a unit of counting holds, about.
 BLOCK_CLASSES = 1024
 BLOCK_NGRAMS = 1_000_000
-#: N-grams that are joined at a time inside a unit.
-FRAGMENT_NGRAMS = 1 << 16
-
-
-def _segments(s: np.ndarray, parts: int) -> np.ndarray:
-    """The fragment of each n-gram hash: equal ranges of the hash order."""
-    return ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+#: Classes of an n-gram in rare ends from which they meet in pairs of blocks of as many.
+HOT_CLASSES = 2048
+#: Rows that a task looks for pairs in at a time, and pairs at a time.
+MEETING_ROWS = 1 << 20
+PAIRS = 1 << 21
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -80,41 +82,34 @@ def frequency_table(docs: DataFrame, size: int) -> np.ndarray:
     return table
 
 
-def _rare_end(s: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
-    """The first n-grams of a sorted set in the global order, as many as a partner must share one of."""
+def _rare_end(s: np.ndarray, table: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n-grams of a sorted set in the global order, as many as a partner
+    must share one of, and their classes of frequency."""
     n = len(s)
     take = n - -(-n * percent // 100) + 1
     kind = table[s >> np.uint64(64 - COUNTER_BITS)]
-    return s[np.argsort(kind, kind="stable")[:take]] if kind.any() else s[:take]
-
+    order = np.argsort(kind, kind="stable")[:take]
+    return s[order], kind[order]
 
-def size_classes(percent: int) -> np.ndarray:
-    """Lower bounds of size classes such that sets that link lie in one class or in neighbours."""
-    low = [1]
-    while low[-1] < 1 << 31:
-        low.append(max(low[-1] + 1, -(-low[-1] * 3 // 2), -(-low[-1] * 100 // percent)))
-    return np.array(low, np.int64)
 
+def fragment_of(s: np.ndarray, table: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment of each n-gram: the last one is the frequent end of the global order, the others
+    cut the rare rest, equally rare, by ranges of the hash."""
+    if fragments == 1:
+        return np.zeros(len(s), np.int64)
+    part = (((s >> np.uint64(32)) * np.uint64(fragments - 1)) >> np.uint64(32)).astype(np.int64)
+    return np.where(table[s >> np.uint64(64 - COUNTER_BITS)] > 0, fragments - 1, part)
 
-def _keys(s: np.ndarray, table: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
-    """Meeting places of a set: its rare end in its size class, and in the next
-    one where a set of that class could link with it."""
-    end = _rare_end(s, table, percent)
-    c = int(np.searchsorted(low, len(s), "right"))
-    out = [X.mix(end ^ X.const(1000 + c))]
-    if 100 * len(s) >= percent * int(low[c]):
-        out.append(X.mix(end ^ X.const(1001 + c)))
-    return np.concatenate(out)
 
-
-def file_sets(size: int, percent: int, shared):
-    """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys). Of a task's equal
-    sets the first of a row with doc_id has the keys; rows without meet nobody."""
+def file_sets(size: int, percent: int, shared, hot_classes: int):
+    """Arrow task: (doc_id, text) -> (doc_id, n, s1, s2, keys, cool): the rare end in the global order,
+    the first ``cool`` of it too rare to be hot. Of a task's equal sets the first of a row with doc_id
+    has the keys; rows without meet nobody."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, low = shared.value, size_classes(percent)
+        table, hot = shared.value, min(255, int(8 * np.log2(hot_classes)))
         for batch in batches:
-            n, s1, s2 = [], [], []
+            n, s1, s2, cool = [], [], [], []
             keys, seen = [np.zeros(0, np.uint64)], set()
             counts = []
             has_id = batch.column("doc_id").is_valid().to_pylist()
@@ -123,131 +118,238 @@ def file_sets(size: int, percent: int, shared):
                     s = np.unique(X.shingles(w.hash[w.first[r]:w.first[r + 1]], size))
                     x, y = _signature(s) if len(s) else (0, 0)
                     fresh = len(s) and has_id[a + r] and (x, y) not in seen
-                    own = _keys(s, table, percent, low) if fresh else s[:0]
+                    own, kind = _rare_end(s, table, percent) if fresh else (s[:0], s[:0])
                     if fresh:
                         seen.add((x, y))
                     n.append(len(s)), s1.append(x), s2.append(y)
-                    keys.append(own), counts.append(len(own))
+                    keys.append(own), counts.append(len(own)), cool.append(int((kind < hot).sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
                  pa.array(s2, pa.int64()),
-                 X.list_column(np.concatenate(keys).astype(np.int64), np.array(counts, np.int64), pa.int64())],
-                ["doc_id", "n", "s1", "s2", "keys"])
+                 X.list_column(np.concatenate(keys).astype(np.int64), np.array(counts, np.int64), pa.int64()),
+                 pa.array(cool, pa.int32())],
+                ["doc_id", "n", "s1", "s2", "keys", "cool"])
 
     return run
 
 
-def read_sets(size: int):
-    """Arrow task: candidate rows with their text -> with their sorted n-gram hashes.
-    A row whose text is not the one that was filed (a repeated id) is left out."""
+# ---- candidates ------------------------------------------------------------------
+
+def pairs_of(place: np.ndarray, side: np.ndarray, n: np.ndarray, at: np.ndarray, s1: np.ndarray, percent: int
+             ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b), a < b, of classes that meet and may link; rows sorted by (place, n). ``side`` is 0, or
+    the side of a block pair: only classes of different sides meet. ``at`` is the place of the
+    common n-gram in the class's order."""
+    group = np.cumsum(np.concatenate(([0], place[1:] != place[:-1]))).astype(np.int64) if len(place) else place
+    top = np.searchsorted((group << 40) | n, (group << 40) | (n * 100 // percent), "right")
+    many = np.maximum(0, top - np.arange(len(n)) - 1)
+    total = np.cumsum(many)
+    cut = np.searchsorted(total, np.arange(PAIRS, int(total[-1]) + PAIRS, PAIRS)) if len(n) else []
+    for some in np.split(np.arange(len(n)), np.unique(cut)):
+        size = many[some]
+        if not size.sum():
+            continue
+        i = np.repeat(some, size)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+        room = np.minimum(n[i] - at[i], n[j] - at[j])
+        ok = (room * (100 + percent) >= percent * (n[i] + n[j])) & (s1[i] != s1[j]) & ((side[i] == 0) | (side[i] != side[j]))
+        i, j = i[ok], j[ok]
+        if len(i):
+            both = np.unique(np.stack([np.minimum(s1[i], s1[j]), np.maximum(s1[i], s1[j])]), axis=1)
+            yield both[0], both[1]
+
+
+def _meet(percent: int):
+    """Arrow task: rows sorted by (place, n) -> (a, b)."""
+    names = ("place", "side", "n", "at", "s1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out(rows: list) -> Iterator[pa.RecordBatch]:
+            for a, b in pairs_of(*rows, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            held.append([batch.column(c).to_numpy().astype(np.int64) for c in names])
+            size += batch.num_rows
+            if size >= MEETING_ROWS:
+                rows = [np.concatenate(x) for x in zip(*held)]
+                last = np.flatnonzero(rows[0][1:] != rows[0][:-1])  # the last place may go on
+                cut = int(last[-1]) + 1 if len(last) else 0
+                yield from out([x[:cut] for x in rows])
+                held, size = [[x[cut:] for x in rows]], len(rows[0]) - cut
+        if held:
+            yield from out([np.concatenate(x) for x in zip(*held)])
+
+    return run
+
+
+def candidate_pairs(filed: DataFrame, percent: int, hot_classes: int) -> DataFrame:
+    """(a, b): the classes, by s1, that may link."""
+    zero = F.lit(0).cast("long")
+    ends = (filed.where("doc_id is not null and n > 0").select("s1", "n", "cool", F.posexplode("keys").alias("at", "key"))
+            .withColumn("hot", F.col("at") >= F.col("cool")))
+    cool = ends.where("not hot").select(F.col("key").alias("place"), zero.alias("side"), "n", "at", "s1")
+    # hot ones: first counted (a row a task and n-gram), then dealt to pairs of blocks
+    hot = ends.where("hot").select("key", "n", "at", "s1")
+    blocks = hot.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / hot_classes).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("s1"), F.col("blocks")).cast("int")
+    dealt = (hot.join(blocks, "key").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("place"),
+                     F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+                     .cast("long").alias("side"), "n", "at", "s1"))
+    # a block meets itself in the place of its own pair only
+    return (cool.unionByName(dealt).repartition(F.col("place")).sortWithinPartitions("place", "n")
+            .mapInArrow(_meet(percent), "a long, b long").distinct())
+
+
+# ---- counting --------------------------------------------------------------------
+
+def read_segments(size: int, shared, fragments: int):
+    """Arrow task: classes with a text and their places in units -> a row for each place and
+    fragment: the segment's sorted n-gram hashes. A row whose text is not the one that was filed (a
+    repeated id) is left out."""
+    names = ["unit", "lo", "hi", "own", "fragment", "s1", "s2", "n", "grams"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in batches:
             t1, t2 = batch.column("s1").to_pylist(), batch.column("s2").to_pylist()
-            sets, lengths, keep = [], [], []
+            places = batch.column("places").to_pylist()
+            out: list[tuple] = []
+            grams: list[np.ndarray] = []
+            held = 0
+
+            def flush() -> pa.RecordBatch:
+                cols = [pa.array([r[k] for r in out], pa.int64() if names[k] in ("unit", "s1", "s2", "n") else pa.int32())
+                        for k in range(len(names) - 1)]
+                flat = np.concatenate(grams).astype(np.int64) if grams else np.zeros(0, np.int64)
+                return pa.RecordBatch.from_arrays(
+                    [*cols, X.list_column(flat, np.array(list(map(len, grams)), np.int64), pa.int64())], names)
+
             for a, b, w in X.word_chunks(batch.column("text")):
                 for r in range(b - a):
                     s = np.unique(X.shingles(w.hash[w.first[r]:w.first[r + 1]], size))
-                    if _signature(s) == (t1[a + r], t2[a + r]):
-                        keep.append(a + r), sets.append(s), lengths.append(len(s))
-            flat = np.concatenate(sets).astype(np.int64) if sets else np.zeros(0, np.int64)
-            rows = batch.take(pa.array(keep, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(c) for c in ("comp", "parts", "s1", "s2", "rep", "copies")]
-                + [X.list_column(flat, np.array(lengths, np.int64), pa.int64())],
-                ["comp", "parts", "s1", "s2", "rep", "copies", "grams"])
+                    if not len(s) or _signature(s) != (t1[a + r], t2[a + r]):
+                        continue
+                    part = fragment_of(s, table, fragments)
+                    for f in np.unique(part):
+                        mine = s[part == f]
+                        for p in places[a + r]:
+                            out.append((p["unit"], p["lo"], p["hi"], p["own"], int(f), t1[a + r], t2[a + r], len(s)))
+                            grams.append(mine)
+                            held += len(mine)
+                    if held > BLOCK_NGRAMS:
+                        yield flush()
+                        out, grams, held = [], [], 0
+            if out:
+                yield flush()
 
     return run
 
 
-def count_overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int
-                   ) -> Iterator[tuple[int, np.ndarray]]:
-    """For each set of ``left``: the sets of ``right`` that link with it.
+def count_segments(sets: list[np.ndarray], n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+                   ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each set of ``left``: the sets of ``right`` whose segments leave a link possible, and
+    how many n-grams they share. ``n``: sizes of the whole sets."""
+    gram = np.concatenate([sets[j] for j in right])
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(right)), size[right])
+    order = np.argsort(gram, kind="stable")
+    gram, owner = gram[order], owner[order]
+    for i in left:
+        lo, hi = np.searchsorted(gram, sets[i], "left"), np.searchsorted(gram, sets[i], "right")
+        reach = hi - lo
+        got = int(reach.sum())
+        if not got:
+            continue
+        at = np.repeat(lo - (np.cumsum(reach) - reach), reach) + np.arange(got)
+        shared = np.bincount(owner[at], minlength=len(right))
+        both = n[i] + n[right]
+        may_differ = both - 2 * -(-percent * both // (100 + percent))
+        j = np.flatnonzero((shared > 0) & (size[i] + size[right] - 2 * shared <= may_differ))
+        if len(j):
+            yield i, j, shared[j]
+
+
+def _count(percent: int):
+    """Arrow task: segments sorted by (unit, lo, hi, fragment) -> (unit, both classes, their sizes,
+    n-grams shared in the fragment)."""
+    key, whole = ("unit", "lo", "hi", "fragment"), ("own", "s1", "s2", "n")
+    names = ["unit", "a1", "a2", "b1", "b2", "na", "nb", "shared"]
+
+    def group(k: tuple, rows: list) -> Iterator[pa.RecordBatch]:
+        own, s1, s2, n = (np.concatenate([r[c] for r in rows]).astype(np.int64) for c in range(4))
+        # rows that repeat a document bring its class again
+        _, once = np.unique(np.stack([s1, s2]), axis=1, return_index=True)
+        own, s1, s2, n = own[once], s1[once], s2[once], n[once]
+        sets = [g for r in rows for g in r[4]]
+        sets = [sets[k] for k in once]
+        left, right = np.flatnonzero(own == k[1]), np.flatnonzero(own == k[2])
+        if not len(left) or not len(right):
+            return
+        found = [(np.full(len(j), i), right[j], o) for i, j, o in count_segments(sets, n, left, right, percent)]
+        if not found:
+            return
+        i, j, o = (np.concatenate(x) for x in zip(*found))
+        if k[1] == k[2]:  # each pair once
+            i, j, o = i[i < j], j[i < j], o[i < j]
+        swap = (s1[i] > s1[j]) | ((s1[i] == s1[j]) & (s2[i] > s2[j]))
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        cols = [np.full(len(i), k[0]), s1[i], s2[i], s1[j], s2[j], n[i], n[j], o.astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
-    The n-gram order is cut in fragments of bounded size; partial overlaps are
-    counted fragment by fragment and summed per pair.
-    """
-    n = np.array([len(s) for s in sets], np.int64)
-    parts = max(1, int(n.sum()) // FRAGMENT_NGRAMS)
-    sums = np.zeros((len(left), len(right)), np.int32)
-    spot = np.full(len(sets), -1, np.int64)
-    spot[right] = np.arange(len(right))
-    cuts = [np.searchsorted(_segments(s, parts), np.arange(parts + 1)) for s in sets]
-    for f in range(parts):
-        mine = [sets[j][cuts[j][f]:cuts[j][f + 1]] for j in right]
-        gram = np.concatenate(mine)
-        owner = np.repeat(np.arange(len(right)), [len(x) for x in mine])
-        order = np.argsort(gram, kind="stable")
-        gram, owner = gram[order], owner[order]
-        for k, i in enumerate(left):
-            s = sets[i][cuts[i][f]:cuts[i][f + 1]]
-            lo, hi = np.searchsorted(gram, s, "left"), np.searchsorted(gram, s, "right")
-            size = hi - lo
-            got = int(size.sum())
-            if got:
-                at = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(got)
-                sums[k] += np.bincount(owner[at], minlength=len(right)).astype(np.int32)
-    for k, i in enumerate(left):
-        o = sums[k].astype(np.int64)
-        yield i, np.flatnonzero((o > 0) & (100 * o >= percent * (n[i] + n[right] - o)))
-
-
-def _unit(rows: pd.DataFrame, bi: int, bj: int, percent: int) -> pd.DataFrame:
-    rows = rows.drop_duplicates(["s1", "s2"]).reset_index(drop=True)
-    sets = [np.asarray(g).astype(np.uint64) for g in rows["grams"]]
-    rep, copies, block = (rows[c].to_numpy(np.int64) for c in ("rep", "copies", "block"))
-    left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
-    links = np.zeros(len(rep), np.int64)
-    parent = np.arange(len(rep))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i, found in count_overlaps(sets, left, right, percent) if len(right) else ():  # a block may be empty
-        for j in right[found]:
-            if i == j or (bi == bj and j < i):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            links[i] += copies[j]
-            links[j] += copies[i]
-            a, b = root(i), root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    touched = np.flatnonzero(links)
-    return pd.DataFrame({"s1": rows["s1"].to_numpy(np.int64)[touched], "s2": rows["s2"].to_numpy(np.int64)[touched],
-                         "u": rep[touched], "v": rep[[root(x) for x in touched]] if len(touched) else rep[:0],
-                         "links": links[touched]})
-
-
-def verify(percent: int):
-    """Pandas task over rows sorted by (comp, bi, bj): one unit after another."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        key = None
-        for frame in frames:
-            for k, part in frame.groupby(["comp", "bi", "bj"], sort=False):
-                if k != key and held:
-                    yield _unit(pd.concat(held), key[1], key[2], percent)
+            keys = [batch.column(c).to_numpy() for c in key]
+            rest = [batch.column(c).to_numpy() for c in whole]
+            grams = batch.column("grams")
+            flat, off = grams.values.to_numpy(), grams.offsets.to_numpy()
+            fresh = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            for a, b in zip(np.concatenate(([0], fresh)), np.concatenate((fresh, [batch.num_rows]))):
+                mine = tuple(int(k[a]) for k in keys)
+                if mine != now and held:
+                    yield from group(now, held)
                     held = []
-                key = k
-                held.append(part)
+                now = mine
+                held.append((*(c[a:b].copy() for c in rest), [flat[off[k]:off[k + 1]].astype(np.uint64) for k in range(a, b)]))
         if held:
-            yield _unit(pd.concat(held), key[1], key[2], percent)
+            yield from group(now, held)
 
     return run
 
 
-def _ties(filed: DataFrame) -> DataFrame:
-    """(u, v): the classes that may link, by s1, and their group."""
-    keys = filed.where("doc_id is not null").select("s1", F.explode("keys").alias("key"))
-    hubs = (keys.groupBy("key").agg(F.min("s1").alias("hub"), F.max("s1").alias("top"))
-            .where("hub < top").select("key", "hub"))
-    ties = keys.join(hubs, "key").where("s1 <> hub").select(F.col("s1").alias("u"), F.col("hub").alias("v"))
-    groups = C.components(ties, "ngram-ties")
-    return groups.union(groups.select(F.col("v").alias("u"), "v").distinct())
+def links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int, table, scratch: C.Scratch) -> DataFrame:
+    """(a1, a2, b1, b2): the classes that link, by (s1, s2), of the candidate ``pairs``."""
+    both = pairs.union(pairs.select("b", "a"))
+    label = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("label"))
+    at = (pairs.join(label, "a").join(label.select(F.col("a").alias("b"), F.col("label").alias("other")), "b")
+          .select("a", "b", F.least("label", "other").alias("unit")))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("s1"), F.col("b").alias("mate")),
+                             F.struct(F.col("b").alias("s1"), F.col("a").alias("mate"))))
+    ends = scratch.written(at.select("unit", ends.alias("e")).select("unit", "e.s1", "e.mate"), "ends")
+    parts = (ends.select("unit", "s1").distinct().join(classes.select("s1", "n"), "s1").groupBy("unit")
+             .agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_NGRAMS)).cast("int").alias("parts")))
+    block = lambda c: F.pmod(F.xxhash64(c), F.col("parts")).cast("int")
+    places = (ends.join(parts, "unit").select("s1", "unit", block("s1").alias("own"), block("mate").alias("other"))
+              .select("s1", "unit", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own").distinct()
+              .groupBy("s1").agg(F.collect_list(F.struct("unit", "lo", "hi", "own")).alias("places")))
+    wanted = scratch.written(classes.join(places, "s1").select("s1", "s2", "rep", "places"), "places")
+    segments = (docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep")).select("s1", "s2", "text", "places")
+                .mapInArrow(read_segments(size, table, FRAGMENTS),
+                            "unit long, lo int, hi int, own int, fragment int, s1 long, s2 long, n long, grams array<long>"))
+    key = ("unit", "lo", "hi", "fragment")
+    partial = (segments.repartition(*key).sortWithinPartitions(*key)
+               .mapInArrow(_count(percent), "unit long, a1 long, a2 long, b1 long, b2 long, na long, nb long, shared long"))
+    pair = ("unit", "a1", "a2", "b1", "b2", "na", "nb")
+    return (partial.groupBy(*pair).agg(F.sum("shared").alias("shared"))
+            .where((100 + percent) * F.col("shared") >= percent * (F.col("na") + F.col("nb")))
+            .select("a1", "a2", "b1", "b2").distinct())
 
 
 def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
@@ -264,57 +366,46 @@ def join(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent must lie in 1..100")
-    table = docs.sparkSession.sparkContext.broadcast(frequency_table(docs, size))  # 2**COUNTER_BITS bytes
-    filed = C.written(docs.select("doc_id", "text")
-                      .mapInArrow(file_sets(size, percent, table),
-                                  "doc_id long, n long, s1 long, s2 long, keys array<long>"), "ngram-sets")
-    groups = _ties(filed)
-    C.release(docs.sparkSession)
+    spark = docs.sparkSession
+    scratch = C.Scratch(spark, "ngram-join")
+    table = spark.sparkContext.broadcast(frequency_table(docs, size))  # 2**COUNTER_BITS bytes
+    filed = scratch.written(docs.select("doc_id", "text").mapInArrow(
+        file_sets(size, percent, table, HOT_CLASSES),
+        "doc_id long, n long, s1 long, s2 long, keys array<long>, cool int"), "sets")
+    pairs = scratch.written(candidate_pairs(filed, percent, HOT_CLASSES), "pairs")
+    C.release(spark)
     nodes = filed.where("n > 0 and doc_id is not null").select("doc_id", "s1", "s2", "n").distinct()
-    classes = C.written(nodes.groupBy("s1", "s2", "n")
-                        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "ngram-classes")
-    candidates = classes.join(groups.select(F.col("u").alias("s1"), F.col("v").alias("comp")), "s1")
-    parts = (candidates.groupBy("comp")
-             .agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams")).where("m > 1")
-             .select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES),
-                                        F.ceil(F.col("grams") / BLOCK_NGRAMS)).cast("int").alias("parts")))
-    wanted = candidates.join(parts, "comp").select("comp", "parts", "s1", "s2", "rep", "copies")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    units = (docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("rep"))
-             .select("comp", "parts", "s1", "s2", "rep", "copies", "text")
-             .mapInArrow(read_sets(size), "comp long, parts int, s1 long, s2 long, rep long, copies long, grams array<long>")
-             .withColumn("block", F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("int"))
-             .withColumn("other", other)
-             .select("comp", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                     "block", "s1", "s2", "rep", "copies", "grams"))
-    found = C.written(units.repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
-                      .mapInPandas(verify(percent), "s1 long, s2 long, u long, v long, links long"), "ngram-links")
-    del units
-    C.release(docs.sparkSession)
+    classes = scratch.written(nodes.groupBy("s1", "s2", "n")
+                              .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+    found = scratch.written(links(docs, classes, pairs, size, percent, table, scratch), "links")
+    C.release(spark)
+    of = lambda x: classes.select(F.col("s1").alias(f"{x}1"), F.col("s2").alias(f"{x}2"), F.col("rep").alias(f"{x}_rep"),
+                                  F.col("copies").alias(f"{x}_copies"))
+    found = scratch.written(found.join(of("a"), ["a1", "a2"]).join(of("b"), ["b1", "b2"]), "linked")
+    degree = (found.select(F.col("a1").alias("s1"), F.col("a2").alias("s2"), F.col("b_copies").alias("links"))
+              .union(found.select("b1", "b2", "a_copies")).groupBy("s1", "s2").agg(F.sum("links").alias("other_links")))
     repeated = filed.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("s1").alias("a"), F.max("s1").alias("b"), F.min("s2").alias("c"), F.max("s2").alias("d"))
-    several = C.written(filed.where("doc_id is not null").select("doc_id", "s1", "s2", "n").distinct()
-                        .join(repeated.where("a <> b or c <> d").select("doc_id"), "doc_id"), "ngram-repeated")
+    several = scratch.written(filed.where("doc_id is not null").select("doc_id", "s1", "s2", "n").distinct()
+                              .join(repeated.where("a <> b or c <> d").select("doc_id"), "doc_id"), "repeated")
     same = several.join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    linked = C.components(found.select("u", "v").union(same), "ngram-components")
-    degree = found.groupBy("s1", "s2").agg(F.sum("links").alias("other_links"))
+    linked = C.components(found.select(F.col("a_rep").alias("u"), F.col("b_rep").alias("v")).union(same), scratch)
     about = (classes.join(degree, ["s1", "s2"], "left")
              .join(linked.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
              .select("s1", "s2", "n", F.coalesce("root", "rep").alias("root"),
                      (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("links")))
     whole = (several.join(about, ["s1", "s2", "n"], "left").groupBy("doc_id")
              .agg(F.min("root").alias("of_all"), F.sum("links").alias("links_of_all")))
-    return (filed.select("doc_id", "n", "s1", "s2").join(about, ["s1", "s2", "n"], "left").join(whole, "doc_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("of_all", "root", "doc_id")).alias("component_id"),
-                    F.when(F.col("doc_id").isNull(), F.lit(0))
-                    .otherwise(F.coalesce("links_of_all", "links", F.lit(0))).cast("long").alias("n_links")))
+    return scratch.last(
+        filed.select("doc_id", "n", "s1", "s2").join(about, ["s1", "s2", "n"], "left").join(whole, "doc_id", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"),
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("of_all", "root", "doc_id")).alias("component_id"),
+                F.when(F.col("doc_id").isNull(), F.lit(0))
+                .otherwise(F.coalesce("links_of_all", "links", F.lit(0))).cast("long").alias("n_links")))
 
 
 def one_per_group(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``docs`` but for those whose doc_id is not the smallest of its
     component. Rows without doc_id stay."""
-    others = C.written(join(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct(),
-                       "ngram-others")
-    C.release(docs.sparkSession)
+    others = join(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti")

@@ -73,6 +73,7 @@ def test_join_equals_brute_force(docs_of, size, percent):
 def test_join_blocks_give_the_same(docs_of, monkeypatch):
     texts = [f"a b c d e f g h i j k l m n o p q r s t u v w x y {k % 7} {k}" for k in range(40)]
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    monkeypatch.setattr(ngram_join, "HOT_CLASSES", 2)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.join(docs_of(texts), 3, 80).collect()}
     assert got == _join_by_hand(texts, list(range(40)), 3, 80)
 
@@ -110,14 +111,57 @@ def test_join_id_with_two_texts_has_the_links_of_both(docs_of):
     assert {r.doc_id for r in kept.collect()} == {3, 11}
 
 
-def test_unit_tells_texts_of_one_id_apart():
-    import pandas as pd
-
-    sets = [np.arange(0, 40), np.arange(100, 140), np.arange(0, 41), np.arange(100, 141)]
-    rows = pd.DataFrame({"comp": 1, "bi": 0, "bj": 0, "block": 0, "s1": [1, 2, 3, 4], "s2": 0, "rep": [5, 5, 7, 9],
-                         "copies": 1, "grams": [s.astype(np.int64) for s in sets]})
-    got = ngram_join._unit(rows, 0, 0, 90)
-    assert sorted(zip(got["u"], got["v"], got["links"])) == [(5, 5, 1), (5, 5, 1), (7, 5, 1), (9, 5, 1)]
+def test_candidates_equal_brute_force(spark):
+    """Every pair that links is a candidate, by block pairs of hot n-grams too."""
+    rng = random.Random(8)
+    sets = []
+    for _ in range(60):
+        base = [rng.randrange(40) for _ in range(rng.choice([1, 4, 12, 30]))]
+        sets += [np.unique(np.array([rng.randrange(40) if rng.random() < .06 else x for x in base], np.uint64) << np.uint64(50))
+                 for _ in range(4)]
+    table = np.zeros(1 << ngram_join.COUNTER_BITS, np.uint8)
+    for percent in (60, 90):
+        linked = {(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i]) and len(sets[j])
+                  and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        for cool in (10 ** 6, 0):  # all n-grams rare, all hot
+            rows = []
+            for k, s in enumerate(sets):
+                keys, _ = ngram_join._rare_end(s, table, percent)
+                rows.append((k, len(s), k, k, [int(x) for x in keys.astype(np.int64)], min(cool, len(keys))))
+            filed = spark.createDataFrame(rows, "doc_id long, n long, s1 long, s2 long, keys array<long>, cool int")
+            got = {(r.b, r.a) for r in ngram_join.candidate_pairs(filed, percent, 7).collect()}
+            assert len(linked) > 100 and linked <= got
+
+
+def test_partial_overlaps_are_summed_over_fragments(docs_of, monkeypatch):
+    """On texts of which every pair has n-grams in several fragments, the sum decides."""
+    rng = random.Random(12)
+    base = _words(rng, 200, 9999).split()
+    texts = []
+    for k in range(30):
+        w = list(base)
+        for _ in range(k):
+            w[rng.randrange(len(w))] = f"other{k}"
+        texts.append(" ".join(w))
+    table = np.zeros(1 << ngram_join.COUNTER_BITS, np.uint8)
+    grams = next(X.word_chunks(__import__("pyarrow").array([texts[0]])))[2].hash
+    parts = ngram_join.fragment_of(X.shingles(grams, 3), table, 9)
+    assert len(set(parts.tolist())) == 8  # the last fragment is for frequent ones
+    table[:] = 9
+    assert set(ngram_join.fragment_of(X.shingles(grams, 3), table, 9).tolist()) == {8}
+    results = []
+    for fragments in (1, 4, 9):
+        monkeypatch.setattr(ngram_join, "FRAGMENTS", fragments)
+        results.append(sorted(map(tuple, ngram_join.join(docs_of(texts), 3, 80).collect())))
+    assert results[0] == results[1] == results[2] and len({r[2] for r in results[0]}) > 1
+    assert any(r[3] not in (0, len(texts) - 1) for r in results[0])
+
+
+def test_segments_too_far_apart_are_dropped():
+    sets = [np.arange(0, 30, dtype=np.uint64), np.arange(0, 29, dtype=np.uint64), np.arange(10, 40, dtype=np.uint64)]
+    n = np.array([100, 99, 100])
+    got = [(i, j.tolist(), o.tolist()) for i, j, o in ngram_join.count_segments(sets, n, np.array([0]), np.array([1, 2]), 90)]
+    assert got == [(0, [0], [29])]  # 0 and 2 share 20 here, but differ in 20 of at most 10
 
 
 def _lines(t):
