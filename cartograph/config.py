@@ -111,6 +111,10 @@ class Options:
     raw_response_chars: int | None = None   # opt-in: cut stored replies
     spread_min_rows: int | None = None      # opt-in: spread under-split inputs of as many rows
     model_tasks: int | None = None          # tasks that call a model (default: the cores)
+    model_timeout: float | None = 60.0      # seconds for one call of a model (None: no deadline)
+    model_attempts: int = 1                 # calls for one table, at most
+    model_wave: int = 8                     # calls of a task between two writes of finished replies
+    lean_min_bytes: int = 256 << 20         # files from which unique columns are told apart before grouping
     datasets_per_plan: int = 200            # wide estates are profiled in batches
     output_schema: str = "cartograph_results"
     table_format: str = "parquet"

@@ -17,19 +17,22 @@ from pyspark.sql import types as T
 from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.semantic_type import semantic_type
-from ..sources.base import orderable, quoted
+from ..sources.base import orderable, quoted, type_class
 from . import values as V
 
+#: Relative error of estimated distinct counts.
+SKETCH_ERROR = 0.02
 
-def typed_stats(estate, datasets=None) -> DataFrame | None:
-    """(dataset_id, ordinal, min_value, max_value, min_num, max_num, mean_raw)
-    of every column, each compared in its own type and printed afterwards."""
+
+def typed_stats(estate, datasets=None, sketched: frozenset = frozenset()) -> DataFrame | None:
+    """(dataset_id, ordinal, rows, known, min_value, max_value, min_num, max_num,
+    mean_raw, approx_distinct) of every column: its rows and those without null, and
+    its values compared in their own type and printed afterwards. The distinct count is estimated for the datasets of ``sketched``."""
     frames = []
-    for ds in estate.datasets if datasets is None else datasets:
-        if not ds.schema.fields:
-            continue
+    for scan in estate.scans(datasets):
         aggs, items = [], []
-        for i, f in enumerate(ds.schema.fields):
+        estimate = any(ds.dataset_id in sketched for ds in scan.datasets)
+        for i, f in enumerate(scan.fields):
             c, dt = F.col(quoted(f.name)), f.dataType
             if isinstance(dt, (T.FloatType, T.DoubleType)):
                 c = c + F.lit(0.0).cast(dt)     # -0.0 is 0.0
@@ -45,13 +48,44 @@ def typed_stats(estate, datasets=None) -> DataFrame | None:
                 low, high, mean = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi", "mean"))
             else:
                 low = high = mean = number
-            items.append(F.struct(F.lit(i).alias("ordinal"), least.alias("min_value"), most.alias("max_value"),
-                                  low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw")))
-        row = estate.load(ds).agg(F.count(F.lit(1)).alias("rows"), *aggs)
-        frames.append(row.select(F.lit(ds.dataset_id).alias("dataset_id"), F.inline(F.array(*items))))
+            approx = F.lit(None).cast("long")
+            if estimate and type_class(dt) != "nested":
+                aggs.append(F.approx_count_distinct(c, SKETCH_ERROR).alias(f"apx{i}"))
+                approx = F.col(f"apx{i}")
+            aggs.append(F.count(c).alias(f"n{i}"))
+            items.append(F.struct(F.lit(i).alias("ordinal"), F.col("rows"), F.col(f"n{i}").alias("known"), least.alias("min_value"), most.alias("max_value"),
+                                  low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw"),
+                                  approx.alias("approx_distinct")))
+        aggs = [F.count(F.lit(1)).alias("rows"), *aggs]
+        if scan.single:
+            row = scan.frame.agg(*aggs).withColumn("__id", scan.ident)
+        else:
+            row = scan.frame.groupBy(scan.ident.alias("__id")).agg(*aggs)
+        frames.append(row.select(F.col("__id").alias("dataset_id"), F.inline(F.array(*items))))
     return reduce(DataFrame.unionAll, frames) if frames else None
 
 
+TYPED_SCHEMA = ("dataset_id int, ordinal int, rows long, known long, min_value string, max_value string, "
+                "min_num double, max_num double, mean_raw double, approx_distinct long")
+
+
+def _null_rate(nulls, rows):
+    return F.coalesce(py_round(nulls / F.nullif(rows, F.lit(0)), 4), F.lit(0.0))
+
+
+def basics(estate, typed: DataFrame | None) -> DataFrame:
+    """What the ungrouped aggregates alone tell of every column: rows, nulls, least,
+    greatest and mean values. No value goes through a shuffle."""
+    if typed is None:
+        typed = estate.spark.createDataFrame([], TYPED_SCHEMA)
+    rows = F.coalesce("rows", F.lit(0)).cast("long")
+    nulls = rows - F.coalesce("known", F.lit(0))
+    return (pu.small(estate.columns(), estate.column_count).join(typed, ["dataset_id", "ordinal"], "left")
+            .select("dataset_id", "source_name", "table_name", "ordinal", "column_name", "type_class",
+                    rows.alias("total_rows"), nulls.alias("null_count"), _null_rate(nulls, rows).alias("null_rate"),
+                    "min_value", "max_value", "min_num", "max_num", py_round(F.col("mean_raw"), 4).alias("mean_value")))
+
+
 def value_stats(freq: DataFrame) -> DataFrame:
     """Row, non-null and distinct counts (a null counts as a value) per column."""
     return freq.groupBy("dataset_id", "ordinal").agg(
@@ -95,8 +129,7 @@ def profiles(estate, freq: DataFrame, top: DataFrame, typed: DataFrame | None) -
     p = (cols.join(value_stats(freq), ["dataset_id", "ordinal"], "left")
          .join(sample_lists(top), ["dataset_id", "ordinal"], "left"))
     if typed is None:
-        typed = estate.spark.createDataFrame([], "dataset_id int, ordinal int, min_value string, max_value string, "
-                                                 "min_num double, max_num double, mean_raw double")
+        typed = estate.spark.createDataFrame([], TYPED_SCHEMA)
     p = p.join(typed, ["dataset_id", "ordinal"], "left")
     # an empty dataset has no values at all
     p = p.withColumn("total_rows", F.coalesce(F.col("total_rows"), F.lit(0)).cast("long"))
@@ -108,8 +141,7 @@ def profiles(estate, freq: DataFrame, top: DataFrame, typed: DataFrame | None) -
         "dataset_id", "source_type", "source_name", "table_name", "ordinal", "column_name",
         "dtype", "type_class", "total_rows",
         null_count.alias("null_count"),
-        F.coalesce(py_round(null_count / F.nullif(F.col("total_rows"), F.lit(0)), 4),
-                   F.lit(0.0)).alias("null_rate"),
+        _null_rate(null_count, F.col("total_rows")).alias("null_rate"),
         distinct.alias("distinct_count"),
         is_unique.alias("is_unique"),
         "min_value", "max_value", "min_num", "max_num",

@@ -1,13 +1,9 @@
 """Foreign-key -> primary-key candidates in one plan over all column pairs.
 
 The per-pair loop of two Spark actions becomes one grouping of the
-frequency table on the value: FK values (distinct, non-null, of eligible
-columns) and PK values meet in a single shuffle, each value is reduced to
-the sets of columns holding it, and matched counts of every pair come from
-counting values per distinct set pair. After de-duplication a value occurs
-at most once per column, so a value's group is bounded by the schema's
-width, never by row counts. Pairs with no common value never appear, which
-is exactly the ``overlap < min_overlap`` cut for a positive cut.
+frequency table on the value (:mod:`.overlap`). Pairs with no common value
+never appear, which is exactly the ``overlap < min_overlap`` cut for a
+positive cut.
 """
 
 from __future__ import annotations
@@ -20,6 +16,7 @@ from ..config import RELATIONSHIP_TYPE
 from ..functions import names as N
 from ..functions import scoring as S
 from ..functions.rounding import py_round
+from . import overlap as O
 
 ALWAYS_EXCLUDED = ("nested",)
 
@@ -66,28 +63,11 @@ def matched_values(estate, freq: DataFrame, profiles: DataFrame, options) -> Dat
     """(fk_dataset, fk_ordinal, pk_dataset, pk_ordinal, matched) for every
     pair of columns from different datasets sharing at least one value.
 
-    No pair is emitted per value: each value is first reduced to its
-    signature, the sorted sets of FK and PK columns that hold it (one
-    shuffle on the value; a set holds at most the schema's columns), then
-    values are counted per distinct signature, and only those few signature
-    rows are expanded into column pairs."""
-    # FK and PK columns are disjoint, so one scan with a role tag has both sides
-    ids = lambda cols, is_pk: cols.select("dataset_id", "ordinal", F.lit(is_pk).alias("is_pk"))
-    roles = pu.small(ids(fk_columns(profiles, options), False).unionByName(ids(pk_columns(profiles), True)),
-                     estate.column_count)
-    col = F.struct(F.col("dataset_id").alias("d"), F.col("ordinal").alias("o"))
-    side = lambda is_pk: F.array_sort(F.collect_list(F.when(F.col("is_pk") == is_pk, col)))
-    signatures = (freq.filter(F.col("key").isNotNull()).join(roles, ["dataset_id", "ordinal"])
-                  .groupBy("key").agg(side(False).alias("fks"), side(True).alias("pks"))
-                  .filter((F.size("fks") > 0) & (F.size("pks") > 0))
-                  .groupBy("fks", "pks").agg(F.count(F.lit(1)).alias("n")))
-    pairs = (signatures.select(F.explode("fks").alias("f"), "pks", "n")
-             .select("f", F.explode("pks").alias("p"), "n")
-             .filter(F.col("f.d") != F.col("p.d")))
-    return pairs.groupBy(
-        F.col("f.d").alias("fk_dataset"), F.col("f.o").alias("fk_ordinal"),
-        F.col("p.d").alias("pk_dataset"), F.col("p.o").alias("pk_ordinal"),
-    ).agg(F.sum("n").cast("long").alias("matched"))
+    One scan of the frequency table, only of columns that can match, and one
+    shuffle on the value; see :mod:`.overlap`."""
+    roles = O.can_match(fk_columns(profiles, options), pk_columns(profiles))
+    return O.matched_pairs(freq.filter(F.col("key").isNotNull())
+                           .join(pu.small(roles, estate.column_count), ["dataset_id", "ordinal"]))
 
 
 def _side(profiles: DataFrame, prefix: str) -> DataFrame:
@@ -113,10 +93,11 @@ def value_overlap(estate, freq: DataFrame, profiles: DataFrame, options) -> Data
     return out.filter(F.col("overlap_score") >= F.lit(options.min_overlap))
 
 
-def candidates(estate, freq: DataFrame, profiles: DataFrame, options) -> DataFrame:
-    """scored, tiered and ordered relationship candidates."""
+def candidates(estate, freq: DataFrame, profiles: DataFrame, options, scratch: str | None = None) -> DataFrame:
+    """scored, tiered and ordered relationship candidates. The overlaps
+    are written under ``scratch`` (a run's own folder, the estate's by default)."""
     # used twice, one row a pair: written once
-    ov = pu.materialize(value_overlap(estate, freq, profiles, options), estate.spark, "overlap")
+    ov = pu.materialize(value_overlap(estate, freq, profiles, options), estate.spark, scratch or estate.scratch, "overlap")
     # name similarity on the distinct name pairs only (tiny), then joined back
     names = ov.select("fk_col", "pk_col").distinct().withColumn(
         "name_score", N.name_similarity(F.col("fk_col"), F.col("pk_col"), options.edit))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from . import tables
 
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -37,18 +38,20 @@ def ensure_schema(spark: SparkSession, options) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {options.output_schema}")
 
 
+def _path(options, location: str | None, table: str) -> str | None:
+    return f"{location.rstrip('/')}/{table}" if location else None
+
+
 def write_result(df: DataFrame, options, key: str, run_id: str, run_ts: datetime,
                  location: str | None = None) -> str:
     """K1-K5: append this run's rows (keyed by ``run_id``) to the result
-    table, creating it on first use. Which run is current is told by the run
-    records (:func:`latest_run_id`), so an empty result needs no row."""
+    table, creating it on first use and adding columns it does not have yet
+    (:mod:`.tables`). Which run is current is told by the run records
+    (:func:`latest_run_id`), so an empty result needs no row."""
     name = table_name(options, key)
     out = df.select(F.lit(run_id).alias("run_id"),
                     F.lit(run_ts).cast("timestamp").alias("run_ts"), "*")
-    w = out.write.mode("append").format(options.table_format).option("mergeSchema", "true")
-    if location:
-        w = w.option("path", f"{location.rstrip('/')}/{options.tables.get(key, key)}")
-    w.saveAsTable(name)
+    tables.append(out, name, options.table_format, _path(options, location, options.tables.get(key, key)))
     return name
 
 
@@ -74,10 +77,8 @@ def write_run_record(spark: SparkSession, options, run_id: str, run_ts: datetime
     """K6: one row per run, always (also on failure or no data)."""
     row = [(run_id, run_ts, json.dumps(options.snapshot(jdbc_sources), default=str), status,
             json.dumps(summary, default=str), artefacts_dir)]
-    w = spark.createDataFrame(row, RUNS_SCHEMA).write.mode("append").format(options.table_format)
-    if location:
-        w = w.option("path", f"{location.rstrip('/')}/{C.TABLE_RUNS}")
-    w.saveAsTable(f"{options.output_schema}.{C.TABLE_RUNS}")
+    tables.append(spark.createDataFrame(row, RUNS_SCHEMA), f"{options.output_schema}.{C.TABLE_RUNS}",
+                  options.table_format, _path(options, location, C.TABLE_RUNS))
 
 
 def write_artefact(df: DataFrame, directory: str, name: str) -> str:
@@ -88,6 +89,12 @@ def write_artefact(df: DataFrame, directory: str, name: str) -> str:
     return path
 
 
+def read_artefact(spark: SparkSession, directory: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """An artefact's rows; an artefact without rows has no schema of its own, so that of ``schema``."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.json(f"{directory.rstrip('/')}/{name}")
+
+
 def json_artefact(spark: SparkSession, directory: str, name: str, data: dict) -> str:
     df = spark.createDataFrame([(json.dumps(data, default=str),)], "value string")
     path = f"{directory.rstrip('/')}/{name}"
@@ -157,9 +164,11 @@ def of_run(df: DataFrame, run_id: str | None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """S15 with Q14/Q24: a missing table is an empty frame with a schema."""
+    """S15 with Q14/Q24: a missing table is an empty frame with a schema; columns of
+    ``schema`` that an older table lacks are nulls."""
     if spark.catalog.tableExists(name):
-        return spark.read.table(name)
+        found = spark.read.table(name)
+        return tables.conform(found, schema, keep_others=True) if schema else found
     return spark.createDataFrame([], schema or T.StructType(
         [T.StructField("run_id", T.StringType()), T.StructField("run_ts", T.TimestampType()),
          T.StructField("status", T.StringType()), T.StructField("confidence", T.DoubleType())]))

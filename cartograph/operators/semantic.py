@@ -9,6 +9,9 @@ array of objects falls back to a placeholder per column.
 
 from __future__ import annotations
 
+import threading
+import time
+import uuid
 from typing import Any, Callable
 
 import pandas as pd
@@ -131,33 +134,64 @@ def _ask(fn: Callable[[pd.DataFrame], Any], pdf: pd.DataFrame) -> list:
     return raw
 
 
-def _call_tables(fn: Callable[[pd.DataFrame], Any]):
-    """One call a table: a failing call loses only that table's reply, and its error is kept."""
+def _ask_in_time(fn: Callable[[pd.DataFrame], Any], pdf: pd.DataFrame, timeout: float | None) -> list:
+    """A call that is given up after ``timeout`` seconds; its thread is left behind."""
+    if timeout is None:
+        return _ask(fn, pdf)
+    box: dict[str, Any] = {}
+
+    def call() -> None:
+        try:
+            box["raw"] = _ask(fn, pdf)
+        except BaseException as exc:
+            box["error"] = exc
+
+    thread = threading.Thread(target=call, daemon=True)
+    thread.start()
+    thread.join(timeout)
+    if "error" in box:
+        raise box["error"]
+    if "raw" not in box:
+        raise TimeoutError(f"no reply within {timeout:g} s")
+    return box["raw"]
+
+
+def _call_tables(fn: Callable[[pd.DataFrame], Any], timeout: float | None = None, attempts: int = 1):
+    """One table a call: a call that fails, or hangs, loses only that table's reply
+    after ``attempts`` calls, and its last error is kept."""
+    def reply(pdf):
+        for k in range(max(1, attempts)):
+            try:
+                return _ask_in_time(fn, pdf, timeout)[0], None
+            except Exception as exc:
+                error = f"{type(exc).__name__}: {exc}"[:1000]
+            if k + 1 < attempts:
+                time.sleep(min(5.0, 0.5 * 2 ** k))
+        return None, error
+
     def run(batches):
         for pdf in batches:
-            raw, errors = [], []
-            for i in range(len(pdf)):
-                try:
-                    raw.append(_ask(fn, pdf.iloc[[i]])[0])
-                    errors.append(None)
-                except Exception as exc:
-                    raw.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}"[:1000])
+            found = [reply(pdf.iloc[[i]]) for i in range(len(pdf))]
             yield pd.DataFrame({"dataset_id": pdf["dataset_id"].values,
                                 "source_name": pdf["source_name"].values,
                                 "table_name": pdf["table_name"].values,
-                                "raw": pd.Series(raw, dtype="string").values,
-                                "error": pd.Series(errors, dtype="string").values})
+                                "raw": pd.Series([r for r, _ in found], dtype="string").values,
+                                "error": pd.Series([e for _, e in found], dtype="string").values})
     return run
 
 
-def replies(prompts_df: DataFrame, profiles: DataFrame, provider: Any,
-            tasks: int | None = None) -> DataFrame:
+def replies(prompts_df: DataFrame, profiles: DataFrame, provider: Any, options=None,
+            scratch: str | None = None) -> DataFrame:
     """``"stub"``, ``"rules"``, or a function of a pandas frame
     (source_name, table_name, prompt, system_prompt) returning the replies; it
-    runs on the executors, once for each table, in ``tasks`` tasks. Its replies
-    are written before anything reads them, so that labels, fallbacks and
-    stored replies all come from the same call."""
+    runs on the executors, once for each table, in ``model_tasks`` tasks.
+
+    Tables are asked in waves of ``model_wave`` calls a task, and the replies of a
+    wave are written before the next one begins: labels, fallbacks and stored
+    replies all come from the same call, and a lost executor costs the calls of
+    its running tasks, not those that were answered. A call that takes longer than
+    ``model_timeout`` seconds counts as failed."""
+    options = options or C.Options()
     none = F.lit(None).cast("string").alias("error")
     if isinstance(provider, str) and provider == "stub":
         return prompts_df.select("dataset_id", "source_name", "table_name",
@@ -166,10 +200,17 @@ def replies(prompts_df: DataFrame, profiles: DataFrame, provider: Any,
         return rule_replies(prompts_df, profiles).select("*", none)
     if callable(provider):
         spark = prompts_df.sparkSession
-        n = tasks or spark.sparkContext.defaultParallelism
-        asked = (prompts_df.select("dataset_id", "source_name", "table_name", "prompt")
-                 .repartition(n, "dataset_id").mapInPandas(_call_tables(provider), REPLIES_SCHEMA))
-        return pu.materialize(asked, spark, "replies")
+        tasks = options.model_tasks or spark.sparkContext.defaultParallelism
+        folder = scratch or f"model-{uuid.uuid4().hex[:12]}"
+        asked = pu.materialize(prompts_df.select("dataset_id", "source_name", "table_name", "prompt"), spark, folder, "prompts")
+        waves = max(1, -(-asked.count() // (tasks * max(1, options.model_wave))))
+        path = pu.scratch_path(spark, folder, "replies")
+        call = _call_tables(provider, options.model_timeout, options.model_attempts)
+        for k in range(waves):
+            wave = asked.filter(F.pmod(F.xxhash64("dataset_id"), F.lit(waves)) == k)
+            (wave.repartition(tasks, "dataset_id").mapInPandas(call, REPLIES_SCHEMA)
+             .write.mode("append").parquet(path))
+        return spark.read.schema(REPLIES_SCHEMA).parquet(path)
     raise ValueError(f"Unknown provider: {provider!r}")
 
 
@@ -244,10 +285,9 @@ def annotations(replies_df: DataFrame, profiles: DataFrame, options) -> DataFram
         "raw_response", "from_reply")
 
 
-def ask(profiles: DataFrame, options, provider: Any | None = None) -> DataFrame:
-    """The replies for every table of ``profiles``."""
-    return replies(prompts(profiles), profiles, options.provider if provider is None else provider,
-                   options.model_tasks)
+def ask(profiles: DataFrame, options, provider: Any | None = None, scratch: str | None = None) -> DataFrame:
+    """The replies for every table of ``profiles``; a model's are written under ``scratch``."""
+    return replies(prompts(profiles), profiles, options.provider if provider is None else provider, options, scratch)
 
 
 def annotate(profiles: DataFrame, options, provider: Any | None = None) -> DataFrame:

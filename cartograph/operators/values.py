@@ -70,40 +70,45 @@ def may_be_long(field: T.StructField) -> bool:
     return type_class(field.dataType) in ("string", "binary", "nested", "other")
 
 
-def _long_pairs(df: DataFrame, ds_id: int, fields, expr) -> DataFrame:
+def _long_pairs(df: DataFrame, ident: Column, fields, expr) -> DataFrame:
     """Un-pivot ``expr(field)`` of every column to (dataset_id, ordinal, value)."""
     names = [f"v{i}" for i, _ in fields]
-    wide = df.select(*[expr(f).alias(f"v{i}") for i, f in fields])
-    long = wide.unpivot([], names, "var", "value")
-    return long.select(F.lit(ds_id).alias("dataset_id"),
+    wide = df.select(ident.alias("__id"), *[expr(f).alias(f"v{i}") for i, f in fields])
+    long = wide.unpivot(["__id"], names, "var", "value")
+    return long.select(F.col("__id").alias("dataset_id"),
                        F.expr("CAST(substring(var, 2) AS INT)").alias("ordinal"),
                        "value")
 
 
-def spread(estate, ds, df: DataFrame) -> DataFrame:
+def spread(estate, scan) -> DataFrame:
     """With the ``spread_min_rows`` option, a dataset of as many rows (one
     unsplittable file, a single-connection read) is dealt round-robin to the
     cores before the per-value work; otherwise it is left as read."""
     least = estate.options.spread_min_rows
-    if least is None or estate.row_count(ds) < least:
-        return df
-    return df.repartition(estate.spark.sparkContext.defaultParallelism)
-
-
-def column_values(estate, max_chars: int | None = 128, datasets=None) -> DataFrame:
-    """(dataset_id, ordinal, key, n) for every column of every dataset."""
-    frames = []
-    for ds in datasets if datasets is not None else estate.datasets:
-        fields = list(enumerate(ds.schema.fields))
-        if not fields:
-            continue
-        df = spread(estate, ds, estate.load(ds))
-        frames.append(_long_pairs(df, ds.dataset_id, fields,
-                                  lambda f: value_key(value_string(f), f, max_chars)))
-    if not frames:
-        return estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
-    allv = reduce(DataFrame.unionAll, frames).withColumnRenamed("value", "key")
-    return allv.groupBy("dataset_id", "ordinal", "key").agg(F.count(F.lit(1)).alias("n"))
+    if least is None or scan.single is None or estate.row_count(scan.single) < least:
+        return scan.frame
+    return scan.frame.repartition(estate.spark.sparkContext.defaultParallelism)
+
+
+def column_values(estate, max_chars: int | None = 128, datasets=None, unique: frozenset = frozenset()) -> DataFrame:
+    """(dataset_id, ordinal, key, n) for every column of every dataset. Columns
+    of ``unique`` (dataset_id, ordinal) are known to hold no value twice: their
+    rows are not grouped and do not go through the shuffle."""
+    grouped, single = [], []
+    for scan in estate.scans(datasets):
+        fields = list(enumerate(scan.fields))
+        once = [(i, f) for i, f in fields if scan.single and (scan.single.dataset_id, i) in unique]
+        df = spread(estate, scan)
+        for some, frames in (([x for x in fields if x not in once], grouped), (once, single)):
+            if some:
+                frames.append(_long_pairs(df, scan.ident, some,
+                                          lambda f: value_key(value_string(f), f, max_chars)))
+    empty = estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
+    out = reduce(DataFrame.unionAll, grouped).withColumnRenamed("value", "key").groupBy("dataset_id", "ordinal", "key").agg(
+        F.count(F.lit(1)).alias("n")) if grouped else empty
+    if single:
+        out = out.unionAll(reduce(DataFrame.unionAll, single).select("dataset_id", "ordinal", "value", F.lit(1).cast("long")))
+    return out
 
 
 def long_values(estate, wanted: DataFrame, max_chars: int | None,
@@ -113,11 +118,11 @@ def long_values(estate, wanted: DataFrame, max_chars: int | None,
     so any of them does; no text is sorted. The wanted keys are the top-N
     survivors, N to a column but for ties in the prefix."""
     frames = []
-    for ds in estate.datasets if datasets is None else datasets:
-        fields = [(i, f) for i, f in enumerate(ds.schema.fields) if may_be_long(f)]
+    for scan in estate.scans(datasets):
+        fields = [(i, f) for i, f in enumerate(scan.fields) if may_be_long(f)]
         if fields:
             frames.append(_long_pairs(
-                spread(estate, ds, estate.load(ds)), ds.dataset_id, fields,
+                spread(estate, scan), scan.ident, fields,
                 lambda f: F.struct(value_key(value_string(f), f, max_chars).alias("key"),
                                    value_string(f).alias("full"))))
     if not frames:

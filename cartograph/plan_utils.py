@@ -43,6 +43,24 @@ def materialize(df: DataFrame, spark: SparkSession, *parts: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def isolated(items: list, attempt):
+    """``attempt`` over all items at once; where that fails, over the halves, and so
+    on down to single items: ``([(items, result)], [(item, message)])``. One bad
+    item among n costs about log2(n) failed attempts; what has succeeded is kept."""
+    done, lost, open_ = [], [], [list(items)] if items else []
+    while open_:
+        some = open_.pop()
+        try:
+            done.append((some, attempt(some)))
+        except Exception as exc:
+            if len(some) == 1:
+                lost.append((some[0], f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0][:300]}"))
+            else:
+                half = len(some) // 2
+                open_ += [some[half:], some[:half]]
+    return done, lost
+
+
 def remove_scratch(spark: SparkSession, *parts: str) -> None:
     """Delete a run's own intermediate tables (by the file system that holds them)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, *parts))

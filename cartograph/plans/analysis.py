@@ -10,13 +10,16 @@ time so plan size stays bounded.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import plan_utils as pu
+from ..operators import cardinality as D
 from ..operators import profile as P
 from ..operators import relate as R
 from ..operators import values as V
@@ -29,6 +32,8 @@ class Analysis:
         self.options = estate.options
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.materialize = materialize
+        self.failures: list[tuple[str, str]] = []   # (location, message) of datasets that could not be read
+        self._lock = threading.Lock()
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
@@ -41,26 +46,57 @@ class Analysis:
         return [ds[i:i + n] for i in range(0, len(ds), n)] or [[]]
 
     def _batched(self, build, name: str) -> DataFrame | None:
-        """``build(datasets)`` for each batch of datasets: one plan over all of
-        them, or, if written, each batch appended to one table."""
-        batches = self._batches()
-        if len(batches) == 1 or not self.materialize:
-            built = [df for df in map(build, batches) if df is not None]
-            return self._keep(reduce(DataFrame.unionByName, built), name) if built else None
-        path = pu.scratch_path(self.spark, self.run_id, name)
-        written = False
-        for batch in batches:
-            df = build(batch)
-            if df is not None:
-                df.write.mode("append" if written else "overwrite").parquet(path)
-                written = True
-        return self.spark.read.parquet(path) if written else None
+        """``build(datasets)`` for each batch of datasets, written batch by batch. A
+        batch that fails is tried again in halves, down to the dataset that cannot be
+        read: that one is left out of the estate and noted, what has been written stays."""
+        if not self.materialize:
+            built = [df for df in map(build, self._batches()) if df is not None]
+            return reduce(DataFrame.unionByName, built) if built else None
+
+        def attempt(datasets):
+            df = build(datasets)
+            return None if df is None else self._keep(df, name)
+
+        frames, lost = [], []
+        for batch in self._batches():
+            done, bad = pu.isolated(batch, attempt)
+            frames += [df for _, df in done if df is not None]
+            lost += bad
+        if lost and not frames:
+            raise RuntimeError(f"no dataset could be read: {lost[0][1]}")
+        if lost:
+            with self._lock:
+                self.failures += [(ds.location, message) for ds, message in lost]
+                self.estate = self.estate.without({ds.dataset_id for ds, _ in lost})
+        return reduce(DataFrame.unionByName, frames) if frames else None
+
+    @cached_property
+    def unique_columns(self) -> frozenset:
+        """(dataset_id, ordinal) of the columns of large datasets that hold no value
+        twice. A sketch tells which may; those are counted exactly, by bits and digests
+        (:mod:`..operators.cardinality`), and need no grouping of their values."""
+        if not self._large:
+            return frozenset()
+        least = 1 - 4 * P.SKETCH_ERROR
+        # at most one row a column
+        may = {(r["dataset_id"], r["ordinal"]) for r in self.typed_stats.filter(
+            (F.col("rows") > 0) & (F.col("approx_distinct") >= least * F.col("rows"))).select("dataset_id", "ordinal").collect()}
+        if not may:
+            return frozenset()
+        ids = {d for d, _ in may}
+        exact = self._batched(lambda b: D.distinct_counts(self.estate, [ds for ds in b if ds.dataset_id in ids], may), "distinct")
+        return frozenset((r["dataset_id"], r["ordinal"]) for r in exact.filter("distinct_count = total_rows").collect())
+
+    @property
+    def _large(self) -> frozenset:
+        return frozenset(ds.dataset_id for ds in self.estate.datasets
+                         if ds.reader.get("bytes", 0) >= self.options.lean_min_bytes)
 
     @cached_property
     def column_values(self) -> DataFrame:
         """(dataset_id, ordinal, key, n)."""
         return self._batched(
-            lambda b: V.column_values(self.estate, self.options.max_value_chars, datasets=b),
+            lambda b: V.column_values(self.estate, self.options.max_value_chars, b, self.unique_columns),
             "column_values")
 
     @cached_property
@@ -82,7 +118,25 @@ class Analysis:
 
     @cached_property
     def typed_stats(self) -> DataFrame | None:
-        return self._batched(lambda b: P.typed_stats(self.estate, b), "typed_stats")
+        return self._batched(lambda b: P.typed_stats(self.estate, b, self._large), "typed_stats")
+
+    @cached_property
+    def basics(self) -> DataFrame:
+        """Rows, nulls, least, greatest and mean values, without any shuffle of values."""
+        return P.basics(self.estate, self.typed_stats)
+
+    @cached_property
+    def cardinalities(self) -> DataFrame:
+        """Rows and exact distinct counts of every column, without its values."""
+        counts = self._batched(lambda b: D.distinct_counts(self.estate, b), "cardinalities")
+        zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+        cols = self.estate.columns()
+        if counts is None:
+            counts = self.spark.createDataFrame([], "dataset_id int, ordinal int, total_rows long, distinct_count long")
+        return (cols.join(counts, ["dataset_id", "ordinal"], "left")
+                .select("dataset_id", "ordinal", "table_name", "column_name", zero("total_rows").alias("total_rows"),
+                        zero("distinct_count").alias("distinct_count"))
+                .withColumn("is_unique", (F.col("distinct_count") == F.col("total_rows")) & (F.col("total_rows") > 0)))
 
     @cached_property
     def profiles(self) -> DataFrame:
@@ -97,4 +151,4 @@ class Analysis:
     @cached_property
     def candidates(self) -> DataFrame:
         return self._keep(R.candidates(self.estate, self.column_values, self.profiles,
-                                       self.options), "candidates")
+                                       self.options, self.run_id), "candidates")

@@ -340,6 +340,24 @@ def oracle_sql() -> dict[str, str]:
                                "('relationship', (SELECT count(*) FROM tiers)), "
                                "('semantic', (SELECT count(*) FROM rules_t)), "
                                "('pipeline_runs', CAST(1 AS BIGINT))) t(result, n)"),
+        "result_tables_evolved": _with(sem, "SELECT result, writer, n, CASE WHEN writer IN ('newer', 'narrow') THEN n ELSE 0 END "
+                                       "AS reviewed, CASE writer WHEN 'newer' THEN n WHEN 'narrow' THEN 2 * n END AS weight, "
+                                       "CASE WHEN writer = 'older' THEN 0 ELSE n END AS known_before, "
+                                       "CAST(2 AS BIGINT) AS columns_added FROM (VALUES "
+                                       "('discovery', (SELECT count(DISTINCT table_name) FROM cols)), "
+                                       "('profiling', (SELECT count(*) FROM prof)), "
+                                       "('relationship', (SELECT count(*) FROM tiers)), "
+                                       "('semantic', (SELECT count(*) FROM rules_t)), "
+                                       "('pipeline_runs', CAST(1 AS BIGINT))) t(result, n), "
+                                       "(VALUES ('first'), ('newer'), ('narrow'), ('older')) w(writer)"),
+        "run_artefacts": _with(sem, "SELECT 'relationship_candidates' AS artefact, count(*) AS n, max(confidence) AS best, "
+                               "CAST(NULL AS VARCHAR) AS status FROM (SELECT confidence FROM tiers "
+                               f"ORDER BY confidence DESC LIMIT {C.TOP_ARTEFACT_ROWS}) UNION ALL "
+                               "SELECT 'pii_summary', count(*), max(confidence), NULL FROM rules_t WHERE sensitivity = 'pii' "
+                               "UNION ALL SELECT 'pipeline_summary', count(*), CAST(count(*) FILTER (WHERE pk_candidate) AS DOUBLE), "
+                               "'complete' FROM prof"),
+        "capped_fk_columns": _with(rel, "SELECT table_name, column_name, CAST(ordinal AS BIGINT) AS ordinal, "
+                                        "ordinal >= 2 AS left_out FROM fk"),
         "infer_semantic_type_token": _with(prof, f"SELECT table_name, column_name, {token} AS inferred_type FROM prof0"),
         "semantic_reply_cases": _with([_cols_cte()], _reply_cases()),
         "name_edit_ratio": _with(dl, "SELECT DISTINCT source_col, target_col, edit_ratio FROM sc"),

@@ -64,37 +64,34 @@ class Run:
 
 def _discovery(run: Run) -> None:
     run.estate = discover(run.spark, run.paths, run.jdbc_sources, run.options)
+    try:
+        run.store("discovery", run.estate.inventory())
+    except Exception:
+        run.estate = run.estate.countable()  # without the datasets that cannot be counted
+        run.store("discovery", run.estate.inventory())
     run.warnings += run.estate.warnings
-    run.store("discovery", run.estate.inventory())
     if not run.estate.datasets:
         raise NothingToDo
 
 
 def _profiling(run: Run) -> None:
     run.analysis = Analysis(run.estate, run.run_id)
-    try:
-        profiles = run.analysis.profiles
-    except Exception:
-        bad = run.estate.unreadable()
-        if not bad or len(bad) == len(run.estate.datasets):
-            raise
-        run.warnings += bad
-        run.estate = run.estate.without({location for location, _ in bad})
-        run.analysis = Analysis(run.estate, run.run_id + "-rest")
-        profiles = run.analysis.profiles
+    profiles = run.analysis.profiles
+    run.warnings += run.analysis.failures
+    run.estate = run.analysis.estate
     run.store("profiling", profiles.select(*PROFILE_COLUMNS))
 
 
 def _relationship(run: Run) -> None:
     profiles = run.rows("profiling")
-    run.store("relationship", R.candidates(run.estate, run.analysis.column_values, profiles, run.options))
+    run.store("relationship", R.candidates(run.estate, run.analysis.column_values, profiles, run.options, run.run_id))
     if run.options.max_cols_per_table is not None:
         RUN.write_artefact(R.left_out_columns(profiles, run.options), run.artefacts, "left_out_columns")
 
 
 def _semantic(run: Run) -> None:
     profiles = run.rows("profiling")
-    replies = SEM.ask(profiles, run.options)
+    replies = SEM.ask(profiles, run.options, scratch=run.run_id)
     run.store("semantic", SEM.annotations(replies, profiles, run.options))
     failed = SEM.failures(replies).collect()  # a row a failed table
     run.warnings += [(f"{r['source_name']}.{r['table_name']}", f"semantic model: {r['error']}") for r in failed]
@@ -155,7 +152,8 @@ def run_pipeline(spark: SparkSession, paths=(), options: Options | None = None,
             run.note("warnings", {"warnings": [list(w) for w in run.warnings]})
         run.note("pipeline_summary", summary)
         pu.remove_scratch(spark, run.run_id)
-        pu.remove_scratch(spark, run.run_id + "-rest")
+        if run.estate is not None:
+            run.estate.release()
     return summary
 
 

@@ -91,22 +91,22 @@ def _profiles(spark, folder, options=KEY_DISCOVERY):
 
 
 def profile_nulls(spark, folder):
-    return _profiles(spark, folder).select("table_name", "column_name", "total_rows",
-                                           "null_count", "null_rate")
+    return _analysis(spark, folder).basics.select("table_name", "column_name", "total_rows",
+                                                  "null_count", "null_rate")
 
 
 def profile_cardinality(spark, folder):
-    return _profiles(spark, folder).select("table_name", "column_name", "total_rows",
-                                           "distinct_count", "is_unique")
+    return _analysis(spark, folder).cardinalities.select("table_name", "column_name", "total_rows",
+                                                         "distinct_count", "is_unique")
 
 
 def profile_min_max(spark, folder):
-    return _profiles(spark, folder).select("table_name", "column_name", "min_value",
-                                           "max_value", "min_num", "max_num")
+    return _analysis(spark, folder).basics.select("table_name", "column_name", "min_value",
+                                                  "max_value", "min_num", "max_num")
 
 
 def profile_mean(spark, folder):
-    return (_profiles(spark, folder).filter(F.col("type_class") == "numeric")
+    return (_analysis(spark, folder).basics.filter(F.col("type_class") == "numeric")
             .select("table_name", "column_name", "mean_value"))
 
 
@@ -391,6 +391,68 @@ def result_tables(spark, folder):
     return _kept(spark, counts, opts, "result-tables")
 
 
+#: A column of each result table that the older writer of ``result_tables_evolved`` does not know.
+_UNKNOWN_BEFORE = {"discovery": "extra", "profiling": "inferred_type", "relationship": "evidence",
+                   "semantic": "business_label", "pipeline_runs": "artefacts_dir"}
+
+
+def result_tables_evolved(spark, folder):
+    """K1-K4, K6: after a run, a newer writer (two more columns, one narrower) and then an older
+    one (a column less) append the run's rows again; what each left, read back."""
+    from ..operators import tables
+
+    opts = _runs(spark, folder, "rules")
+    parts = []
+    for key, dropped in _UNKNOWN_BEFORE.items():
+        name = RUN.table_name(opts, key)
+        first = RUN.read_table(spark, name)
+        first = pu.materialize(first, spark, "evolved-rows")
+        newer = (first.withColumn("run_id", F.lit("newer")).withColumn("reviewer", F.lit("r"))
+                 .withColumn("Weight", F.lit(1).cast("short")))
+        older = first.withColumn("run_id", F.lit("older")).drop(dropped)
+        tables.append(newer, name, opts.table_format)
+        # the newer writer again, narrower: the table's type stays
+        tables.append(newer.withColumn("run_id", F.lit("narrow")).withColumn("weight", F.lit(2).cast("byte")),
+                      name, opts.table_format)
+        tables.append(older, name, opts.table_format)
+        found = RUN.read_table(spark, name)
+        writer = F.when(F.col("run_id").isin("newer", "older", "narrow"), F.col("run_id")).otherwise("first")
+        parts.append(found.groupBy(writer.alias("writer")).agg(
+            F.count(F.lit(1)).alias("n"), F.count("reviewer").alias("reviewed"),
+            F.sum("weight").cast("long").alias("weight"), F.count(dropped).alias("known_before"),
+            F.lit(len(found.columns) - len(first.columns)).cast("long").alias("columns_added"))
+            .select(F.lit(key).alias("result"), "*"))
+    return _kept(spark, reduce(DataFrame.unionByName, parts), opts, "evolved")
+
+
+def run_artefacts(spark, folder):
+    """K8: the artefacts of a run, read back: how many rows each has, and their best confidence."""
+    from .pipeline import run_pipeline
+
+    opts = RULES.replace(output_schema="cartograph_q" + uuid.uuid4().hex[:8],
+                         artefacts_path=pu.scratch_path(spark, "query-artefacts", uuid.uuid4().hex[:8]))
+    loc = pu.scratch_path(spark, "tables", opts.output_schema)
+    at = run_pipeline(spark, folder, opts, table_location=loc)["artefacts_dir"]
+    rows = [RUN.read_artefact(spark, at, name, "confidence double").select(F.lit(name).alias("artefact"), "confidence")
+            for name in ("relationship_candidates", "pii_summary")]
+    facts = RUN.read_artefact(spark, at, "pipeline_summary", "status string, columns_profiled long, pk_candidates long")
+    found = reduce(DataFrame.unionByName, rows).groupBy("artefact").agg(
+        F.count(F.lit(1)).alias("n"), F.max("confidence").alias("best"), F.lit(None).cast("string").alias("status"))
+    kept = found.unionByName(facts.select(F.lit("pipeline_summary").alias("artefact"), F.col("columns_profiled").alias("n"),
+                                          F.col("pk_candidates").cast("double").alias("best"), "status"))
+    return _kept(spark, kept, opts, "artefacts")
+
+
+def capped_fk_columns(spark, folder):
+    """With the opt-in cap of two columns a table, the foreign-key columns that are looked at and
+    those that are listed as left out."""
+    opts = KEY_DISCOVERY.replace(max_cols_per_table=2)
+    profiles = _analysis(spark, folder, opts).profiles
+    cols = ["table_name", "column_name", F.col("ordinal").cast("long").alias("ordinal")]
+    return (R.fk_columns(profiles, opts).select(*cols, F.lit(False).alias("left_out"))
+            .unionByName(R.left_out_columns(profiles, opts).select(*cols, F.lit(True).alias("left_out"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         discovery_inventory, discovery_columns, profile_nulls, profile_cardinality,
@@ -401,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         relationship_tiers_literal, relationship_top20, semantic_prompts, semantic_parse, semantic_fallback,
         semantic_annotations, pii_columns, review_relationships, review_semantics,
         review_counts, run_summary, infer_semantic_type_token, semantic_reply_cases, result_tables,
+        result_tables_evolved, run_artefacts, capped_fk_columns,
         name_edit_ratio, name_similarity, relationship_candidates, profile_sampled,
         discover_files, discover_csv, discover_json, run_history,
     ]

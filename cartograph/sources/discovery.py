@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import plan_utils as pu
 from ..config import SAMPLE_SEED, Options
 from .base import Dataset, type_class
-from .files import discover_volumes, file_row_counts, read_dataset
+from .files import discover_volumes, file_counts, file_row_counts, read_dataset, read_group
 from .jdbc import discover_jdbc, jdbc_row_counts, read_jdbc
 
 COLUMNS_SCHEMA = T.StructType([
@@ -38,6 +40,23 @@ DATASETS_SCHEMA = T.StructType([
 ])
 
 
+@dataclass(eq=False)
+class Scan:
+    """One relation of a plan: a dataset, or all file datasets of one schema."""
+
+    datasets: list[Dataset]
+    frame: DataFrame
+    ident: Column               # the dataset_id of a row
+
+    @property
+    def fields(self) -> list[T.StructField]:
+        return self.datasets[0].schema.fields
+
+    @property
+    def single(self) -> Dataset | None:
+        return self.datasets[0] if len(self.datasets) == 1 else None
+
+
 class Estate:
     """The discovered datasets of one run, with lazy frames over them."""
 
@@ -49,6 +68,8 @@ class Estate:
         self.options = options
         self._counts: DataFrame | None = None
         self._count_map: dict[int, int] | None = None
+        self._files: DataFrame | None = None
+        self.scratch = f"estate-{uuid.uuid4().hex[:12]}"
 
     # -- metadata ---------------------------------------------------------
     @property
@@ -68,21 +89,28 @@ class Estate:
                  dict(ds.extra)) for ds in self.datasets]
         return self.spark.createDataFrame(rows, DATASETS_SCHEMA)
 
-    def without(self, locations: set[str]) -> "Estate":
-        """The estate but for the datasets at ``locations``."""
-        return Estate(self.spark, [d for d in self.datasets if d.location not in locations],
-                      self.warnings, self.options)
-
-    def unreadable(self) -> list[tuple[str, str]]:
-        """(location, message) of the datasets that fail when they are read to
-        the end; looked for only after a job over many of them has failed."""
-        def attempt(ds: Dataset):
-            try:
-                self.load(ds).write.format("noop").mode("overwrite").save()
-            except Exception as exc:
-                return ds.location, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            return [x for x in pool.map(attempt, self.datasets) if x]
+    def without(self, ids: set[int]) -> "Estate":
+        """The estate but for the datasets of those numbers."""
+        rest = Estate(self.spark, [d for d in self.datasets if d.dataset_id not in ids], self.warnings, self.options)
+        rest.scratch, rest._files, rest._counts, rest._count_map = self.scratch, self._files, self._counts, self._count_map
+        return rest
+
+    def countable(self) -> "Estate":
+        """The estate without the datasets that cannot be counted, each a warning;
+        found by halving. Looked for only after the count over all has failed."""
+        count = lambda some: pu.materialize(Estate(self.spark, some, [], self.options).row_counts(),
+                                            self.spark, self.scratch, "counts")
+        parts, lost = pu.isolated(self.datasets, count)
+        kept = Estate(self.spark, [ds for some, _ in parts for ds in some],
+                      self.warnings + [(ds.location, message) for ds, message in lost], self.options)
+        if parts:
+            kept._counts = reduce(DataFrame.unionByName, [df for _, df in parts])
+        return kept
+
+    def release(self) -> None:
+        """Delete what this estate has written for itself."""
+        pu.remove_scratch(self.spark, self.scratch)
+        self._files = None
 
     # -- data -------------------------------------------------------------
     def row_counts(self) -> DataFrame:
@@ -112,13 +140,44 @@ class Estate:
             df = read_jdbc(self.spark, ds)
         else:
             df = read_dataset(self.spark, ds)
-        limit = self.options.sample_rows
-        if limit:
-            total = self.row_count(ds)
-            if total > limit:
-                df = df.sample(withReplacement=False, fraction=limit / total, seed=SAMPLE_SEED)
+        if self._sampled(ds):
+            fraction = self.options.sample_rows / self.row_count(ds)
+            df = df.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
         return df
 
+    def _sampled(self, ds: Dataset) -> bool:
+        return bool(self.options.sample_rows) and self.row_count(ds) > self.options.sample_rows
+
+    def _files_of(self) -> DataFrame:
+        """(file_path, dataset_id, rows) as a table, written once."""
+        if self._files is None:
+            self._files = pu.materialize(file_counts(self.spark, self.datasets), self.spark, self.scratch, "files")
+        return self._files
+
+    def scans(self, datasets=None) -> list[Scan]:
+        """The relations that together hold ``datasets`` (all by default) that have
+        columns: file datasets of one format and schema are one relation, so that
+        a plan has a branch for each schema and not for each file."""
+        groups: dict[tuple, list[Dataset]] = {}
+        for ds in self.datasets if datasets is None else datasets:
+            if not ds.schema.fields:
+                continue
+            alone = ds.source_type != "volume" or ds.reader.get("base") or self._sampled(ds)
+            key = ((ds.dataset_id,) if alone else
+                   (ds.format, *((f.name, f.dataType.json()) for f in ds.schema.fields)))
+            groups.setdefault(key, []).append(ds)
+        out = []
+        for group in groups.values():
+            if len(group) == 1:
+                out.append(Scan(group, self.load(group[0]), F.lit(group[0].dataset_id)))
+            else:
+                files = sum(len(ds.reader["paths"]) for ds in group)
+                ids = [ds.dataset_id for ds in group]
+                mine = self._files_of().filter(F.col("dataset_id").between(min(ids), max(ids)))
+                frame, mark = read_group(self.spark, group, mine, files)
+                out.append(Scan(group, frame, F.col(mark)))
+        return out
+
 
 def _frame_row_counts(datasets: list[Dataset]) -> DataFrame | None:
     frames = [ds.reader["frame"].agg(F.count(F.lit(1)).cast("long").alias("row_count"))

@@ -88,10 +88,12 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
     """
     warnings: list[tuple[str, str]] = []
     listing = list_files(spark, roots, extensions, warnings)
-    files = sorted((r["root"], r["path"]) for r in listing.select("root", "path").collect())
+    files = sorted(tuple(r) for r in listing.select("root", "path", "length").collect())
     groups: dict[tuple[str, str, str], list[str]] = {}
     based: dict[tuple[str, str, str], str] = {}
-    for root, path in files:
+    size: dict[str, int] = {}
+    for root, path, length in files:
+        size[path] = length
         ext = "." + path.rsplit(".", 1)[-1].lower()
         fmt = FORMATS.get(ext)
         if fmt is None:
@@ -123,15 +125,15 @@ def discover_volumes(spark: SparkSession, roots: list[str], extensions: tuple[st
             dataset_id=first_id + len(datasets), source_type="volume", source_name=root,
             table_name=posixpath.basename(loc.rstrip("/")), location=loc, format=fmt,
             schema=schema, extra={"file_path": loc, "format": fmt},
-            reader={"paths": paths, "base": based.get((root, loc, fmt))}))
+            reader={"paths": paths, "base": based.get((root, loc, fmt)), "bytes": sum(size[p] for p in paths)}))
     return datasets, warnings
 
 
-def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
-    """Row count of every file dataset: one Spark job per format over all of
-    its files, grouped by ``_metadata.file_path``; only the row count is
-    needed, so no column is read (an empty read schema works across unlike
-    files). Returns ``(dataset_id, row_count)``."""
+def file_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
+    """(file_path, dataset_id, rows) of every listed file that has rows: one
+    Spark job per format over all of its files, grouped by
+    ``_metadata.file_path``; only the row count is needed, so no column is read
+    (an empty read schema works across unlike files)."""
     frames = []
     by_fmt: dict[str, list[Dataset]] = {}
     for ds in datasets:
@@ -148,21 +150,41 @@ def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
         owner = spark.createDataFrame(
             [(p, ds.dataset_id) for ds in group for p in ds.reader["paths"]],
             "path string, dataset_id int")
-        ids = spark.createDataFrame([(ds.dataset_id,) for ds in group], "dataset_id int")
         owner = pu.small(owner, len(paths))    # one row per file: checked size
         known = F.coalesce("dataset_id", F.raise_error(
             F.concat(F.lit("no dataset owns the file "), "file_path")).cast("int"))
-        per_ds = (counts.join(owner, _plain_path(counts.file_path) == _plain_path(owner.path, False), "left")
-                  .select(known.alias("dataset_id"), "count")
-                  .groupBy("dataset_id").agg(F.sum("count").alias("row_count")))
-        frames.append(ids.join(per_ds, "dataset_id", "left")
-                      .select("dataset_id",
-                              F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
+        frames.append(counts.join(owner, _plain_path(counts.file_path) == _plain_path(owner.path, False), "left")
+                      .select("file_path", known.alias("dataset_id"), F.col("count").alias("rows")))
     if not frames:
-        return spark.createDataFrame([], "dataset_id int, row_count long")
+        return spark.createDataFrame([], "file_path string, dataset_id int, rows long")
     return reduce(DataFrame.unionByName, frames)
 
 
+def file_row_counts(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
+    """``(dataset_id, row_count)`` of every file dataset."""
+    mine = [(ds.dataset_id,) for ds in datasets if ds.source_type == "volume"]
+    ids = spark.createDataFrame(mine, "dataset_id int")
+    per_ds = file_counts(spark, datasets).groupBy("dataset_id").agg(F.sum("rows").alias("row_count"))
+    return (ids.join(per_ds, "dataset_id", "left")
+            .select("dataset_id", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
+
+
+def read_group(spark: SparkSession, datasets: list[Dataset], files: DataFrame, n_files: int):
+    """File datasets of one format and schema as one relation, each row with its
+    dataset's number: ``(frame, name of that column)``. ``files``: (file_path,
+    dataset_id), broadcast while they are few."""
+    paths = [p for ds in datasets for p in ds.reader["paths"]]
+    df = _read(spark, datasets[0].format, paths, datasets[0].schema)
+    mark = "__dataset"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    owner = files.select(F.col("file_path").alias(f"{mark}_of"), F.col("dataset_id").alias(mark))
+    df = df.select("*", df.metadataColumn("_metadata").getField("file_path").alias(f"{mark}_path"))
+    df = df.join(pu.small(owner, n_files), F.col(f"{mark}_path") == F.col(f"{mark}_of"), "left")
+    known = F.coalesce(mark, F.raise_error(F.concat(F.lit("no dataset owns the file "), F.col(f"{mark}_path"))).cast("int"))
+    return df.withColumn(mark, known).drop(f"{mark}_of", f"{mark}_path"), mark
+
+
 def _plain_path(p, encoded: bool = True):
     """A path without its scheme's empty authority; ``_metadata.file_path`` is
     percent-encoded, a listing's path is not."""

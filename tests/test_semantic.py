@@ -94,3 +94,32 @@ def test_failing_table_falls_back_alone(spark):
     rows = {r.table_name: r for r in S.annotate(a.profiles, Options(provider=model)).collect()}
     assert rows["good"].status == "auto_accepted" and rows["good"].from_reply
     assert rows["bad"].confidence == 0.3 and not rows["bad"].from_reply
+
+
+def test_hanging_and_recovering_calls(spark, tmp_path):
+    """A call without an end costs its table only; a second attempt may answer; waves lose nothing."""
+    import time
+
+    import pandas as pd
+    from cartograph import Analysis
+    frames = {f"t{k}": spark.createDataFrame([(k,)], "id long") for k in range(7)}
+    a = Analysis(discover_frames(spark, frames, Options()), materialize=False)
+    folder = str(tmp_path)
+
+    def model(pdf: pd.DataFrame) -> list:
+        import os
+        name = pdf["table_name"].iloc[0]
+        if name == "t1":
+            time.sleep(600)
+        if name == "t2" and not os.path.exists(f"{folder}/seen"):
+            open(f"{folder}/seen", "w").close()
+            raise RuntimeError("busy")
+        return ['[{"column_name": "id", "confidence": 0.9}]']
+
+    began = time.time()
+    opts = Options(provider=model, model_timeout=1.0, model_attempts=2, model_tasks=2, model_wave=1)
+    replies = S.ask(a.profiles, opts)
+    assert time.time() - began < 120
+    assert {(r.table_name, r.error) for r in S.failures(replies).collect()} == {("t1", "TimeoutError: no reply within 1 s")}
+    rows = S.annotations(replies, a.profiles, opts).collect()
+    assert len(rows) == 7 and sum(r.from_reply for r in rows) == 6
