@@ -6,6 +6,7 @@ import gc
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,6 +83,35 @@ def smallest_hashes(rows: DataFrame, counts: dict, label: str, most: int) -> Dat
             .where(F.col("k") <= most).select("doc_id").distinct())
 
 
+def list_values(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a column of numbers, each by itself."""
+    flat, off = column.values.to_numpy(), column.offsets.to_numpy()
+    return [flat[a:b].copy() for a, b in zip(off[:-1], off[1:])]
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: tuple, numbers: tuple, other: str,
+            read: Callable[[pa.Array], list]) -> Iterator[tuple[tuple, list]]:
+    """(key, parts) of every run of rows with one key, over the borders of batches. A part has an
+    array for each of ``numbers`` and the list that ``read`` makes of the column ``other``."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy() for c in key]
+        cols = [batch.column(c).to_numpy() for c in numbers]
+        rest = read(batch.column(other))
+        fresh = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        for a, b in zip(np.concatenate(([0], fresh)), np.append(fresh, batch.num_rows)):
+            mine = tuple(int(k[a]) for k in keys)
+            if mine != now and held:
+                yield now, held
+                held = []
+            now = mine
+            held.append([*(c[a:b].copy() for c in cols), rest[a:b]])
+    if held:
+        yield now, held
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

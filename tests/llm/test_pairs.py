@@ -8,6 +8,7 @@ import pytest
 
 from llm_fixtures import docs_of  # noqa: F401
 
+from cartograph.llm import common as C
 from cartograph.llm import decontaminate, line_dedup, ngram_join, packing
 from cartograph.llm import text as X
 
@@ -74,6 +75,7 @@ def test_join_blocks_give_the_same(docs_of, monkeypatch):
     texts = [f"a b c d e f g h i j k l m n o p q r s t u v w x y {k % 7} {k}" for k in range(40)]
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
     monkeypatch.setattr(ngram_join, "HOT_CLASSES", 2)
+    monkeypatch.setattr(ngram_join, "BOUND_CLASSES", 3)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.join(docs_of(texts), 3, 80).collect()}
     assert got == _join_by_hand(texts, list(range(40)), 3, 80)
 
@@ -127,10 +129,39 @@ def test_candidates_equal_brute_force(spark):
             rows = []
             for k, s in enumerate(sets):
                 keys, _ = ngram_join._rare_end(s, table, percent)
-                rows.append((k, len(s), k, k, [int(x) for x in keys.astype(np.int64)], min(cool, len(keys))))
-            filed = spark.createDataFrame(rows, "doc_id long, n long, s1 long, s2 long, keys array<long>, cool int")
-            got = {(r.b, r.a) for r in ngram_join.candidate_pairs(filed, percent, 7).collect()}
-            assert len(linked) > 100 and linked <= got
+                rows.append((k, len(s), k, k, [int(x) for x in keys.astype(np.int64)], min(cool, len(keys)),
+                             ngram_join.histogram(s).tobytes()))
+            filed = spark.createDataFrame(rows, "doc_id long, n long, s1 long, s2 long, keys array<long>, cool int, buckets binary")
+            ties = ngram_join.candidates(filed, percent, 7)
+            hubs = {}
+            for r in ties.collect():
+                hubs.setdefault(r.s1, set()).add(r.hub)
+            assert len(linked) > 100 and all(hubs[i] & hubs[j] for i, j in linked)
+            groups = {r.s1: r.comp for r in ngram_join.likely_groups(filed, ties, percent, C.Scratch(spark, "t")).collect()}
+            assert all(groups[i] == groups[j] for i, j in linked)
+
+
+def test_histograms_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 3, 100, 129, 140, 1000, 1030, 5000):
+        base = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        sets += [np.unique(np.where(rng.random(n) < p, rng.integers(0, 1 << 62, n).astype(np.uint64), base)) for p in (0, .02, .1, .5)]
+    sets.sort(key=len)
+    n = np.array(list(map(len, sets)))
+    got = {(i, int(j)) for i, js in ngram_join.within_bound(n, [ngram_join.histogram(s) for s in sets], np.zeros(len(n)), 80)
+           for j in js}
+    linked = {(i, j) for j in range(len(sets)) for i in range(j)
+              if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert linked <= got and len(linked) > 15 and len(got) < 3 * len(linked)
+
+
+def test_forest():
+    f = ngram_join.Forest(6)
+    f.merge(4, np.array([5, 2]))
+    f.merge(1, np.array([3]))
+    f.merge(3, np.array([5]))
+    assert f.roots(np.arange(6)).tolist() == [0, 1, 1, 1, 1, 1]
 
 
 def test_partial_overlaps_are_summed_over_fragments(docs_of, monkeypatch):
