@@ -3,16 +3,22 @@
 The standard library's streaming parser gives the events of a page. A line is
 the text of one block; its ratio is its characters over the tags since the
 line before. The ratios are smoothed by a Gaussian over the page's lines, and
-lines over a threshold (a share of the ratios' deviation) are seeds. The
-outermost article or main part that holds most of the seeds' text is the content
-region. On a page without one, the region is found by going down from the root
-into the part that holds all seeds and all paragraphs, headings, items and the
-like. The region gives all of its lines, short ones too.
-
-Lines of parts that say what they are have ratio 0 and are never content:
-menus, page headers, footers, sidebars, notices, adverts, forms, reader
-comments (by tag, role, or a word of class or id), and, outside of an article
-or main part, items of bare links.
+lines over a threshold (a share of the ratios' deviation) are seeds, the clusters
+of content.
+
+*The region* is where the seeds are: the smallest part of the page that holds most
+of their text. If an article or main part is around it, the outermost of these is
+the region; else it grows, from the root down, to the smallest part that holds
+all seeds, paragraphs, headings and items but those of other, smaller articles. The
+region gives all of its lines, short ones too.
+
+*Set apart* are menus, page headers, footers, sidebars, notices, adverts, forms and
+reader comments, by tag, role, or a whole word of class or id that says so. Such a
+word only weighs in, the seeds decide: a part that holds most of the page's seeds,
+with the page's article, main part or heading in it, or outside of which there are
+none, is the frame of the content and not set apart, whatever it is called. Nothing is
+taken of what a page hides (head, scripts, ``hidden``, ``display: none``).
+Outside of an article or main part, items of bare links and rows of links are left out too.
 """
 
 from __future__ import annotations
@@ -35,22 +41,28 @@ BLOCKS = frozenset(
 PARTS = frozenset("html body main article section div center table tbody tr td".split())
 TEXTS = frozenset("address blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 HIDDEN = frozenset("head script style noscript template title iframe object svg canvas math audio video map".split())
-APART = frozenset("nav footer aside form button select textarea option label input menu dialog fieldset".split())
+#: Set apart whatever they hold, and only if they do not frame the content.
+APART = frozenset("nav footer aside button select textarea option label input menu dialog".split())
+FRAMES = frozenset("form fieldset header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|"
-    r"navbar|nav|navigation|menus?|breadcrumbs?|sidebar|side|footer|foot|masthead|topbar|toolbar|alert|comments?|comment-?list|replies|"
-    r"disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|"
-    r"pager|widgets?|skip)(?:$|[\s_-])", re.I)
+_WHERE = r"(?:(?:site|page|main|global|top|bottom|left|right|primary|secondary|post|article|entry|blog|user|reader)[-_]?)?"
+_WHAT = (r"(?:ads?|advert\w*|sponsor\w*|promos?|promotions?|banner|cookies?|consent|gdpr|notices?|popup|modal|overlay|nav|navbar|"
+         r"navigation|menus?|breadcrumbs?|sidebar|footer|foot|masthead|topbar|toolbar|alerts?|comments?|replies|disqus|respond|"
+         r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|widgets?|skip)")
+_HOW = r"(?:[-_]?(?:bar|box|list|area|section|block|wrapper|wrap|container|inner|links?|menu|nav|form|unit|slot|message|thread|posts|\d+))?"
+NAMES = re.compile(rf"(?:^|\s){_WHERE}(?:{_WHAT}[-_]?)*{_WHAT}{_HOW}(?=$|\s)", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!important\s*)?(?:;|$)", re.I)
 PAGE_HEADER = re.compile(r"(?:^|\s)(?:(?:site|page|top|global)[_-]?)?header(?:$|\s)", re.I)
 ENDS_P = BLOCKS - frozenset("body html head title option".split())
 _CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
            "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 _SPACE = re.compile(r"\s+")
+LISTS = frozenset("li td ul ol".split())
 
 SIGMA = 1.0
 SHARE = 0.5        # of the deviation: the threshold of a seed
-MOST = 0.8         # of the seeds' text: the article or main part that holds it is the region
+MOST = 0.8         # of the seeds' text: the smallest part that holds it is the heart of the region
+HALF = 0.5         # of the seeds' text: a part that is named otherwise may be the frame of it
 
 
 class Page(HTMLParser):
@@ -60,14 +72,15 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent = [-1]
         self.tag = ["#root"]
-        self.apart = [False]
+        self.mark = [0]           # 0: content, 1: set apart unless it frames the content, 2: set apart
         self.hidden = [False]
         self.inside = [False]     # in an article or main part
         self.stack = [0]
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []  # text, element, tags before, nothing but a list of links
         self.text: list[str] = []
         self.linked = 0
         self.size = 0
+        self.anchors = 0          # links of the line that is being read
         self.links = 0
         self.tags = 0
         self.at = 0
@@ -76,9 +89,11 @@ class Page(HTMLParser):
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             if text:
-                self.lines.append((text, self.at, self.tags, self.linked >= self.size))
+                self.lines.append((text, self.at, self.tags, self.linked >= self.size
+                                   and (self.tag[self.at] in LISTS or self.anchors > 2)))
                 self.tags = 0
             self.text, self.linked, self.size = [], 0, 0
+        self.anchors = 0
 
     def _pop(self, keep: int) -> None:
         for e in self.stack[keep:]:
@@ -100,7 +115,7 @@ class Page(HTMLParser):
         if tag in BLOCKS:
             self.flush()
             if tag in ENDS_P:
-                self._close(("p",), PARTS | APART)
+                self._close(("p",), PARTS | APART | FRAMES)
             if tag in _CLOSES:
                 names, stops = _CLOSES[tag]
                 self._close(tuple(names.split()), tuple(stops.split()))
@@ -110,24 +125,25 @@ class Page(HTMLParser):
             return
         top = self.stack[-1]
         inside = self.inside[top] or tag in ("article", "main")
-        apart = self.apart[top] or tag in APART or (tag == "header" and not inside)
-        if attrs and not apart:
-            for name, value in attrs:
-                if value and (name == "role" and value.lower() in ROLES
-                              or name in ("class", "id") and tag not in ("html", "body", "article", "main")
-                              and (NAMES.search(value) or not inside and PAGE_HEADER.search(value))
-                              or name == "aria-hidden" and value.lower() == "true"):
-                    apart = True
-                elif name == "hidden":
-                    apart = True
+        mark = 2 if tag in APART else 1 if tag in FRAMES and not (tag == "header" and inside) else 0
+        hidden = self.hidden[top] or tag in HIDDEN
+        for name, value in attrs:
+            if name == "hidden" or name == "aria-hidden" and value and value.lower() == "true" \
+                    or name == "style" and value and UNSEEN.search(value):
+                hidden = True
+            elif value and (name == "role" and value.lower() in ROLES
+                            or name in ("class", "id") and tag not in ("html", "body", "article", "main")
+                            and (NAMES.search(value) or not inside and PAGE_HEADER.search(value))):
+                mark = max(mark, 1)
         self.parent.append(top)
         self.tag.append(tag)
-        self.apart.append(apart)
-        self.hidden.append(self.hidden[top] or tag in HIDDEN)
+        self.mark.append(mark)
+        self.hidden.append(hidden)
         self.inside.append(inside)
         self.stack.append(len(self.tag) - 1)
         if tag == "a":
             self.links += 1
+            self.anchors += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,7 +172,7 @@ class Page(HTMLParser):
         for e in reversed(self.stack):
             if self.tag[e] in BLOCKS or e == 0:
                 return e
-            if self.apart[e]:
+            if self.mark[e]:
                 return e
         return 0
 
@@ -168,6 +184,52 @@ def smooth(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratio, kernel, "full")[reach:reach + len(ratio)] / weight
 
 
+def _totals(page: Page, at: list[int], amount: np.ndarray) -> np.ndarray:
+    """Of each element, the amounts of the lines in it."""
+    total = np.zeros(len(page.tag))
+    np.add.at(total, at, amount)
+    for e in range(len(total) - 1, 0, -1):
+        total[page.parent[e]] += total[e]
+    return total
+
+
+def _under(page: Page, marked: np.ndarray) -> np.ndarray:
+    """The elements that are marked or in one that is."""
+    out = marked.copy()
+    for e in range(1, len(out)):
+        out[e] |= out[page.parent[e]]
+    return out
+
+
+def seeds(page: Page, fine: np.ndarray) -> np.ndarray:
+    """Which lines are seeds: their smoothed ratio reaches the threshold. Lines that are not ``fine`` have ratio 0."""
+    ratio = np.array([len(t) / max(1, tags) if ok else 0.0 for (t, _, tags, _), ok in zip(page.lines, fine)])
+    level = smooth(ratio)
+    found = fine & (level >= SHARE * level.std())
+    return found if found.any() else fine
+
+
+def set_apart(page: Page) -> np.ndarray:
+    """The elements that are set apart, or in one that is. Frames of the content are not."""
+    at = [e for _, e, _, _ in page.lines]
+    size = np.array([len(t) for t, _, _, _ in page.lines], float)
+    surely = _under(page, np.array(page.mark) == 2)
+    marked = np.array(page.mark) > 0
+    bare = np.array([links for _, _, _, links in page.lines])
+    weight = _totals(page, at, size * seeds(page, ~surely[at] & ~bare))
+    core = np.array([t in ("article", "main", "h1") for t in page.tag]) & ~surely
+    core = _totals(page, np.flatnonzero(core), np.ones(int(core.sum())))
+    for e in range(1, len(marked)):
+        if not marked[e] or page.mark[e] != 1 or weight[e] < HALF * weight[0] or not weight[0]:
+            continue
+        # what the parts beside it leave, without those that are set apart themselves
+        rest = marked.copy()
+        rest[e] = True
+        if core[e] == core[0] > 0 or not size[~_under(page, rest)[at]].any():
+            marked[e] = False
+    return _under(page, marked)
+
+
 def main_text(html: str | None) -> str:
     """The lines of a page's content region, joined by line breaks."""
     if not html:
@@ -179,41 +241,41 @@ def main_text(html: str | None) -> str:
     lines = page.lines
     if not lines:
         return ""
-    own = np.array([not page.apart[e] and not (linked and page.tag[e] in ("li", "td", "ul", "ol"))
-                    for _, e, _, linked in lines])
-    ratio = np.array([len(t) / max(1, tags) if fine else 0.0 for (t, _, tags, _), fine in zip(lines, own)])
-    level = smooth(ratio)
-    seeds = own & (level >= SHARE * level.std())
-    if not seeds.any():
-        seeds = own
-    weight = np.zeros(len(page.tag))
-    count = np.zeros(len(page.tag), np.int64)
-    kept = np.zeros(len(page.tag), np.int64)
-    for k in np.flatnonzero(own):
-        e = lines[k][1]
-        count[e] += 1
-        if seeds[k]:
-            weight[e] += len(lines[k][0])
-        kept[e] += seeds[k] or page.tag[e] in TEXTS
-    child: dict[int, list[int]] = {}
-    for e in range(len(page.tag) - 1, 0, -1):
-        for total in (weight, count, kept):
-            total[page.parent[e]] += total[e]
-        child.setdefault(page.parent[e], []).append(e)
-    named = [e for e in range(1, len(page.tag)) if page.inside[e] and not page.inside[page.parent[e]]
-             and weight[e] >= MOST * weight[0] and weight[e] > 0]
-    region = named[0] if named else 0
-    while not named:
-        down = [e for e in child.get(region, ()) if page.tag[e] in PARTS and count[e] > 1 and kept[e] == kept[region]]
-        if not down:
-            break
-        region = down[0]
+    at = [e for _, e, _, _ in lines]
+    apart = set_apart(page)
+    own = np.array([not apart[e] and not links for _, e, _, links in lines])
+    seed = seeds(page, own)
+    size = np.array([len(t) for t, _, _, _ in lines], float)
+    weight = _totals(page, at, size * seed)
+    heart = 0
+    for e in range(1, len(page.tag)):  # the smallest part that holds most: the deepest, as elements come in order
+        if weight[e] >= MOST * weight[0] > 0 and page.parent[e] >= heart:
+            heart = e
+    region, e = None, heart
+    while e > 0:
+        if page.tag[e] in ("article", "main"):
+            region = e
+        e = page.parent[e]
+    whole = region is not None
+    if not whole:
+        # articles that hold little beside the heart are no part of it; two that share the seeds are
+        others = np.array([t == "article" and not page.inside[page.parent[k]] and weight[k] < (1 - MOST) * weight[0]
+                           for k, t in enumerate(page.tag)])
+        others = _under(page, others) if weight[0] else np.zeros(len(page.tag), bool)
+        own &= ~others[at]
+        seed &= own
+        count = _totals(page, at, own.astype(float))
+        kept = _totals(page, at, (own & (seed | np.array([page.tag[e] in TEXTS for e in at]))).astype(float))
+        child: dict[int, list[int]] = {}
+        for e in range(1, len(page.tag)):
+            child.setdefault(page.parent[e], []).append(e)
+        region = 0
+        while down := [e for e in child.get(region, ()) if page.tag[e] in PARTS and count[e] > 1 and kept[e] == kept[region]]:
+            region = down[0]
     within = np.zeros(len(page.tag), bool)
     within[region] = True
-    for e in range(region + 1, len(page.tag)):
-        within[e] = within[page.parent[e]]
-    return "\n".join(t for k, (t, e, _, _) in enumerate(lines)
-                     if within[e] and (not page.apart[e] if named else own[k]))
+    within = _under(page, within)
+    return "\n".join(t for k, (t, e, _, _) in enumerate(lines) if within[e] and (not apart[e] if whole else own[k]))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -300,6 +300,59 @@ def test_main_text_without_an_article():
     assert html_extract.main_text(f"<div>{menu}</div><div>{inner}</div>").startswith("T\nlead\n")
 
 
+ARTICLE = f"<article><h1>T</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></article>"
+BODY = f"<h1>T</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+MENU = "<nav><ul><li><a href=/a>a</a><li><a href=/b>b</a></ul></nav>"
+FOOT = "<footer><p>Imprint and some more words here</p></footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"{MENU}<div class='site no-sidebar'>{ARTICLE}</div>{FOOT}",
+    f"{MENU}<div class='post category-social'>{ARTICLE}</div><div class=sidebar><p>side words</p></div>{FOOT}",
+    f"<form id=aspnetForm>{MENU}{ARTICLE}<input name=q><label>Search</label>{FOOT}</form>",
+    f"{MENU}<article><h1>T</h1><div class='entry related-topics'><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div></article>",
+    f"<article><h1>T</h1><p style='color:red; display : none'>x {LONG}</p><p>{LONG}</p><div hidden>{LONG}</div><p>Short.</p><p>{LONG}</p></article>",
+    f"<div>{''.join(f'<a href={k}>link {k}</a> ' for k in range(8))}</div><div>{BODY}</div><div class=footer>c 2020</div>",
+    f"<div class=menu><a href=1>x</a></div><div class=widget>{BODY}</div>",
+    f"<article><h2>Other</h2><p>See also this.</p></article><div>{BODY}</div>",
+    f"{ARTICLE}<div id=comments>" + f"<article><p>{LONG} {LONG} {LONG}</p></article>" * 6 + "</div>",
+    f"<article>{BODY}<section class='comment-list'><p>me too, {LONG}</p></section><form><p>Write</p><textarea>x</textarea></form></article>",
+    f"<div class='cookie-notice'><p>We use cookies. {LONG}</p></div>{ARTICLE}<div class='newsletter-signup box'><p>{LONG}</p></div>",
+    f"<center><table><tr><td><a href=1>a</a><td>{BODY}</table></center>",
+])
+def test_main_text_of_common_frames(page):
+    assert html_extract.main_text(f"<!DOCTYPE html><html><body>{page}</body></html>").split("\n") == ["T", LONG, "Short.", LONG]
+
+
+def test_main_text_of_two_articles():
+    more = f"<article><h1>U</h1><p>{LONG}</p><p>{LONG}</p></article>"
+    assert html_extract.main_text(MENU + ARTICLE + more + FOOT).split("\n") == ["T", LONG, "Short.", LONG, "U", LONG, LONG]
+
+
+def test_the_clusters_choose_the_region():
+    """The same page, twice: what is long and plain is the region, whatever the parts are called."""
+    links = "".join(f"<p><a href={k}>a</a> <b>b</b> <i>c</i>" for k in range(12))
+    text = f"<p>{LONG}</p><p>{LONG}</p>"
+    one, two = f"<article>{links}</article><div>{text}</div>", f"<div>{links}</div><article>{text}</article>"
+    for page in (one, two):
+        assert html_extract.main_text(page).split("\n") == [LONG, LONG]
+
+
+def test_seeds_equal_a_plain_recomputation():
+    page = html_extract.Page()
+    page.feed(f"<div><a>x</a><b>y</b></div><p>{LONG}<p>Short.<p>{LONG}<ul><li><a>z</a><li>q</ul>")
+    page.close(), page.flush()
+    fine = np.array([True] * len(page.lines))
+    ratio = [len(t) / max(1, n) for t, _, n, _ in page.lines]
+    level = []
+    for i in range(len(ratio)):
+        w = {j: math.exp(-0.5 * ((i - j) / html_extract.SIGMA) ** 2) for j in range(len(ratio)) if abs(i - j) <= 2}
+        level.append(sum(w[j] * ratio[j] for j in w) / sum(w.values()))
+    mean = sum(level) / len(level)
+    cut = html_extract.SHARE * math.sqrt(sum((x - mean) ** 2 for x in level) / len(level))
+    assert html_extract.seeds(page, fine).tolist() == [x >= cut for x in level]
+
+
 def test_extract_rows(spark):
     long = "word " * 30_000
     pages = spark.createDataFrame(
