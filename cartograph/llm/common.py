@@ -42,9 +42,12 @@ class Scratch:
         """The result, written beside the folder, which is then deleted: nothing that
         the result does not hold stays behind."""
         out = pu.materialize(df, self.spark, "llm", f"{self.name}-result")
+        self.drop()
+        return out
+
+    def drop(self) -> None:
         pu.remove_scratch(self.spark, "llm", self.name)
         release(self.spark)
-        return out
 
 
 def release(spark: SparkSession) -> None:

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import plan_utils as pu
 from . import common as C
-from . import ann, ctw, decontaminate, divergence, html_extract, langid, line_dedup, ngram_join, packing, periodic
+from . import ann, ctw, decontaminate, divergence, html_extract, langid, line_align, ngram_join, packing, periodic
 from . import quality, toxicity, wavelet
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(C.table(spark, sf_dir, "documents"), min_words=25, whole_lines=False)
+    return line_align.dedup(C.table(spark, sf_dir, "documents"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     import __spark_entry__ as E
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)

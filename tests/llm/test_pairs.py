@@ -9,7 +9,7 @@ import pytest
 from llm_fixtures import docs_of  # noqa: F401
 
 from cartograph.llm import common as C
-from cartograph.llm import decontaminate, line_dedup, ngram_join, packing
+from cartograph.llm import decontaminate, line_align, line_dedup, ngram_join, packing
 from cartograph.llm import text as X
 
 EDGES = [None, "", " \n\t ", "one", "two words", "two words", "a b c d e f", "é ß 漢字 " * 3]
@@ -390,3 +390,99 @@ def test_line_dedup_query_cuts_every_occurrence(spark, docs_of, tmp_path):
     docs_of([passage, f"start.\n{passage}\nmiddle.\n{passage}\nend."]).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.text for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {0: passage, 1: "start.\nmiddle.\nend."}
+
+
+# ---- line dedup by alignment ----------------------------------------------------------
+
+def test_alignment_decides():
+    """Runs out of order are in no block of the first alignment: a union of all shared runs would have them."""
+    # A B C there, C A B here, 25 words each
+    got = line_align.aligned([0, 30, 60], [60, 0, 30], [25, 25, 25])
+    assert got == [(30, 54, 0, False), (60, 84, 30, False), (0, 24, 60, True)]
+    few = np.arange(100, dtype=np.uint64)
+    beside = [dict(first=a, last=b, again=again, left=b"", right=b"") for a, b, _, again in got]
+    assert line_align.grown(few, beside) == [30, 54, 60, 84]  # the union: 0 to 24 too
+    # a passage that has moved counts
+    longer = line_align.aligned([0, 12, 40, 65], [90, 102, 0, 25], [25] * 4)
+    assert longer == [(40, 89, 0, False), (0, 36, 90, True)] or longer == [(0, 36, 90, False), (40, 89, 0, True)]
+    beside = [dict(first=a, last=b, again=again, left=b"", right=b"") for a, b, _, again in longer]
+    assert line_align.grown(few, beside) == [0, 36, 40, 89]
+
+
+def test_alignment_of_pairs_in_order_equals_patience():
+    rng = random.Random(4)
+    rows, want = [], []
+    for owner in range(40):
+        at, k = sorted(rng.sample(range(400), 12)), rng.choice([0, 100])
+        other = sorted(rng.sample(range(400), 12)) if owner % 3 else [a + k for a in at]
+        if owner % 5 == 0:
+            rng.shuffle(other)
+        rows += [(9, 1, owner, 2, a, o, 25) for a, o in zip(at, other)]
+        want += [(9, 1, owner, 2, *b) for b in line_align.aligned(at, other, [25] * 12)]
+    import pyarrow as pa
+
+    names = ["doc_id", "print", "owner", "oprint", "at", "other", "words"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 7])], names) for i in range(0, len(rows), 7)]
+    got = [r for b in line_align._align(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert sorted(got) == sorted(want)
+
+
+def test_every_passage_has_a_line_within():
+    rng = random.Random(6)
+    for n in (line_align.PASSAGE, 40, 60):
+        for _ in range(60):
+            passage = _words(rng, n, 30 if _ % 2 else 9999)
+            found = []
+            for _ in range(2):
+                before, after = _words(rng, rng.randrange(50), 9999), _words(rng, rng.randrange(50), 9999)
+                raw = np.frombuffer(f"{before} {passage} {after}".encode(), np.uint8)
+                w = X.words(raw, np.array([0, len(raw)]))
+                row, at, h = line_align.lines(w)
+                a = len(before.split())
+                runs = set()
+                for p in at:
+                    for s in (p - (line_align.BLOCK - line_align.LINE), p):
+                        if a <= s and s + line_align.BLOCK <= a + n:
+                            runs.add(s - a)
+                found.append(runs)
+            assert found[0] & found[1]
+
+
+def test_aligned_dedup_equals_brute_force(docs_of):
+    """Texts of words of their own around passages: what lies in a passage of an earlier text goes, to the word."""
+    rng = random.Random(15)
+    own = iter(range(10 ** 6))
+    fresh = lambda n: " ".join(f"u{next(own)}" for _ in range(n))
+    passages = [fresh(n) for n in (37, 40, 52, 80, 120)]
+    texts = [None, "", passages[1], "la " * 90, fresh(20), fresh(30)]
+    texts += [texts[4], texts[5].upper(), texts[4] + " more", "la " * 300]
+    for k in range(36):
+        parts = rng.sample(passages, rng.randrange(4))
+        text = fresh(rng.randrange(60))
+        for p in parts + parts[:k % 2]:
+            text += rng.choice([" ", "\n", ". "]) + p + rng.choice([" ", "\n"]) + fresh(rng.randrange(1, 60))
+        texts.append(text)
+    ids = rng.sample(range(1000), len(texts))
+    want = _words_left(texts, ids, line_align.PASSAGE)
+    rows = line_align.dedup(docs_of(texts, ids)).collect()
+    got = {r.doc_id: r for r in rows}
+    assert len(rows) == len(texts) and {i: (r.text or "").split() for i, r in got.items()} == want
+    assert all(got[i].text == t for i, t in zip(ids, texts) if not got[i].removed_lines)
+    assert sum(r.removed_lines > 0 for r in rows) > 20
+
+
+def test_aligned_dedup_edges(docs_of, monkeypatch):
+    monkeypatch.setattr(line_align, "HOT_ROWS", 2)  # frequent runs in shares
+    rng = random.Random(3)
+    passage = _words(rng, 60, 99999)
+    texts = [f"{_words(rng, 30, 99999)} {passage} {_words(rng, 30, 99999)}" for _ in range(12)]
+    out = line_align.drop_repeated(docs_of(texts + [passage, None, "x"], ids=[*range(12), 50, 51, None])).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted([*map(str, range(12)), "51", "None"]) and len(out[0]) == 8
+    by = {r.doc_id: r for r in out}
+    assert by[0].text == texts[0] and all(len(by[k].text.split()) == 60 and by[k].n_chars == len(by[k].text) for k in range(1, 12))
+    same = line_align.dedup(docs_of([passage, passage, passage], ids=[4, 4, 9])).collect()
+    assert sorted((r.doc_id, r.text) for r in same) == [(4, passage), (4, passage), (9, "")]
+    assert line_align.dedup(docs_of([])).collect() == []
+    long = " ".join(f"w{k}" for k in range(150_000))
+    rows = line_align.dedup(docs_of([long, "start " + long + " end"])).orderBy("doc_id").collect()
+    assert rows[0].text == long and rows[1].text.split() == ["start", "end"]
