@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cartograph.llm import common as C
-from cartograph.llm import decontaminate, langid, line_dedup, ngram_join, packing
+from cartograph.llm import decontaminate, langid, line_align, ngram_join, packing
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document has too are cut; documents of which nothing is left go."""
-    return line_dedup.drop_repeated_lines(docs, min_words=25, whole_lines=False)
+    return line_align.drop_repeated(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
