@@ -38,6 +38,7 @@ def const(n: int) -> np.uint64:
 
 #: The value of each byte in word hashes: A-Z fold to a-z.
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
+_EXACT = _BYTE.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -96,8 +97,8 @@ class Words:
     check: np.ndarray | None = None  # a second hash, where asked for
 
 
-def words(data: np.ndarray, offsets: np.ndarray, check: bool = False) -> Words:
-    """The words of every row; rows end words."""
+def words(data: np.ndarray, offsets: np.ndarray, check: bool = False, fold: bool = True) -> Words:
+    """The words of every row; rows end words. Without ``fold`` A-Z differ from a-z."""
     rows = len(offsets) - 1
     inside = ~_SPACE[data]
     before = np.empty(len(data), bool)
@@ -121,7 +122,7 @@ def words(data: np.ndarray, offsets: np.ndarray, check: bool = False) -> Words:
     begin = np.zeros(len(start), np.int64)
     np.cumsum(size[:-1], out=begin[1:])
     place = np.arange(total) - np.repeat(begin, size)
-    value = _BYTE[data[inside]]
+    value = (_BYTE if fold else _EXACT)[data[inside]]
     power = powers(int(size.max()))[place]
     second = np.add.reduceat((value ^ (value >> _S27)) * (power ^ (power >> _S31)), begin) if check else None
     value = value * power

@@ -124,9 +124,10 @@ class WaveletMatrix:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file that drops white space: words between
-    ASCII white space never share a token, so each distinct word is encoded
-    once by the tokenizers library and remembered (up to a bound).
+    """Ids of texts by a tokenizer file. If the tokenizer drops white space (which
+    is probed), words between ASCII white space never share a token, so that each
+    distinct word is encoded once by the tokenizers library and remembered (up to a
+    bound); otherwise texts are encoded whole.
 
     A word of Latin letters, with or without one mark behind it, is one piece
     (and one for the mark) for the library's normaliser and pre-tokenizer, and
@@ -145,14 +146,24 @@ class Encoder:
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.dtype("<u2") if self.bits <= 16 else np.dtype("<u4")
         self.code = "H" if self.bits <= 16 else "I"
-        self.known: dict[tuple[int, int], bytes] = {}
-        self.older: dict[tuple[int, int], bytes] = {}
+        self._forget()
         letters = [chr(c) for c in range(256) if chr(c).isalpha()]
         self.letters = {ord(c): self._piece(c) for c in letters}
         self.plain = all(self.letters[ord(c)] == c.lower() for c in letters if c.isascii())
         self.marks = {m: self._whole([m])[0] for m in self.MARKS}
         probes = [f"{a}{c}{b}{m}" for c in letters for a, b, m in (("", "", ""), ("ab", "Cd", "."), ("stre", "s", ","))]
         self.direct = all(self.letters.values()) and [self._merged(p) for p in probes] == self._whole(probes)
+        pairs = [(a, b) for a, b in zip(probes[::7], probes[3::7])]
+        self.apart = all(self._whole([f"{x}{a}{gap}{b}{x}"]) == [self._whole([a])[0] + self._whole([b])[0]]
+                         for a, b in pairs for gap, x in ((" ", ""), ("  ", " "), ("\n", ""), ("\t", "\r"), ("\x0b", ""), ("\x0c", "")))
+        shifted = [p.swapcase() for p in probes if p.isascii()]
+        self.folds = self._whole(shifted) == self._whole([p for p in probes if p.isascii()])
+
+    def _forget(self) -> None:
+        """Nothing remembered: words by hash, a second hash, and where their ids lie in ``flat``."""
+        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.size, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.round = np.zeros(0, self.kind), 0
 
     def _piece(self, letter: str) -> str:
         t = self.tokenizer
@@ -192,49 +203,66 @@ class Encoder:
         found.update(zip(rest, self._whole([w.decode("utf-8", "replace") for w in rest])))
         return found
 
+    def _remember(self, h: np.ndarray, check: np.ndarray, ids: list[bytes]) -> None:
+        """File words by their hashes. When there are too many, half of them go, those that
+        were met least lately."""
+        size = np.array(list(map(len, ids)), np.int64) // self.kind.itemsize
+        begin = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), self.kind)))
+        cols = [np.concatenate(x) for x in ((self.hash, h), (self.check, check), (self.begin, begin), (self.size, size),
+                                            (self.used, np.full(len(h), self.round)))]
+        order = np.argsort(cols[0], kind="stable")
+        if len(order) > CACHED_WORDS:
+            keep = np.zeros(len(order), bool)
+            now = int((cols[4] == self.round).sum())  # the words at hand stay
+            keep[np.argsort(cols[4], kind="stable")[-max(CACHED_WORDS // 2, now):]] = True
+            order = order[keep[order]]
+            begin, size = cols[2][order], cols[3][order]
+            stop = np.cumsum(size)
+            self.flat = self.flat[np.repeat(begin - (stop - size), size) + np.arange(int(stop[-1]))]
+            cols[2][order] = stop - size
+        self.hash, self.check, self.begin, self.size, self.used = (c[order] for c in cols)
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """The ids of each row of UTF-8 texts.
 
-        Words are told apart by two 64-bit hashes in which A-Z count as a-z (the
-        tokenizer lower-cases them too). Words that were not met lately are
-        forgotten: of two generations the older goes when the newer is full.
+        Words are told apart by two 64-bit hashes; A-Z count as a-z only if the
+        tokenizer lower-cases them too.
         """
-        w = X.words(data, offsets, check=True)
-        _, at, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        if not (w.check[at][back] == w.check).all():  # two words of one hash: row by row, or word by word
+        if not self.apart:
+            raw = data.tobytes()
+            return [np.frombuffer(x, self.kind) for x in
+                    self._whole([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])])]
+        w = X.words(data, offsets, check=True) if self.folds else X.words(data, offsets, check=True, fold=False)
+        if not len(w.hash):
+            return [np.zeros(0, self.kind)] * (len(offsets) - 1)
+        h, at, back = np.unique(w.hash, return_index=True, return_inverse=True)
+        check = w.check[at]
+        known = np.zeros(len(h), bool)
+        if len(self.hash):
+            spot = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            known = self.hash[spot] == h
+        clash = not (check[back] == w.check).all() or known.any() and not (self.check[spot[known]] == check[known]).all()
+        if clash:  # two words of one hash: row by row, or word by word
             if len(offsets) > 2:
                 return [x for r in range(len(offsets) - 1)
                         for x in self(data[offsets[r]:offsets[r + 1]], offsets[r:r + 2] - offsets[r])]
             raw = data.tobytes().split()
             return [np.frombuffer(b"".join(self._learn([x])[x] for x in raw), self.kind)]
-        parts: list = [None] * len(at)
-        new = []
-        known, older = self.known, self.older
-        for k, key in enumerate(zip(w.hash[at].tolist(), w.check[at].tolist())):
-            ids = known.get(key)
-            if ids is None:
-                ids = older.get(key)
-                if ids is None:
-                    new.append((k, key))
-                    continue
-                known[key] = ids
-            parts[k] = ids
-        if new:
-            raw, start, end = data.tobytes(), w.start[at].tolist(), w.end[at].tolist()
-            word = [raw[start[k]:end[k]] for k, _ in new]
+        self.round += 1
+        if known.any():
+            self.used[spot[known]] = self.round
+        if not known.all():
+            new = np.flatnonzero(~known)
+            raw, start, end = data.tobytes(), w.start[at[new]].tolist(), w.end[at[new]].tolist()
+            word = [raw[a:b] for a, b in zip(start, end)]
             learnt = self._learn(word)
-            for (k, key), x in zip(new, word):
-                parts[k] = known[key] = learnt[x]
-        if len(known) > CACHED_WORDS // 2:
-            self.known, self.older = {}, known
-        flat = np.frombuffer(b"".join(parts), self.kind)
-        size = np.array(list(map(len, parts)), np.int64) // self.kind.itemsize
-        begin = np.zeros(len(parts), np.int64)
-        np.cumsum(size[:-1], out=begin[1:])
-        each = size[back]
+            self._remember(h[new], check[new], [learnt[x] for x in word])
+        spot = np.searchsorted(self.hash, h)
+        begin, each = self.begin[spot][back], self.size[spot][back]
         stop = np.zeros(len(each) + 1, np.int64)
         np.cumsum(each, out=stop[1:])
-        ids = flat[np.repeat(begin[back] - stop[:-1], each) + np.arange(stop[-1])] if len(each) else flat
+        ids = self.flat[np.repeat(begin - stop[:-1], each) + np.arange(stop[-1])]
         return np.split(ids, stop[w.first[1:-1]])
 
 
@@ -315,7 +343,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, shard_byt
     else:
         tagged = tagged.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             tag, "shard int, doc_id long, text string")
-    rows = (tagged.repartition(int(shards), "shard").sortWithinPartitions("shard", "doc_id", "text")
+    # a partition a shard, so that no two meet in a task
+    rows = (tagged.repartitionById(int(shards), "shard").sortWithinPartitions("shard", "doc_id", "text")
             .mapInArrow(_build(tokenizer, end_id), SCHEMA))
     (rows.withColumn("file", F.col("shard")).write.mode("overwrite").option("compression", "zstd")
      .partitionBy("file").parquet(path))

@@ -456,3 +456,39 @@ def test_files_edges(spark, docs_of, tmp_path):
     wavelet.write(docs_of(["b", "a", "a"], ids=[None, 3, 3]), str(tmp_path / "b"), TOKENIZER)
     got = wavelet.documents(spark, str(tmp_path / "b")).orderBy("start").collect()
     assert [(r.doc_id, r.start) for r in got] == [(None, 0), (3, 2), (3, 4)]
+
+
+def _changed_tokenizer(tmp_path, **parts):
+    import json
+
+    with open(TOKENIZER) as f:
+        whole = json.load(f)
+    path = str(tmp_path / f"{'-'.join(parts)}.json")
+    with open(path, "w") as f:
+        json.dump(whole | parts, f)
+    return path
+
+
+@pytest.mark.parametrize("parts", [{"normalizer": None}, {"pre_tokenizer": None}, {"normalizer": None, "pre_tokenizer": None}])
+def test_other_tokenizers_give_the_librarys_ids(tmp_path, parts):
+    """A tokenizer that keeps case, or that does not part words at white space."""
+    from tokenizers import Tokenizer
+
+    path = _changed_tokenizer(tmp_path, **parts)
+    texts = ["Hello hello HELLO World", "the cat  sat\ton The mat.", "", " x ", "É é, Straße STRASSE 12 a-b", "Hello hello"]
+    data, off = X.string_buffers(pa.array(texts))
+    got = wavelet.Encoder(path)(data, off)
+    want = Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)
+    assert [g.tolist() for g in got] == [w.ids for w in want]
+
+
+def test_remembered_words_are_the_same_words(monkeypatch):
+    rng = random.Random(2)
+    words = [f"{rng.choice('abcXYZ')}{k}{rng.choice('.,é')}" for k in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(60)]
+    data, off = X.string_buffers(pa.array(texts))
+    whole = wavelet.Encoder(TOKENIZER)(data, off)
+    monkeypatch.setattr(wavelet, "CACHED_WORDS", 50)
+    few = wavelet.Encoder(TOKENIZER)
+    parts = [x for k in range(0, 60, 3) for x in few(data[off[k]:off[k + 3]], off[k:k + 4] - off[k])]
+    assert all((a == b).all() for a, b in zip(whole, parts)) and len(few.hash) <= 50 + 120
