@@ -112,7 +112,10 @@ def count_pairs(h1: np.ndarray, h2: np.ndarray, column: np.ndarray, is_pk: np.nd
     at = _ranges(start, size)
     head = np.cumsum(size) - size
     sign = [np.add.reduceat(_mixed(column[at], k), head) for k in (1, 2)]
-    _, one, times = np.unique(np.stack(sign), axis=1, return_index=True, return_counts=True)
+    order = np.argsort(sign[0], kind="stable")
+    differs = np.concatenate(([True], np.any([x[order][1:] != x[order][:-1] for x in sign], axis=0)))
+    one = order[differs]
+    times = np.diff(np.append(np.flatnonzero(differs), len(order)))
     start, size, n_pk = start[one], size[one], n_pk[one]
     at = _ranges(start, size)
     # FK columns first within each signature
@@ -136,8 +139,15 @@ def count_pairs(h1: np.ndarray, h2: np.ndarray, column: np.ndarray, is_pk: np.nd
         left = np.repeat(f[_ranges(f_head[some], n_fk[some])], n_pk[each])
         right = p[_ranges(p_head[each], n_pk[each])]
         weight = np.repeat(times[each], n_pk[each])
-        code, back = np.unique(left * len(pks) + right, return_inverse=True)
-        yield fks[code // len(pks)], pks[code % len(pks)], np.bincount(back, weights=weight).astype(np.int64)
+        code = left * len(pks) + right
+        if len(fks) * len(pks) <= CELLS:
+            total = np.bincount(code, weights=weight, minlength=len(fks) * len(pks))
+            code = np.flatnonzero(total)
+            total = total[code]
+        else:
+            code, back = np.unique(code, return_inverse=True)
+            total = np.bincount(back, weights=weight)
+        yield fks[code // len(pks)], pks[code % len(pks)], total.astype(np.int64)
 
     if not len(hot):
         return
