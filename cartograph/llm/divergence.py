@@ -37,7 +37,7 @@ from . import common as C
 
 #: Entries of counters that a task holds before it hands them on, and counts of a block of terms.
 HELD_TERMS = 400_000
-BLOCK_COUNTS = 1_000_000
+BLOCK_COUNTS = 100_000
 CELLS = 1 << 20
 
 _KIND = "lang string, source string, part string, item string, value long, rank int"
