@@ -181,10 +181,10 @@ def test_partial_overlaps_are_summed_over_fragments(docs_of, monkeypatch):
     table[:] = 9
     assert set(ngram_join.fragment_of(X.shingles(grams, 3), table, 9).tolist()) == {8}
     results = []
-    for fragments in (1, 4, 9):
+    for fragments in (1, 9):
         monkeypatch.setattr(ngram_join, "FRAGMENTS", fragments)
         results.append(sorted(map(tuple, ngram_join.join(docs_of(texts), 3, 80).collect())))
-    assert results[0] == results[1] == results[2] and len({r[2] for r in results[0]}) > 1
+    assert results[0] == results[1] and len({r[2] for r in results[0]}) > 1
     assert any(r[3] not in (0, len(texts) - 1) for r in results[0])
 
 
