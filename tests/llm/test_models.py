@@ -104,7 +104,7 @@ def test_ctw_equals_the_tree_by_hand(docs_of):
     got = {r.doc_id: r for r in ctw.score(docs_of(texts), F.col("doc_id") < 6).collect()}
     n, odds = _tree_by_hand([t or "" for t in texts[:6]])
     for i, t in enumerate(texts):
-        assert got[i].score == pytest.approx(_score_by_hand(n, odds, t or ""), rel=0.02, abs=0.05)
+        assert got[i].score == pytest.approx(_score_by_hand(n, odds, t or ""), rel=1e-9)
     c = Counter(w for t in texts[:6] for w in (t or "").lower().split())
     total, kinds = sum(c.values()) + 6, len(c) + 1
     for i, t in enumerate(texts):
@@ -114,14 +114,41 @@ def test_ctw_equals_the_tree_by_hand(docs_of):
         assert got[i].base_score == pytest.approx(want)
 
 
-def test_ctw_is_a_distribution_and_ignores_hot_words(docs_of):
+def test_ctw_is_a_distribution_whatever_is_hot(docs_of, monkeypatch):
     docs = docs_of(["the cat sat on the mat", "the dog sat", "a dog and a cat"] * 3)
-    m, _ = ctw.train(docs)
-    for c in (b"\xff\xff\xff th", b"xxxxx", b" a do"):
-        g = np.uint64(int.from_bytes(c, "big")) << np.uint64(8) | np.arange(256, dtype=np.uint64)
-        assert (10 ** ctw.log10_of(m, g)).sum() == pytest.approx(1)
-    few, words = ctw.train(docs, hot_words=2)
-    assert len(few.hot) == 2 and words.count() == 8
+    scratch = common.Scratch(docs.sparkSession, "ctw-test")
+    want = {r.gram: r.lp for r in ctw.train(docs, F.lit(True), scratch)[2].collect()}
+    counts = docs.select("text", F.lit(True).alias("learn")).mapInArrow(ctw._count, ctw.COUNTS).where(f"kind = {ctw.GRAM}")
+    asked = [(int.from_bytes(c, "big") << 8 | b, 1, 0)
+             for c in (b"\xff\xff\xff th", b"xxxxx", b" a do") for b in range(256)]
+    asked = [(g & (1 << 48) - 1, n, m) for g, n, m in asked]
+    both = (counts.select(F.col("key").alias("gram"), "n", "m")
+            .union(docs.sparkSession.createDataFrame(asked, "gram long, n long, m long"))
+            .groupBy("gram").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
+    got = {r.gram: r.lp for r in ctw.values(both, scratch).collect()}
+    for k in range(3):
+        assert sum(10 ** got[g] for g, _, _ in asked[256 * k:256 * k + 256]) == pytest.approx(1)
+    assert all(got[g] == pytest.approx(v) for g, v in want.items())
+    few, words, _ = ctw.train(docs, F.lit(True), scratch, hot_words=2, hot_grams=10)
+    assert len(few.hot) <= 2 and len(few.gram) <= 10 and words.count() == 8
+    every = {r.doc_id: r.score for r in ctw.score(docs, F.lit(True)).collect()}
+    monkeypatch.setattr(ctw.train, "__defaults__", (2, 10))
+    monkeypatch.setattr(ctw, "BLOCK", 1)
+    cold = {r.doc_id: r.score for r in ctw.score(docs, F.lit(True)).collect()}
+    assert cold == pytest.approx(every)
+    scratch.drop()
+
+
+def test_ctw_long_and_repeated_texts(docs_of):
+    rng = random.Random(9)
+    long = " ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(60_000))
+    texts = [long, "alpha beta", "alpha beta", "", None, "omega"]
+    got = sorted(((r.doc_id, r.n_tokens, r.score) for r in
+                  ctw.score(docs_of(texts, ids=[1, 2, 2, 3, 4, None]), F.coalesce(F.col("doc_id"), F.lit(0)) < 4).collect()),
+                 key=lambda x: (x[0] is None, x[0]))
+    assert [x[:2] for x in got] == [(1, 60_001), (2, 3), (2, 3), (3, 1), (4, 1), (None, 2)]
+    assert got[1][2] == got[2][2] and got[3][2] == got[4][2]
+    assert -got[0][2] / math.log10(2) / len(long) < 0.5     # two bits a word of about six bytes
 
 
 def test_ctw_edges(docs_of):
