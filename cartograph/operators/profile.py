@@ -18,16 +18,26 @@ from .. import plan_utils as pu
 from ..functions.rounding import py_round
 from ..functions.semantic_type import semantic_type
 from ..sources.base import orderable, quoted, type_class
+from ..sources.files import read_footers
 from . import values as V
 
 #: Relative error of estimated distinct counts.
 SKETCH_ERROR = 0.02
 
 
-def typed_stats(estate, datasets=None, sketched: frozenset = frozenset()) -> DataFrame | None:
+#: What :func:`typed_stats` can tell of a column, and the columns of :func:`basics` that say it.
+TOLD = {"counts": ("null_count", "null_rate"), "range": ("min_value", "max_value", "min_num", "max_num"),
+        "mean": ("mean_value",)}
+STATISTICS = frozenset(TOLD)
+
+
+def typed_stats(estate, datasets=None, sketched: frozenset = frozenset(),
+                needs: frozenset = STATISTICS) -> DataFrame | None:
     """(dataset_id, ordinal, rows, known, min_value, max_value, min_num, max_num,
     mean_raw, approx_distinct) of every column: its rows and those without null, and
-    its values compared in their own type and printed afterwards. The distinct count is estimated for the datasets of ``sketched``."""
+    its values compared in their own type and printed afterwards. The distinct count is
+    estimated for the datasets of ``sketched``. What ``needs`` does not name is null, and
+    a column that nothing is asked of is not read."""
     frames = []
     for scan in estate.scans(datasets):
         aggs, items = [], []
@@ -38,22 +48,27 @@ def typed_stats(estate, datasets=None, sketched: frozenset = frozenset()) -> Dat
                 c = c + F.lit(0.0).cast(dt)     # -0.0 is 0.0
             numeric = isinstance(dt, T.NumericType)
             text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
-            if orderable(dt) and not isinstance(dt, T.NullType):
+            if "range" in needs and orderable(dt) and not isinstance(dt, T.NullType):
                 aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
                 least, most = (V.printed(F.col(f"{x}{i}"), dt) for x in ("lo", "hi"))
             else:
                 least = most = text
-            if numeric:
+            low = high = mean = number
+            if numeric and "range" in needs:
+                low, high = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi"))
+            if numeric and "mean" in needs:
                 aggs.append(F.avg(c.cast("double")).alias(f"mean{i}"))
-                low, high, mean = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi", "mean"))
-            else:
-                low = high = mean = number
+                mean = F.col(f"mean{i}").cast("double")
             approx = F.lit(None).cast("long")
             if estimate and type_class(dt) != "nested":
                 aggs.append(F.approx_count_distinct(c, SKETCH_ERROR).alias(f"apx{i}"))
                 approx = F.col(f"apx{i}")
-            aggs.append(F.count(c).alias(f"n{i}"))
-            items.append(F.struct(F.lit(i).alias("ordinal"), F.col("rows"), F.col(f"n{i}").alias("known"), least.alias("min_value"), most.alias("max_value"),
+            known = F.lit(None).cast("long")
+            if "counts" in needs:
+                aggs.append(F.count(c).alias(f"n{i}"))
+                known = F.col(f"n{i}")
+            items.append(F.struct(F.lit(i).alias("ordinal"), F.col("rows"), known.alias("known"),
+                                  least.alias("min_value"), most.alias("max_value"),
                                   low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw"),
                                   approx.alias("approx_distinct")))
         aggs = [F.count(F.lit(1)).alias("rows"), *aggs]
@@ -69,6 +84,20 @@ TYPED_SCHEMA = ("dataset_id int, ordinal int, rows long, known long, min_value s
                 "min_num double, max_num double, mean_raw double, approx_distinct long")
 
 
+def footer_counts(estate, datasets) -> DataFrame | None:
+    """(dataset_id, ordinal, rows, known) of flat Parquet files from their footers: an
+    aggregate that Spark pushes into the scan, so that no page of data is read. Its
+    action fails where a footer lacks the number of nulls."""
+    frames = []
+    for ds in datasets:
+        names = [quoted(f.name) for f in ds.schema.fields]
+        row = read_footers(estate.spark, ds).agg(F.count(F.lit(1)).alias("rows"),
+                                                 *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)])
+        items = [F.struct(F.lit(i).alias("ordinal"), F.col("rows"), F.col(f"n{i}").alias("known")) for i in range(len(names))]
+        frames.append(row.select(F.lit(ds.dataset_id).alias("dataset_id"), F.inline(F.array(*items))))
+    return reduce(DataFrame.unionAll, frames) if frames else None
+
+
 def _null_rate(nulls, rows):
     return F.coalesce(py_round(nulls / F.nullif(rows, F.lit(0)), 4), F.lit(0.0))
 

@@ -23,6 +23,7 @@ from ..operators import cardinality as D
 from ..operators import profile as P
 from ..operators import relate as R
 from ..operators import values as V
+from ..sources.files import has_plain_footer
 
 
 class Analysis:
@@ -45,10 +46,11 @@ class Analysis:
         ds = self.estate.datasets
         return [ds[i:i + n] for i in range(0, len(ds), n)] or [[]]
 
-    def _batched(self, build, name: str) -> DataFrame | None:
+    def _batched(self, build, name: str, rest: bool = False) -> DataFrame | None:
         """``build(datasets)`` for each batch of datasets, written batch by batch. A
         batch that fails is tried again in halves, down to the dataset that cannot be
-        read: that one is left out of the estate and noted, what has been written stays."""
+        read: that one is left out of the estate and noted, what has been written stays.
+        ``rest``: other datasets have been read already."""
         if not self.materialize:
             built = [df for df in map(build, self._batches()) if df is not None]
             return reduce(DataFrame.unionByName, built) if built else None
@@ -62,7 +64,7 @@ class Analysis:
             done, bad = pu.isolated(batch, attempt)
             frames += [df for _, df in done if df is not None]
             lost += bad
-        if lost and not frames:
+        if lost and not frames and not rest:
             raise RuntimeError(f"no dataset could be read: {lost[0][1]}")
         if lost:
             with self._lock:
@@ -125,6 +127,40 @@ class Analysis:
         """Rows, nulls, least, greatest and mean values, without any shuffle of values."""
         return P.basics(self.estate, self.typed_stats)
 
+    def statistics(self, *needs: str) -> DataFrame:
+        """Those columns of ``basics`` that ``needs`` (of ``P.STATISTICS``) names; table
+        columns that tell nothing of it are not read. Counts alone come from the footers
+        where these can be trusted."""
+        typed = self.null_counts if needs == ("counts",) else self._batched(
+            lambda b: P.typed_stats(self.estate, b, needs=frozenset(needs)), "statistics")
+        left_out = [c for need, columns in P.TOLD.items() if need not in needs for c in columns]
+        return P.basics(self.estate, typed).drop(*left_out)
+
+    @cached_property
+    def null_counts(self) -> DataFrame | None:
+        """Rows and known values of every column: from the footers of flat Parquet files,
+        from a scan for all else and for files whose footers do not tell."""
+        sampled = self.options.sample_rows
+        plain = [ds for ds in self.estate.datasets if self.materialize and not sampled and has_plain_footer(ds)]
+        done = []
+        n = max(1, self.options.datasets_per_plan)
+        for i in range(0, len(plain), n):
+            told, _ = pu.isolated(plain[i:i + n], lambda some: pu.materialize(
+                P.footer_counts(self.estate, some), self.spark, self.run_id, "footers"))
+            done += told
+        have = {ds.dataset_id for some, _ in done for ds in some}
+        scanned = self._batched(lambda b: P.typed_stats(
+            self.estate, [ds for ds in b if ds.dataset_id not in have], needs=frozenset({"counts"})), "counts",
+            rest=bool(have)) if len(have) < len(self.estate.datasets) else None
+        frames = [df for _, df in done]
+        if scanned is not None:
+            frames.append(scanned.select("dataset_id", "ordinal", "rows", "known"))
+        if not frames:
+            return None
+        both = reduce(DataFrame.unionByName, frames)
+        empty = {"min_value": "string", "max_value": "string", "min_num": "double", "max_num": "double", "mean_raw": "double"}
+        return both.select("*", *[F.lit(None).cast(t).alias(c) for c, t in empty.items()])
+
     @cached_property
     def cardinalities(self) -> DataFrame:
         """Rows and exact distinct counts of every column, without its values."""

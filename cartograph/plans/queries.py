@@ -91,8 +91,8 @@ def _profiles(spark, folder, options=KEY_DISCOVERY):
 
 
 def profile_nulls(spark, folder):
-    return _analysis(spark, folder).basics.select("table_name", "column_name", "total_rows",
-                                                  "null_count", "null_rate")
+    return _analysis(spark, folder).statistics("counts").select("table_name", "column_name", "total_rows",
+                                                                "null_count", "null_rate")
 
 
 def profile_cardinality(spark, folder):
@@ -101,12 +101,12 @@ def profile_cardinality(spark, folder):
 
 
 def profile_min_max(spark, folder):
-    return _analysis(spark, folder).basics.select("table_name", "column_name", "min_value",
-                                                  "max_value", "min_num", "max_num")
+    return _analysis(spark, folder).statistics("range").select("table_name", "column_name", "min_value",
+                                                               "max_value", "min_num", "max_num")
 
 
 def profile_mean(spark, folder):
-    return (_analysis(spark, folder).basics.filter(F.col("type_class") == "numeric")
+    return (_analysis(spark, folder).statistics("mean").filter(F.col("type_class") == "numeric")
             .select("table_name", "column_name", "mean_value"))
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import posixpath
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import plan_utils as pu
-from .base import Dataset
+from .base import Dataset, type_class
 
 FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json"}
 
@@ -68,6 +69,32 @@ def read_dataset(spark: SparkSession, ds: Dataset) -> DataFrame:
     return _read(spark, ds.format, ds.reader["paths"], ds.schema, ds.reader.get("base"))
 
 
+def has_plain_footer(ds: Dataset) -> bool:
+    """Whether the counts in a dataset's Parquet footers can stand for a scan: one file,
+    whose own footer gave the schema, without nested columns. Spark finds a column's
+    statistics by its place in the schema, so that files with their columns in another
+    order, or nested columns before it, would give another column's."""
+    return (ds.source_type == "volume" and ds.format == "parquet" and len(ds.reader["paths"]) == 1
+            and not ds.reader.get("base") and bool(ds.schema.fields)
+            and not any(isinstance(f.dataType, T.NullType) or type_class(f.dataType) == "nested" for f in ds.schema.fields))
+
+
+def read_footers(spark: SparkSession, ds: Dataset) -> DataFrame:
+    """The dataset in a session of the same context whose Parquet scans answer ungrouped
+    counts from the footers; the caller's settings stay as they are."""
+    if (other := _footer_sessions.get(spark)) is None:
+        other = _footer_sessions[spark] = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return _read(other, "parquet", ds.reader["paths"], ds.schema)
+
+
+_footer_sessions: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def table_folder(path: str) -> str | None:
     """The folder above the first ``column=value`` folder of a path."""
     parts = path.split("/")
