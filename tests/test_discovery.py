@@ -54,3 +54,10 @@ def test_csv_copies_of_files_of_the_same_name(spark, tmp_path):
     found = Q.discover_csv(spark, _folder_parts(spark, tmp_path)).collect()
     assert sorted(tuple(r) for r in found) == [("part-0", "csv", 2, 2), ("part-0", "csv", 2, 3),
                                                ("part-1", "csv", 3, 2), ("part-1", "csv", 3, 3)]
+
+
+def test_json_copies_of_files_of_the_same_name(spark, tmp_path):
+    from cartograph.plans import queries as Q
+    found = Q.discover_json(spark, _folder_parts(spark, tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == [("part-0", "json", 2, 2), ("part-0", "json", 2, 3),
+                                               ("part-1", "json", 3, 2), ("part-1", "json", 3, 3)]
