@@ -6,8 +6,8 @@ have. A term's share in a group is p = 1 + floor(10**9 * (count + 2) / (N + 2V))
 N the group's occurrences of kept terms and V the number of kept terms; two
 shares differ by f = floor((p - q)**2 / (p + q)).
 
-*Counting.* Tasks count the terms of many texts before anything is shuffled; the
-counts are then dealt by (lang, term), which also decides what is kept, so that
+*Counting.* Tasks count the terms of many texts, by codes and one sort of these,
+before anything is shuffled; the counts are then dealt by (lang, term), which also decides what is kept, so that
 a frequent term is a row a task and no group of documents is brought together.
 
 *Terms that stand out.* f depends on a term only through its counts in the group
@@ -23,20 +23,21 @@ sources cell by cell, and blocks are summed per pair. Nothing is joined all with
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import plan_utils as pu
 from . import common as C
 
-#: Entries of counters that a task holds before it hands them on, and counts of a block of terms.
-HELD_TERMS = 400_000
+#: Terms that a task counts at a time (by the bytes of their texts), and counts of a block of terms.
+HELD_TERMS = 2_800_000
+TERM_BYTES = 6
 BLOCK_COUNTS = 100_000
 CELLS = 1 << 20
 
@@ -46,39 +47,58 @@ _KIND = "lang string, source string, part string, item string, value long, rank
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def terms(text: bytes) -> list[bytes]:
-    return text.translate(_TABLE).split()
+def _split(texts: pa.Array) -> pa.ListArray:
+    """The terms of each text, and empty strings at the ends of some."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = memoryview(texts.buffers()[2])[at[0]:at[-1]].tobytes().translate(_TABLE)
+    return pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), pa.py_buffer(data)))
+
+
+def _sums(block: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) -> (lang, source, term, n, docs) of a block: its words as codes
+    of (group, term, document), sorted once."""
+    lang, source, text = (block.column(c).cast(pa.string()) for c in ("lang", "source", "text"))
+    lists = _split(text)
+    words = lists.flatten().dictionary_encode()
+    term, kinds = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+    doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    empty = words.dictionary.index("").as_py()
+    if empty >= 0:
+        doc, term = doc[term != empty], term[term != empty]
+    if not len(term):
+        return
+    langs, sources = lang.dictionary_encode(), source.dictionary_encode()
+    group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+    code = np.sort((group[doc] * kinds + term) * len(lists) + doc)
+    first = np.concatenate(([True], code[1:] != code[:-1]))
+    cell = code // len(lists)
+    start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    group, term = cell[start] // kinds, cell[start] % kinds
+    columns = [langs.dictionary.take(pa.array(group // len(sources.dictionary))),
+               sources.dictionary.take(pa.array(group % len(sources.dictionary))), words.dictionary.take(pa.array(term)),
+               pa.array(np.diff(np.append(start, len(code)))), pa.array(np.add.reduceat(first.astype(np.int64), start))]
+    yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, text) -> (lang, source, term, n, docs), summed over the texts of a task."""
-    held: dict[tuple, tuple[Counter, Counter]] = {}
-    size = 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            words = list(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(words), pa.string()), pa.array([source] * len(words), pa.string()),
-                 pa.array(words, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
-                 pa.array([docs[w] for w in words], pa.int64())], ["lang", "source", "term", "n", "docs"])
-
+    """(lang, source, text) -> (lang, source, term, n, docs), summed over blocks of texts of a task."""
+    held: list[pa.RecordBatch] = []
+    size, most = 0, HELD_TERMS * TERM_BYTES
     for batch in batches:
-        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(),
-                                      batch.column("text").cast(pa.binary())):
-            text = text.as_py()
-            if not text:
-                continue
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            found = terms(text)
-            size -= len(n)
-            n.update(found)
-            size += len(n)
-            docs.update(set(found))
-            if size > HELD_TERMS:
-                yield from out()
-                held, size = {}, 0
-    yield from out()
+        # the texts' bytes tell where a block ends
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most - size, side="right")))
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - before
+            at = to
+            if size >= most or at < len(ends):
+                yield from _sums(pa.concat_batches(held))
+                held, size = [], 0
+    if held:
+        yield from _sums(pa.concat_batches(held))
 
 
 def _share(count: Column, total: Column, kinds: Column) -> Column:

@@ -326,3 +326,23 @@ def test_quality_edges(docs_of, spark):
     assert len(rows) == 450 and all(0 <= r["score"] <= 1 for r in rows)
     empty = quality.score(both.union(spark.createDataFrame([(500, ""), (501, None)], both.schema)), labels).where("doc_id >= 500").collect()
     assert len({r["score"] for r in empty}) == 1
+
+
+def test_terms_are_counted_as_codes():
+    """Split, folded and counted by Arrow and one sort: the terms of a plain expression, and no Counter of strings."""
+    import re
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aAbZ éß 漢@[`{\x7f\x00\t\n.9") for _ in range(rng.randrange(1, 60))) for _ in range(300)]
+    rows = [(rng.choice(["", "l"]), rng.choice("st"), t) for t in texts] + [("l", "s", " . "), ("l", "s", "漢" * 500)]
+    n, docs = Counter(), Counter()
+    for lang, source, text in rows:
+        found = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)]
+        n.update((lang, source, t) for t in found)
+        docs.update((lang, source, t) for t in set(found))
+    batch = pa.RecordBatch.from_pydict(dict(zip(("lang", "source", "text"), map(list, zip(*rows)))))
+    for pieces in ([batch], [batch.slice(0, 7), batch.slice(7)], [batch.slice(k, 1) for k in range(len(rows))]):
+        got = pa.Table.from_batches(divergence._count(iter(pieces))).to_pylist()
+        assert len(got) == len(n)      # texts of several batches are summed
+        assert {(r["lang"], r["source"], r["term"]): (r["n"], r["docs"]) for r in got} == {k: (n[k], docs[k]) for k in n}
+    assert not hasattr(divergence, "Counter")
