@@ -1,9 +1,10 @@
 """The frequency table ``column_values``: one row per (dataset, column, value).
 
-Every column of every dataset is cast to a string, un-pivoted (an ``Expand``
-node, no array per row) and counted with one ``groupBy``: a map-side partial
-aggregate collapses repeated values before the shuffle, so a value that
-fills a third of a table costs one row per task. Distinct counts, the top
+Every column of every dataset is un-pivoted (an ``Expand`` node, no array per
+row) and counted with one ``groupBy``: a map-side partial aggregate collapses
+repeated values before the shuffle, so a value that fills a third of a table
+costs one row per task. Numbers, days and instants are grouped as such and
+printed afterwards, once a distinct value. Distinct counts, the top
 values, sample values and the FK/PK overlap all derive from this one table.
 
 Long values (over ``max_value_chars``) are grouped by a prefix plus their
@@ -48,12 +49,16 @@ def printed(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.StringType):
         return c
     if isinstance(dt, T.TimestampType):
-        seconds = F.unix_micros(c).cast("decimal(26,6)") / F.lit(1_000_000).cast("decimal(7,0)")
-        return (F.lit("1970-01-01").cast("timestamp_ntz")
-                + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
+        return _printed_micros(F.unix_micros(c))
     return c.cast("string")
 
 
+def _printed_micros(micros: Column) -> Column:
+    seconds = micros.cast("decimal(26,6)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return (F.lit("1970-01-01").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
+
+
 def value_key(s: Column, field: T.StructField, max_chars: int | None) -> Column:
     """The grouping key of a value that prints as ``s``."""
     digested = lambda what, n: F.concat(
@@ -80,6 +85,50 @@ def _long_pairs(df: DataFrame, ident: Column, fields, expr) -> DataFrame:
                        "value")
 
 
+#: How values are grouped; the printed form of each is one-to-one with what is grouped.
+TEXT, WHOLE, DAY, INSTANT, DOUBLE, FLOAT = range(6)
+KINDS = 8
+
+
+def grouped_as(field: T.StructField, max_chars: int | None) -> tuple[int, Column]:
+    """The kind of a field's values and the number or text they are grouped by."""
+    c, dt = F.col(quoted(field.name)), field.dataType
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return WHOLE, c.cast("long")
+    if isinstance(dt, T.DateType):
+        return DAY, F.unix_date(c).cast("long")
+    if isinstance(dt, T.TimestampType):
+        return INSTANT, F.unix_micros(c)
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return (DOUBLE if isinstance(dt, T.DoubleType) else FLOAT), c.cast("double")
+    return TEXT, value_key(value_string(field), field, max_chars)
+
+
+def _typed_pairs(df: DataFrame, ident: Column, fields, max_chars: int | None) -> DataFrame:
+    """Un-pivot every column to (dataset_id, code, whole, fraction, text): the code tells
+    the ordinal and the kind, the value stands in one of the other three, unprinted."""
+    columns = [ident.alias("__id"), F.lit(None).cast("long").alias("l"), F.lit(None).cast("double").alias("d"),
+               F.lit(None).cast("string").alias("t")]
+    places = []
+    for i, f in fields:
+        kind, value = grouped_as(f, max_chars)
+        columns += [F.lit(i * KINDS + kind).alias(f"c{i}"), value.alias(f"v{i}")]
+        at = 2 if kind == TEXT else 1 if kind in (DOUBLE, FLOAT) else 0
+        places.append(f"(c{i}, " + ", ".join(f"v{i}" if k == at else empty for k, empty in enumerate("ldt")) + ")")
+    return df.sparkSession.sql(
+        "SELECT __id AS dataset_id, code, whole, fraction, text FROM {wide} UNPIVOT INCLUDE NULLS "
+        f"((code, whole, fraction, text) FOR place IN ({', '.join(places)}))", wide=df.select(*columns))
+
+
+def _printed_key() -> Column:
+    """The key of a grouped value of :func:`_typed_pairs`."""
+    kind, whole, fraction = F.col("code") % KINDS, F.col("whole"), F.col("fraction") + F.lit(0.0)
+    return (F.when(kind == TEXT, F.col("text")).when(kind == WHOLE, whole.cast("string"))
+            .when(kind == DAY, F.date_from_unix_date(whole.cast("int")).cast("string"))
+            .when(kind == INSTANT, _printed_micros(whole))
+            .when(kind == DOUBLE, fraction.cast("string")).otherwise(fraction.cast("float").cast("string")))
+
+
 def spread(estate, scan) -> DataFrame:
     """With the ``spread_min_rows`` option, a dataset of as many rows (one
     unsplittable file, a single-connection read) is dealt round-robin to the
@@ -99,13 +148,16 @@ def column_values(estate, max_chars: int | None = 128, datasets=None, unique: fr
         fields = list(enumerate(scan.fields))
         once = [(i, f) for i, f in fields if scan.single and (scan.single.dataset_id, i) in unique]
         df = spread(estate, scan)
-        for some, frames in (([x for x in fields if x not in once], grouped), (once, single)):
-            if some:
-                frames.append(_long_pairs(df, scan.ident, some,
-                                          lambda f: value_key(value_string(f), f, max_chars)))
+        if rest := [x for x in fields if x not in once]:
+            grouped.append(_typed_pairs(df, scan.ident, rest, max_chars))
+        if once:
+            single.append(_long_pairs(df, scan.ident, once, lambda f: value_key(value_string(f), f, max_chars)))
     empty = estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
-    out = reduce(DataFrame.unionAll, grouped).withColumnRenamed("value", "key").groupBy("dataset_id", "ordinal", "key").agg(
-        F.count(F.lit(1)).alias("n")) if grouped else empty
+    # numbers, days and instants are grouped as such: only distinct values are printed
+    out = (reduce(DataFrame.unionAll, grouped).groupBy("dataset_id", "code", "whole", "fraction", "text")
+           .agg(F.count(F.lit(1)).alias("n"))
+           .select("dataset_id", F.expr(f"code div {KINDS}").cast("int").alias("ordinal"), _printed_key().alias("key"), "n")
+           if grouped else empty)
     if single:
         out = out.unionAll(reduce(DataFrame.unionAll, single).select("dataset_id", "ordinal", "value", F.lit(1).cast("long")))
     return out

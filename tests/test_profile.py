@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -110,3 +111,42 @@ def test_batched_plans_same_profiles(spark):
     many = Analysis(discover(spark, "/root/testdata/sf0.001",
                              options=Options(datasets_per_plan=3))).profiles.select(*cols)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+
+
+def _typed_frame(spark):
+    return spark.sql("""
+        SELECT CAST(b AS tinyint) b, CAST(l AS bigint) l, CAST(d AS double) d, CAST(f AS float) f, CAST(day AS date) day,
+               CAST(at AS timestamp) at, s
+        FROM VALUES (1, 7, '-0.0', '0.1', '2024-02-29', '2024-02-29 01:02:03.000004', '7'),
+                    (1, 7, '0.0', '0.1', '1969-12-31', '1969-12-31 23:59:59.5', ''),
+                    (-1, -9223372036854775808, 'NaN', '16777216', '2024-02-29', '2024-02-29 01:02:03.000004', null),
+                    (null, null, null, null, null, null, 'x'),
+                    (2, 1, '1e300', 'Infinity', '0001-01-01', '1900-01-01 00:00:00', 'x') t(b, l, d, f, day, at, s)""")
+
+
+def test_values_are_printed_after_the_grouping(spark):
+    from cartograph.operators import values as V
+    from cartograph.sources.discovery import discover_frames
+    df = _typed_frame(spark)
+    est = discover_frames(spark, {"t": df})
+    found = V.column_values(est, 128)
+    got = {(r.ordinal, r.key): r.n for r in found.collect()}
+    want = Counter()
+    for i, f in enumerate(df.schema.fields):
+        want.update((i, r[0]) for r in df.select(V.value_key(V.value_string(f), f, 128)).collect())
+    assert got == dict(want)
+    below = found.drop("s")._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "as string" not in below.replace("null as string", "")
+
+
+def test_numbers_are_compared_apart_from_texts(spark):
+    from cartograph.operators import profile as P
+    from cartograph.sources.discovery import discover_frames
+    est = discover_frames(spark, {"t": spark.range(9).selectExpr("id", "id / 2 AS half", "string(id) AS s")})
+    typed = P.typed_stats(est)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    sorted_ones = [line for line in plan.splitlines() if "SortAggregate" in line]
+    assert sorted_ones and not any("id#" in line.split("functions=")[1].replace("min(s", "") and "half" in line for line in sorted_ones)
+    assert "HashAggregate" in plan
+    rows = {r.ordinal: (r.rows, r.known, r.min_value, r.max_value, r.mean_raw) for r in typed.collect()}
+    assert rows == {0: (9, 9, "0", "8", 4.0), 1: (9, 9, "0.0", "4.0", 2.0), 2: (9, 9, "0", "8", None)}
