@@ -40,46 +40,56 @@ def typed_stats(estate, datasets=None, sketched: frozenset = frozenset(),
     a column that nothing is asked of is not read."""
     frames = []
     for scan in estate.scans(datasets):
-        aggs, items = [], []
-        estimate = any(ds.dataset_id in sketched for ds in scan.datasets)
-        for i, f in enumerate(scan.fields):
-            c, dt = F.col(quoted(f.name)), f.dataType
-            if isinstance(dt, (T.FloatType, T.DoubleType)):
-                c = c + F.lit(0.0).cast(dt)     # -0.0 is 0.0
-            numeric = isinstance(dt, T.NumericType)
-            text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
-            if "range" in needs and orderable(dt) and not isinstance(dt, T.NullType):
-                aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-                least, most = (V.printed(F.col(f"{x}{i}"), dt) for x in ("lo", "hi"))
-            else:
-                least = most = text
-            low = high = mean = number
-            if numeric and "range" in needs:
-                low, high = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi"))
-            if numeric and "mean" in needs:
-                aggs.append(F.avg(c.cast("double")).alias(f"mean{i}"))
-                mean = F.col(f"mean{i}").cast("double")
-            approx = F.lit(None).cast("long")
-            if estimate and type_class(dt) != "nested":
-                aggs.append(F.approx_count_distinct(c, SKETCH_ERROR).alias(f"apx{i}"))
-                approx = F.col(f"apx{i}")
-            known = F.lit(None).cast("long")
-            if "counts" in needs:
-                aggs.append(F.count(c).alias(f"n{i}"))
-                known = F.col(f"n{i}")
-            items.append(F.struct(F.lit(i).alias("ordinal"), F.col("rows"), known.alias("known"),
-                                  least.alias("min_value"), most.alias("max_value"),
-                                  low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw"),
-                                  approx.alias("approx_distinct")))
-        aggs = [F.count(F.lit(1)).alias("rows"), *aggs]
-        if scan.single:
-            row = scan.frame.agg(*aggs).withColumn("__id", scan.ident)
-        else:
-            row = scan.frame.groupBy(scan.ident.alias("__id")).agg(*aggs)
-        frames.append(row.select(F.col("__id").alias("dataset_id"), F.inline(F.array(*items))))
+        fields = list(enumerate(scan.fields))
+        # least and greatest texts make Spark interpret a whole aggregate: they are one of their own
+        texts = [x for x in fields if isinstance(x[1].dataType, T.StringType)] if "range" in needs else []
+        for some in ([x for x in fields if x not in texts], texts):
+            if some:
+                frames.append(_typed_row(scan, some, sketched, needs))
     return reduce(DataFrame.unionAll, frames) if frames else None
 
 
+def _typed_row(scan, fields, sketched: frozenset, needs: frozenset) -> DataFrame:
+    """:func:`typed_stats` of some columns of a relation, by one aggregate."""
+    aggs, items = [], []
+    estimate = any(ds.dataset_id in sketched for ds in scan.datasets)
+    for i, f in fields:
+        c, dt = F.col(quoted(f.name)), f.dataType
+        if isinstance(dt, (T.FloatType, T.DoubleType)):
+            c = c + F.lit(0.0).cast(dt)     # -0.0 is 0.0
+        numeric = isinstance(dt, T.NumericType)
+        text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+        if "range" in needs and orderable(dt) and not isinstance(dt, T.NullType):
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            least, most = (V.printed(F.col(f"{x}{i}"), dt) for x in ("lo", "hi"))
+        else:
+            least = most = text
+        low = high = mean = number
+        if numeric and "range" in needs:
+            low, high = (F.col(f"{x}{i}").cast("double") for x in ("lo", "hi"))
+        if numeric and "mean" in needs:
+            aggs.append(F.avg(c.cast("double")).alias(f"mean{i}"))
+            mean = F.col(f"mean{i}").cast("double")
+        approx = F.lit(None).cast("long")
+        if estimate and type_class(dt) != "nested":
+            aggs.append(F.approx_count_distinct(c, SKETCH_ERROR).alias(f"apx{i}"))
+            approx = F.col(f"apx{i}")
+        known = F.lit(None).cast("long")
+        if "counts" in needs:
+            aggs.append(F.count(c).alias(f"n{i}"))
+            known = F.col(f"n{i}")
+        items.append(F.struct(F.lit(i).alias("ordinal"), F.col("rows"), known.alias("known"),
+                              least.alias("min_value"), most.alias("max_value"),
+                              low.alias("min_num"), high.alias("max_num"), mean.alias("mean_raw"),
+                              approx.alias("approx_distinct")))
+    aggs = [F.count(F.lit(1)).alias("rows"), *aggs]
+    if scan.single:
+        row = scan.frame.agg(*aggs).withColumn("__id", scan.ident)
+    else:
+        row = scan.frame.groupBy(scan.ident.alias("__id")).agg(*aggs)
+    return row.select(F.col("__id").alias("dataset_id"), F.inline(F.array(*items)))
+
+
 TYPED_SCHEMA = ("dataset_id int, ordinal int, rows long, known long, min_value string, max_value string, "
                 "min_num double, max_num double, mean_raw double, approx_distinct long")
 
