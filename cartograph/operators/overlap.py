@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows that a task counts at a time, cells of a matrix, pairs that are expanded at a time.
-ROWS = 1 << 20
-CELLS = 1 << 22
+ROWS = 1 << 18
+CELLS = 1 << 20
 #: A signature is hot if its pairs are more than this share of all pairs of columns.
 HOT = 1 / 200
 

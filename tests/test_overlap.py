@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cartograph import KEY_DISCOVERY, Analysis, Options, discover, discover_frames
@@ -199,3 +200,22 @@ def test_isolated_halves():
     done, lost = pu.isolated(list(range(64)), attempt)
     assert sum(r for _, r in done) == sum(range(64)) - 13 and lost == [(13, "ValueError: thirteen")]
     assert len(calls) <= 2 * 6 + 1 and pu.isolated([], attempt) == ([], [])
+
+
+def test_memory_of_a_block_is_bounded():
+    """The pair count of a task holds a bounded block, however many rows there are."""
+    import tracemalloc
+
+    def batches():
+        for k in range(100):
+            value = np.repeat(np.arange(k * 1000, (k + 1) * 1000), 10)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value), pa.array(value), pa.array(2 * np.tile(np.arange(10), 1000) + np.tile([0, 1], 5000))],
+                ["h1", "h2", "code"])
+
+    tracemalloc.start()
+    found = sum(sum(b.column("n").to_pylist()) for b in O._count(batches()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 100_000 * 25
+    assert peak < 60e6
