@@ -69,7 +69,13 @@ def _sums(block: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         return
     langs, sources = lang.dictionary_encode(), source.dictionary_encode()
     group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
-    code = np.sort((group[doc] * kinds + term) * len(lists) + doc)
+    code = group[doc]     # in place: a block's words are held a few times, not ten
+    code *= kinds
+    code += term
+    code *= len(lists)
+    code += doc
+    del doc, term
+    code.sort()
     first = np.concatenate(([True], code[1:] != code[:-1]))
     cell = code // len(lists)
     start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
