@@ -44,6 +44,8 @@ SHARED = 3         # grams meet by so many nearest bytes; the nodes of fewer are
 CACHE_BITS = 22    # slots that hold the hot grams
 BLOCK = 400_000    # grams that a task works on at a time, and then to the end of their group
 FLUSH = 2_000_000  # distinct keys a task holds before it hands partial counts on
+FRESH = 500_000    # keys beside the merged ones before they are merged
+ROWS_OUT = 100_000 # rows of a batch that a task hands on
 
 
 # ---- bytes in context -------------------------------------------------------
@@ -69,7 +71,7 @@ class Tally:
     def __init__(self) -> None:
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.held = 0
+        self.held = self.merged = 0
 
     def add(self, keys: np.ndarray) -> None:
         if not len(keys):
@@ -77,7 +79,7 @@ class Tally:
         u, c = np.unique(keys, return_counts=True)
         self.keys.append(u), self.counts.append(c)
         self.held += len(u)
-        if self.held > 2 * FLUSH:
+        if self.held - self.merged > FRESH:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +90,7 @@ class Tally:
         k, c = k[order], c[order]
         at = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
         self.keys, self.counts = [k[at]], [np.add.reduceat(c, at)]
-        self.held = len(at)
+        self.held = self.merged = len(at)
         return self.keys[0], self.counts[0]
 
 
@@ -107,15 +109,17 @@ def _rows_of(g: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.nda
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of a task: byte grams of all texts (n) and of those to learn
     from (m), and the latter's words and rows."""
+    _scorers.clear()    # a worker may still hold an earlier run's
     learnt, other, words = Tally(), Tally(), Tally()
     rows = 0
 
-    def out(t: Tally, kind: int, learn: bool) -> pa.RecordBatch:
-        k, c = t.merge()
+    def out(t: Tally, kind: int, learn: bool) -> Iterator[pa.RecordBatch]:
+        keys, counts = t.merge()
         t.__init__()
-        c = c.astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.astype(np.int64)),
-                                           pa.array(c), pa.array(c if learn else 0 * c)], ["kind", "key", "n", "m"])
+        for a in range(0, len(keys), ROWS_OUT):
+            k, c = keys[a:a + ROWS_OUT].astype(np.int64), counts[a:a + ROWS_OUT].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k),
+                                              pa.array(c), pa.array(c if learn else 0 * c)], ["kind", "key", "n", "m"])
 
     parts = ((learnt, GRAM, True), (other, GRAM, False), (words, WORD, True))
     for batch in batches:
@@ -129,10 +133,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             other.add(g[~mine[row]])
             words.add(w.hash[np.repeat(mine, np.diff(w.first))])
             for t, kind, of in parts:
-                if t.held > 2 * FLUSH or len(t.keys) == 1 and t.held > FLUSH:
-                    yield out(t, kind, of)
+                if len(t.keys) == 1 and t.held > FLUSH:
+                    yield from out(t, kind, of)
     for part in parts:
-        yield out(*part)
+        yield from out(*part)
     yield pa.RecordBatch.from_arrays([pa.array([ROWS], pa.int32()), pa.array([0], pa.int64()),
                                       pa.array([rows], pa.int64()), pa.array([rows], pa.int64())], ["kind", "key", "n", "m"])
 
