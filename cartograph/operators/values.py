@@ -104,29 +104,37 @@ def grouped_as(field: T.StructField, max_chars: int | None) -> tuple[int, Column
     return TEXT, value_key(value_string(field), field, max_chars)
 
 
-def _typed_pairs(df: DataFrame, ident: Column, fields, max_chars: int | None) -> DataFrame:
-    """Un-pivot every column to (dataset_id, code, whole, fraction, text): the code tells
-    the ordinal and the kind, the value stands in one of the other three, unprinted."""
-    columns = [ident.alias("__id"), F.lit(None).cast("long").alias("l"), F.lit(None).cast("double").alias("d"),
-               F.lit(None).cast("string").alias("t")]
-    places = []
+#: The column that a kind's values stand in, unprinted.
+PLACE = {TEXT: "text", DOUBLE: "fraction", FLOAT: "fraction"}
+PLACES = ("whole", "fraction", "text")
+
+
+def _typed_pairs(df: DataFrame, ident: Column, fields, max_chars: int | None) -> dict[str, DataFrame]:
+    """Un-pivot the columns to (dataset_id, code, value), apart for whole numbers, fractions and
+    texts: the code tells the ordinal and the kind, the value is unprinted."""
+    by_place: dict[str, list] = {}
     for i, f in fields:
         kind, value = grouped_as(f, max_chars)
-        columns += [F.lit(i * KINDS + kind).alias(f"c{i}"), value.alias(f"v{i}")]
-        at = 2 if kind == TEXT else 1 if kind in (DOUBLE, FLOAT) else 0
-        places.append(f"(c{i}, " + ", ".join(f"v{i}" if k == at else empty for k, empty in enumerate("ldt")) + ")")
-    return df.sparkSession.sql(
-        "SELECT __id AS dataset_id, code, whole, fraction, text FROM {wide} UNPIVOT INCLUDE NULLS "
-        f"((code, whole, fraction, text) FOR place IN ({', '.join(places)}))", wide=df.select(*columns))
+        by_place.setdefault(PLACE.get(kind, "whole"), []).append((i * KINDS + kind, value))
+    out = {}
+    for place, some in by_place.items():
+        columns = [x for code, value in some for x in (F.lit(code).alias(f"c{code}"), value.alias(f"v{code}"))]
+        pairs = ", ".join(f"(c{code}, v{code})" for code, _ in some)
+        out[place] = df.sparkSession.sql(
+            f"SELECT __id AS dataset_id, code, {place} FROM {{wide}} UNPIVOT INCLUDE NULLS "
+            f"((code, {place}) FOR place IN ({pairs}))", wide=df.select(ident.alias("__id"), *columns))
+    return out
 
 
-def _printed_key() -> Column:
+def _printed_key(place: str) -> Column:
     """The key of a grouped value of :func:`_typed_pairs`."""
     kind, whole, fraction = F.col("code") % KINDS, F.col("whole"), F.col("fraction") + F.lit(0.0)
-    return (F.when(kind == TEXT, F.col("text")).when(kind == WHOLE, whole.cast("string"))
-            .when(kind == DAY, F.date_from_unix_date(whole.cast("int")).cast("string"))
-            .when(kind == INSTANT, _printed_micros(whole))
-            .when(kind == DOUBLE, fraction.cast("string")).otherwise(fraction.cast("float").cast("string")))
+    if place == "text":
+        return F.col("text")
+    if place == "fraction":
+        return F.when(kind == DOUBLE, fraction.cast("string")).otherwise(fraction.cast("float").cast("string"))
+    return (F.when(kind == WHOLE, whole.cast("string"))
+            .when(kind == DAY, F.date_from_unix_date(whole.cast("int")).cast("string")).otherwise(_printed_micros(whole)))
 
 
 def spread(estate, scan) -> DataFrame:
@@ -143,24 +151,28 @@ def column_values(estate, max_chars: int | None = 128, datasets=None, unique: fr
     """(dataset_id, ordinal, key, n) for every column of every dataset. Columns
     of ``unique`` (dataset_id, ordinal) are known to hold no value twice: their
     rows are not grouped and do not go through the shuffle."""
-    grouped, single = [], []
+    grouped: dict[str, list[DataFrame]] = {place: [] for place in PLACES}
+    single = []
     for scan in estate.scans(datasets):
         fields = list(enumerate(scan.fields))
         once = [(i, f) for i, f in fields if scan.single and (scan.single.dataset_id, i) in unique]
         df = spread(estate, scan)
         if rest := [x for x in fields if x not in once]:
-            grouped.append(_typed_pairs(df, scan.ident, rest, max_chars))
+            for place, pairs in _typed_pairs(df, scan.ident, rest, max_chars).items():
+                grouped[place].append(pairs)
         if once:
             single.append(_long_pairs(df, scan.ident, once, lambda f: value_key(value_string(f), f, max_chars)))
-    empty = estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
-    # numbers, days and instants are grouped as such: only distinct values are printed
-    out = (reduce(DataFrame.unionAll, grouped).groupBy("dataset_id", "code", "whole", "fraction", "text")
-           .agg(F.count(F.lit(1)).alias("n"))
-           .select("dataset_id", F.expr(f"code div {KINDS}").cast("int").alias("ordinal"), _printed_key().alias("key"), "n")
-           if grouped else empty)
+    # numbers, days and instants are grouped as such and apart from texts: the keys of a group
+    # are as short as they can be, and only distinct values are printed
+    parts = [reduce(DataFrame.unionAll, frames).groupBy("dataset_id", "code", place).agg(F.count(F.lit(1)).alias("n"))
+             .select("dataset_id", F.expr(f"code div {KINDS}").cast("int").alias("ordinal"), _printed_key(place).alias("key"), "n")
+             for place, frames in grouped.items() if frames]
     if single:
-        out = out.unionAll(reduce(DataFrame.unionAll, single).select("dataset_id", "ordinal", "value", F.lit(1).cast("long")))
-    return out
+        parts.append(reduce(DataFrame.unionAll, single)
+                     .select("dataset_id", "ordinal", F.col("value").alias("key"), F.lit(1).cast("long").alias("n")))
+    if not parts:
+        return estate.spark.createDataFrame([], "dataset_id int, ordinal int, key string, n long")
+    return reduce(DataFrame.unionAll, parts)
 
 
 def long_values(estate, wanted: DataFrame, max_chars: int | None,

@@ -1,0 +1,45 @@
+"""The frequency table groups whole numbers, fractions and texts apart."""
+
+import datetime as dt
+import re
+from collections import Counter
+
+from cartograph.operators import values as V
+from cartograph.sources.discovery import discover_frames
+
+ROWS = [(1, 0.5, "a", dt.date(2020, 1, 2), True), (1, -0.0, "b", None, True), (2, 0.0, "a", dt.date(2020, 1, 2), None),
+        (None, None, None, dt.date(1999, 12, 31), False), (2, float("nan"), "", None, False)]
+WANT = {0: Counter({"1": 2, "2": 2, None: 1}), 1: Counter({"0.5": 1, "0.0": 2, "NaN": 1, None: 1}),
+        2: Counter({"a": 2, "b": 1, "": 1, None: 1}), 3: Counter({"2020-01-02": 2, "1999-12-31": 1, None: 2}),
+        4: Counter({"true": 2, "false": 2, None: 1})}
+
+
+def _frame(spark):
+    return spark.createDataFrame(ROWS, "i long, d double, s string, day date, flag boolean")
+
+
+def _found(table):
+    out = {}
+    for r in table.collect():
+        out.setdefault(r.ordinal, Counter())[r.key] += r.n
+    return out
+
+
+def test_groups_hold_one_sort_of_value(spark):
+    table = V.column_values(discover_frames(spark, {"t": _frame(spark)}))
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Aggregate \[(.*?)\]", plan)
+    assert len(keys) == 3
+    assert sorted(next(p for p in V.PLACES if p in k) for k in keys) == sorted(V.PLACES)
+    assert all(sum(p in k for p in V.PLACES) == 1 for k in keys)
+    assert _found(table) == WANT
+
+
+def test_columns_of_one_sort_and_unique_ones(spark):
+    frame = _frame(spark)
+    texts = V.column_values(discover_frames(spark, {"t": frame.select("s")}))
+    assert _found(texts) == {0: WANT[2]}
+    whole = V.column_values(discover_frames(spark, {"t": frame.select("i", "day")}))
+    assert _found(whole) == {0: WANT[0], 1: WANT[3]}
+    alone = V.column_values(discover_frames(spark, {"t": spark.range(3)}), unique=frozenset({(0, 0)}))
+    assert _found(alone) == {0: Counter({"0": 1, "1": 1, "2": 1})}
